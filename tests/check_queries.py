@@ -1,0 +1,56 @@
+"""Check registered queries against DuckDB: python tests/check_queries.py [folder] [names...]"""
+
+from __future__ import annotations
+
+import sys
+import time
+from pathlib import Path
+
+sys.path[:0] = [str(Path(__file__).resolve().parents[1]), str(Path(__file__).resolve().parent)]
+
+from compare import compare, connect  # noqa: E402
+from pyspark.sql import SparkSession  # noqa: E402
+
+from __spark_entry__ import oracle_sql, queries  # noqa: E402
+
+
+def main() -> None:
+    sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
+    wanted = sys.argv[2:]
+    spark = (
+        SparkSession.builder.master("local[8]")
+        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.ui.enabled", "false")
+        .config("spark.driver.memory", "12g")
+        .getOrCreate()
+    )
+    spark.sparkContext.setLogLevel("ERROR")
+    con, oracles, failed = connect(sf_dir), oracle_sql(), 0
+    for name, query in queries().items():
+        if wanted and name not in wanted:
+            continue
+        start = time.time()
+        try:
+            got = query(spark, sf_dir).toArrow()
+        except Exception as e:  # noqa: BLE001
+            print(f"{name}: ERROR {str(e)[:1500]}", flush=True)
+            failed += 1
+            continue
+        took = time.time() - start
+        if name not in oracles:
+            print(f"{name}: {got.num_rows} rows, no SQL counterpart ({took:.1f} s)", flush=True)
+            continue
+        start = time.time()
+        expected = con.execute(oracles[name]).to_arrow_table()
+        duck = time.time() - start
+        problem = compare(got, expected)
+        failed += problem is not None
+        print(f"{name}: {problem[:1500] if problem else 'ok'}, {got.num_rows} rows ({took:.1f} s, SQL {duck:.1f} s)", flush=True)
+    print("failed:", failed)
+    spark.stop()
+    sys.exit(failed > 0)
+
+
+if __name__ == "__main__":
+    main()
