@@ -150,7 +150,7 @@ RECORDS = f"""
 
 
 def bucket_sql(seed: int, buckets: int) -> str:
-    return f"(((id % 2147483647) * 48271 + {seed * 69621}) % 2147483647) % {buckets}"
+    return f"((((id % 2147483647) * 950706376 + {seed * 69621}) % 2147483647) * {buckets} // 2147483647)"
 
 
 HELD_OUT = f"({bucket_sql(10, 1000)} < 200)"
@@ -190,7 +190,6 @@ def _tally() -> str:
         sums += [
             f"count(*) FILTER (WHERE {a}_label = 1) AS {a}_agree",
             f"count(*) FILTER (WHERE {a}_label = 0) AS {a}_disagree",
-            f"CAST(sum({a}_filled) AS BIGINT) AS {a}_seen",
         ]
     return f"SELECT {SUB}, {LOGO}, count(*) AS n, min(id) AS first_id, {', '.join(sums)} FROM labelled GROUP BY {SUB}, {LOGO}"
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from catalog.oracle import LABEL_COLUMNS, PAIR_COLUMNS, STRICT, pairs_sql
 from catalog.sample import derive_sources, with_numeric_logo
 from recordtrust.functions.comparators import parse_date, within_days
-from recordtrust.operators import features, forests, labels, metrics, pairs, profile, reports, vectors
+from recordtrust.operators import features, forests, joins, labels, metrics, pairs, profile, reports, vectors
 from recordtrust.plans import job
 from recordtrust.registry import ATTRIBUTES, COMPARATORS, ENTITIES, model_columns, rate_names
 from recordtrust.sources import readers, sinks
@@ -258,8 +258,8 @@ def binary_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 def held_out_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Metrics over held-out bags with logo rates in place of scores."""
     given = inputs(spark, sf_dir).population(True)
-    rows = forests.examples(given.bagged, given.cells, KEYS, INPUTS)
-    rows = rows.withColumns({f"{a}_prob": F.col(f"{a}_logo_correct_rate") for a in ATTRIBUTES})
+    stand_ins = given.cells.select(*KEYS, *[F.col(f"{a}_logo_correct_rate").alias(f"{a}_prob") for a in ATTRIBUTES])
+    rows = joins.spread_join(given.bagged.where(forests.HELD_OUT), stand_ins, KEYS, null_safe=True)
     return metrics.held_out_metrics(rows, ATTRIBUTES)
 
 

@@ -10,13 +10,7 @@ from pyspark.sql import types as T
 
 AGREE, DISAGREE, UNKNOWN = 1, 0, -1
 
-DATE_FORMATS = (
-    "yyyy-MM-dd HH:mm:ss[.SSSSSS]",
-    "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]",
-    "yyyy-MM-dd",
-    "MM/dd/yyyy",
-    "MMM d, yyyy",
-)
+DATE_FORMATS = ("M/d/yyyy", "MMM d, yyyy", "d MMM yyyy")
 
 
 def tri_state(subject: Column, target: Column, agrees: Column) -> Column:
@@ -55,8 +49,12 @@ def filled_flag(value: Column) -> Column:
 
 
 def parse_date(text: Column, formats: Sequence[str] = DATE_FORMATS) -> Column:
-    """First format that reads the text; null (so an unknown label) when none does."""
-    return F.coalesce(*[F.try_to_timestamp(text, F.lit(f)).cast("timestamp_ntz") for f in formats])
+    """Date or date-time text as a timestamp without zone; null (an unknown label) when unreadable.
+
+    ISO text keeps its time of day; the other formats are dates.
+    """
+    dates = [F.try_to_date(text, f).cast("timestamp_ntz") for f in formats]
+    return F.coalesce(text.try_cast("timestamp_ntz"), *dates)
 
 
 def full_name(first: Column, last: Column) -> Column:
@@ -69,8 +67,15 @@ def ratio(part: Column, whole: Column) -> Column:
     return F.when(whole > 0, part / whole).otherwise(F.lit(0.0))
 
 
+# Modulus and multiplier of a public minimal-standard congruential generator.
+PRIME, MULTIPLIER = 2147483647, 950706376
+
+
 def hash_bucket(key: Column, seed: int, buckets: int) -> Column:
-    """Seeded bucket of an integer id, the same on any partitioning and in any SQL engine."""
-    prime = F.lit(2147483647).cast("long")
-    mixed = F.pmod(key.cast("long"), prime) * F.lit(48271).cast("long") + F.lit(seed * 69621).cast("long")
-    return F.pmod(F.pmod(mixed, prime), F.lit(buckets).cast("long")).cast("int")
+    """Seeded bucket of an integer id, the same on any partitioning and in any SQL engine.
+
+    The bucket is taken from the high digits, so it does not follow the id's own remainders.
+    """
+    prime = F.lit(PRIME).cast("long")
+    mixed = F.pmod(F.pmod(key.cast("long"), prime) * MULTIPLIER + seed * 69621, prime)
+    return F.floor(mixed * buckets / prime).cast("int")

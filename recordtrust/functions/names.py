@@ -19,7 +19,7 @@ def _may_exceed(subject: Column, target: Column, threshold: float) -> Column:
     characters lifts it by 0.1 * p of what is missing to 1.
     """
     size_s, size_t = F.length(subject), F.length(target)
-    r = F.least(size_s, size_t) / F.greatest(size_s, size_t)
+    r = F.least(size_s, size_t) / F.greatest(size_s, size_t, F.lit(1))
     jaro = (2 + r) / 3
     prefix = sum(
         (F.when(F.left(subject, F.lit(i)) == F.left(target, F.lit(i)), 1).otherwise(0) for i in range(1, PREFIX + 1)),

@@ -4,21 +4,22 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from recordtrust.functions.comparators import ratio
-from recordtrust.operators.joins import attach
+from recordtrust.operators.joins import attach, hot_keys, spread_join
 from recordtrust.operators.profile import profile_of_tally, roll_up, tally
 from recordtrust.registry import ATTRIBUTES, ENTITIES, Entity
 from recordtrust.sources.workspace import Workspace
 
 
-def fill_zero(df: DataFrame) -> DataFrame:
+def fill_zero(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Null and NaN numbers become 0, null booleans false; text and dates stay null."""
-    flags = [f.name for f in df.schema if isinstance(f.dataType, T.BooleanType)]
-    return df.na.fill(0).na.fill(False, subset=flags) if flags else df.na.fill(0)
+    kinds = {f.name: f.dataType for f in df.schema if columns is None or f.name in columns}
+    numbers = [c for c, kind in kinds.items() if isinstance(kind, T.NumericType)]
+    flags = [c for c, kind in kinds.items() if isinstance(kind, T.BooleanType)]
+    df = df.na.fill(0, subset=numbers) if numbers else df
+    return df.na.fill(False, subset=flags) if flags else df
 
 
 def _only_key_shared(df: DataFrame, stats: DataFrame, key: str) -> None:
@@ -27,13 +28,15 @@ def _only_key_shared(df: DataFrame, stats: DataFrame, key: str) -> None:
         raise ValueError(f"only {key} may be shared, found {sorted(shared)}")
 
 
-def history(key: str, attributes: Sequence[str]) -> dict[str, Column]:
-    """Counts without the row itself. An unknown label (-1) adds one to the correct history."""
-    columns = {}
+def history(key: str, attributes: Sequence[str]) -> list[str]:
+    """Counts without the row itself, as SQL. An unknown label (-1) adds one to the correct history."""
+    columns = []
     for a in attributes:
-        columns[f"{a}_correct_{key}_hist"] = F.col(f"{a}_correct_{key}") - F.col(f"{a}_label")
-        columns[f"{a}_total_{key}_hist"] = F.col(f"{a}_total_{key}") - 1
-        columns[f"{a}_filled_{key}_hist"] = F.col(f"{a}_filled_{key}") - F.col(f"{a}_filled")
+        columns += [
+            f"{a}_correct_{key} - {a}_label AS {a}_correct_{key}_hist",
+            f"{a}_total_{key} - 1 AS {a}_total_{key}_hist",
+            f"{a}_filled_{key} - {a}_filled AS {a}_filled_{key}_hist",
+        ]
     return columns
 
 
@@ -47,23 +50,30 @@ def combine(
     """
     _only_key_shared(df, stats, key)
     weight = f"{attributes[0]}_total_{key}"
-    return fill_zero(attach(df, stats, [key], how, weight).withColumns(history(key, attributes)))
+    return fill_zero(attach(df, stats, [key], how, weight).selectExpr("*", *history(key, attributes)))
 
 
-def rates(attributes: Sequence[str] = ATTRIBUTES, entities: Sequence[Entity] = ENTITIES) -> dict[str, Column]:
-    columns = {}
+def _ratio(part: str, whole: str) -> str:
+    return f"if({whole} > 0, {part} / {whole}, 0D)"
+
+
+def rates(attributes: Sequence[str] = ATTRIBUTES, entities: Sequence[Entity] = ENTITIES) -> list[str]:
+    """Correct and fill rate of every attribute and entity, as SQL; 0 where there is nothing to divide by."""
+    columns = []
     for a in attributes:
         for e in entities:
-            filled = F.col(f"{a}_filled_{e.key}")
-            columns[f"{a}_{e.short}_correct_rate"] = ratio(F.col(f"{a}_correct_{e.key}"), filled)
-            columns[f"{a}_{e.short}_fill_rate"] = ratio(filled, F.col(f"{a}_total_{e.key}"))
+            correct, filled, total = (f"{a}_{stat}_{e.key}" for stat in ("correct", "filled", "total"))
+            columns += [
+                f"{_ratio(correct, filled)} AS {a}_{e.short}_correct_rate",
+                f"{_ratio(filled, total)} AS {a}_{e.short}_fill_rate",
+            ]
     return columns
 
 
 def add_rates(
     df: DataFrame, attributes: Sequence[str] = ATTRIBUTES, entities: Sequence[Entity] = ENTITIES
 ) -> DataFrame:
-    return df.withColumns(rates(attributes, entities))
+    return df.selectExpr("*", *rates(attributes, entities))
 
 
 def cell_profiles(
@@ -78,26 +88,23 @@ def cell_profiles(
     per cell, and not on the rows. Cells carry their original keys, ``n`` and ``first_id``.
     """
     keys = [e.key for e in entities]
-    cells = roll_up(tallied, keys).select(*keys, "n", "first_id")
-    joined = cells.withColumns({f"__{k}": F.col(k) for k in keys})
+    joined = roll_up(tallied, keys).selectExpr(*keys, "n", "first_id", *[f"{k} AS __{k}" for k in keys])
     for position, e in enumerate(entities):
-        stats = profile_of_tally(tallied, e.key, attributes, fill_count).withColumnRenamed(e.key, f"__{e.key}")
+        own = f"__{e.key}"
         if position:  # the first combine has filled the frame by now
-            joined = joined.select("*").na.fill(0, subset=[f"__{e.key}"])
-            if isinstance(joined.schema[f"__{e.key}"].dataType, T.BooleanType):
-                joined = joined.na.fill(False, subset=[f"__{e.key}"])
-        joined = joined.join(stats, f"__{e.key}", e.how)
+            joined = fill_zero(joined, [own])
+        stats = profile_of_tally(tallied, e.key, attributes, fill_count).withColumnRenamed(e.key, own)
+        joined = spread_join(joined, stats, [own], e.how, left_hot=hot_keys(joined.select(own), [own]))
     return joined.drop(*[f"__{k}" for k in keys])
 
 
 def cell_rates(
     cells: DataFrame, attributes: Sequence[str] = ATTRIBUTES, entities: Sequence[Entity] = ENTITIES
 ) -> DataFrame:
-    """Cells with their 56 rates: keys, ``n``, ``first_id``, rates."""
-    keys = [e.key for e in entities]
-    stats = [c for c in cells.columns if c not in (*keys, "n", "first_id")]
-    filled = cells.na.fill(0, subset=stats)
-    return filled.select(*keys, "n", "first_id", *[c.alias(name) for name, c in rates(attributes, entities).items()])
+    """Cells with their rates: keys, ``n``, ``first_id``, rates."""
+    own = [*[e.key for e in entities], "n", "first_id"]
+    filled = fill_zero(cells, [c for c in cells.columns if c not in own])
+    return filled.selectExpr(*own, *rates(attributes, entities))
 
 
 def build_features(
@@ -113,10 +120,9 @@ def build_features(
     """
     workspace = workspace or Workspace(labelled.sparkSession)
     keys = [e.key for e in entities]
-    tallied = workspace.stage(tally(labelled, keys, attributes), "tally")
+    tallied = workspace.stage(tally(labelled, keys, attributes, fill_count), "tally")
     cells = workspace.stage(cell_profiles(tallied, attributes, entities, fill_count), "cells")
-    columns = {}
-    for e in entities:
-        columns |= history(e.key, attributes)
-    rows = attach(labelled, cells.drop("first_id").withColumnRenamed("n", "__n"), keys, "inner", "__n", null_safe=True)
-    return add_rates(fill_zero(rows.drop("__n").withColumns(columns)), attributes, entities)
+    histories = [column for e in entities for column in history(e.key, attributes)]
+    cells = cells.drop("first_id").withColumnRenamed("n", "__n")
+    rows = attach(labelled, cells, keys, "inner", "__n", null_safe=True)
+    return add_rates(fill_zero(rows.selectExpr("*", *histories).drop("__n")), attributes, entities)

@@ -7,35 +7,38 @@ bootstrap close to drawing rows while the training set stays bags x cells, whate
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from math import isqrt
 from multiprocessing.pool import ThreadPool
+from typing import TypeVar
 
 from pyspark import inheritable_thread_target
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recordtrust.functions.comparators import hash_bucket
 from recordtrust.operators.joins import spread_join
 from recordtrust.operators.profile import tally
 
+T = TypeVar("T")
+R = TypeVar("R")
 Models = Mapping[str, RandomForestClassificationModel]
 
 HELD_OUT, BAG = "held_out", "bag"
 BINARY = {"ml_attr": {"type": "nominal", "name": "label", "vals": ["0", "1"]}}
 
 
-def held_out(df: DataFrame, id: str = "id", fraction: float = 0.2, seed: int = 10):
+def held_out(id: str = "id", fraction: float = 0.2, seed: int = 10) -> Column:
     """True for the test share of ids: seeded, and independent of partitioning."""
     return hash_bucket(F.col(id), seed, 1000) < round(fraction * 1000)
 
 
 def split(df: DataFrame, id: str = "id", fraction: float = 0.2, seed: int = 10) -> tuple[DataFrame, DataFrame]:
     """Train and test rows; all rows of one id fall on the same side."""
-    test = held_out(df, id, fraction, seed)
+    test = held_out(id, fraction, seed)
     return df.where(~test), df.where(test)
 
 
@@ -49,15 +52,21 @@ def bagged_tally(
 ) -> DataFrame:
     """Label counts per cell, side of the split and bag: one pass that feeds profiles and training."""
     marked = labelled.withColumns(
-        {HELD_OUT: held_out(labelled, "id", fraction, seed), BAG: hash_bucket(F.col("id"), seed + 1, bags)}
+        {HELD_OUT: held_out("id", fraction, seed), BAG: hash_bucket(F.col("id"), seed + 1, bags)}
     )
     return tally(marked, [*keys, HELD_OUT, BAG], attributes)
 
 
 def examples(bagged: DataFrame, cells: DataFrame, keys: Sequence[str], inputs: Sequence[str]) -> DataFrame:
-    """Bags with the feature vector of their cell."""
+    """Training bags with the feature vector of their cell."""
     vectors = VectorAssembler(inputCols=list(inputs), outputCol="features").transform(cells)
-    return spread_join(bagged, vectors.select(*keys, *inputs, "features"), keys, null_safe=True)
+    return spread_join(bagged.where(~F.col(HELD_OUT)), vectors.select(*keys, "features"), keys, null_safe=True)
+
+
+def _side_by_side(spark: SparkSession, task: Callable[[T], R], items: Iterable[T], parallelism: int) -> list[R]:
+    """Submit independent Spark jobs from a few threads, as Spark ML's own tuning does."""
+    with ThreadPool(parallelism) as pool:
+        return pool.map(inheritable_thread_target(spark)(task), list(items), chunksize=1)
 
 
 def _weighted(rows: DataFrame, attribute: str) -> DataFrame:
@@ -73,17 +82,16 @@ def _weighted(rows: DataFrame, attribute: str) -> DataFrame:
 def train_all(
     rows: DataFrame,
     attributes: Sequence[str],
-    inputs: Sequence[str],
+    n_inputs: int,
     trees: int = 100,
     depth: int = 10,
     seed: int = 1,
     parallelism: int = 4,
 ) -> dict[str, RandomForestClassificationModel]:
-    """Fit one forest per attribute on the rows that are not held out, some at a time.
+    """Fit one forest per attribute on ``examples``, some forests at a time.
 
     Pass staged rows: every fit reads them several times.
     """
-    training = rows.where(~F.col(HELD_OUT))
     forest = RandomForestClassifier(
         featuresCol="features",
         labelCol="label",
@@ -92,15 +100,14 @@ def train_all(
         maxDepth=depth,
         maxBins=128,
         impurity="gini",
-        featureSubsetStrategy=str(max(isqrt(len(inputs)), 1)),
+        featureSubsetStrategy=str(max(isqrt(n_inputs), 1)),
         seed=seed,
     )
 
     def fit(attribute: str) -> RandomForestClassificationModel:
-        return forest.fit(_weighted(training, attribute))
+        return forest.fit(_weighted(rows, attribute))
 
-    with ThreadPool(parallelism) as pool:
-        fitted = pool.map(inheritable_thread_target(rows.sparkSession)(fit), list(attributes), chunksize=1)
+    fitted = _side_by_side(rows.sparkSession, fit, attributes, parallelism)
     return {f"{a}_label": model for a, model in zip(attributes, fitted)}
 
 
@@ -124,17 +131,24 @@ def score(df: DataFrame, inputs: Sequence[str], models: Models) -> DataFrame:
     return df.select(*kept, *probabilities)
 
 
-def predicted(probability: str):
+def predicted(probability: str) -> Column:
     """Class of the larger probability; a tie is class 0."""
     return F.when(F.col(probability) > 0.5, 1).otherwise(0)
 
 
-def save_models(models: Models, uri: str) -> None:
-    for label, model in models.items():
-        model.write().overwrite().save(f"{uri.rstrip('/')}/{label}")
+def save_models(models: Models, uri: str, parallelism: int = 4) -> None:
+    def save(label: str) -> None:
+        models[label].write().overwrite().save(f"{uri.rstrip('/')}/{label}")
+
+    _side_by_side(SparkSession.active(), save, models, parallelism)
+
+
+def load_models(
+    uri: str, attributes: Sequence[str], parallelism: int = 4
+) -> dict[str, RandomForestClassificationModel]:
+    labels = [f"{a}_label" for a in attributes]
 
+    def load(label: str) -> RandomForestClassificationModel:
+        return RandomForestClassificationModel.load(f"{uri.rstrip('/')}/{label}")
 
-def load_models(uri: str, attributes: Sequence[str]) -> dict[str, RandomForestClassificationModel]:
-    return {
-        f"{a}_label": RandomForestClassificationModel.load(f"{uri.rstrip('/')}/{a}_label") for a in attributes
-    }
+    return dict(zip(labels, _side_by_side(SparkSession.active(), load, labels, parallelism)))

@@ -101,7 +101,7 @@ def spread_join(
     The default hashes the whole row; pass a row id where identical copies may be frequent.
     """
     keys = list(keys)
-    renamed = {k: f"__right_{k}" for k in keys}
+    renamed = {k: f"__key_{k}" for k in keys}
     right_keys = list(renamed.values())
     right = right.withColumnsRenamed(renamed)
     same = _same(list(renamed.items()), null_safe)
@@ -112,16 +112,17 @@ def spread_join(
         right = right.dropna(subset=right_keys)
         if right_hot is not None:
             right_hot = HotKeys(right_hot.table.dropna(subset=right_hot.keys), right_hot.keys)
-    left = _deal(left, keys, left_hot, "__left_a", left_row)
-    left = _repeat(left, keys, right_hot, "__left_b", "__copies")
-    right = _deal(right, right_keys, right_hot, "__right_b", right_row)
-    right = _repeat(right, right_keys, left_hot, "__right_a", "__unused").withColumn("__hit", F.lit(True))
-    same_salts = (F.col("__left_a") == F.col("__right_a")) & (F.col("__left_b") == F.col("__right_b"))
-    joined = left.join(right, same & same_salts, how)
+    left = _deal(left, keys, left_hot, "__left_dealt", left_row)
+    left = _repeat(left, keys, right_hot, "__left_copy", "__copies")
+    right = _deal(right, right_keys, right_hot, "__right_dealt", right_row)
+    right = _repeat(right, right_keys, left_hot, "__right_copy", "__unused").withColumn("__hit", F.lit(True))
+    same &= (F.col("__left_dealt") == F.col("__right_copy")) & (F.col("__left_copy") == F.col("__right_dealt"))
+    joined = left.join(right, same, how)
     if how == "left" and right_hot is not None:
         # A hot key has matches on some of its salts: unmatched copies of a left row are no rows.
         joined = joined.where(F.col("__hit").isNotNull() | F.col("__copies").isNull())
-    return joined.drop("__left_a", "__left_b", "__right_a", "__right_b", "__copies", "__unused", "__hit", *right_keys)
+    helpers = ("__left_dealt", "__left_copy", "__right_dealt", "__right_copy", "__copies", "__unused", "__hit")
+    return joined.drop(*helpers, *right_keys)
 
 
 def attach(

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from recordtrust.functions.comparators import ratio
-from recordtrust.operators.forests import HELD_OUT, predicted
+from recordtrust.operators.forests import predicted
 
 
 def _accuracy(tp: Column, fp: Column, fn: Column, tn: Column) -> Column:
@@ -34,8 +34,8 @@ def binary_metrics(df: DataFrame, label: str, prediction: str) -> DataFrame:
     )
 
 
-def held_out_metrics(scored: DataFrame, attributes: Sequence[str]) -> DataFrame:
-    """Accuracy and F1 per attribute over the held-out bags, whose label counts weigh the cells."""
+def held_out_metrics(held_out: DataFrame, attributes: Sequence[str]) -> DataFrame:
+    """Accuracy and F1 per attribute over held-out bags with scores; label counts weigh the bags."""
     sums, cells = [], []
     for a in attributes:
         hit = predicted(f"{a}_prob")
@@ -56,4 +56,4 @@ def held_out_metrics(scored: DataFrame, attributes: Sequence[str]) -> DataFrame:
                 _f1(tp, fp, fn).alias("f1"),
             )
         )
-    return scored.where(F.col(HELD_OUT)).agg(*sums).select(F.inline(F.array(*cells)))
+    return held_out.agg(*sums).select(F.inline(F.array(*cells)))

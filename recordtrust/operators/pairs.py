@@ -1,4 +1,9 @@
-"""Version/master pairs: every version's attributes next to those of its master."""
+"""Version/master pairs: every version's attributes next to those of its master.
+
+Rows of hot keys are dealt by a row id, or by a row number where a table has no id. Row numbers are
+taken on table scans only, as a retried scan numbers its rows the same way: pass tables as read, or
+staged ones.
+"""
 
 from __future__ import annotations
 
@@ -49,18 +54,19 @@ def version_logos(tables: Tables) -> DataFrame:
     """Logo of every submission a version came in by: one row per proposal and task.
 
     A proposal without a task, and a task whose submission or logo is missing, give a null logo.
+    ``proposal`` numbers the proposals.
     """
-    proposals, tasks = tables["comp_proposal"], tables["lease_tasks"]
+    tasks = tables["lease_tasks"].withColumn("task", F.monotonically_increasing_id())
+    proposals = tables["comp_proposal"].withColumn("proposal", F.monotonically_increasing_id())
     logos = tables["submissions"].join(tables["logo_detection_submission"], "id", "left")
-    # Row numbers over plain table scans: a retried scan numbers its rows the same way.
     task_logos = spread_join(
         tasks,
         logos.withColumnRenamed("id", "submission_id"),
         ["submission_id"],
         "left",
         left_hot=hot_keys(tasks.select("submission_id"), ["submission_id"]),
-        left_row=F.monotonically_increasing_id(),
-    ).select(F.col("batch_id").alias("comp_batch_id"), "logo")
+        left_row=F.col("task"),
+    ).select(F.col("batch_id").alias("comp_batch_id"), "logo", "task")
     return spread_join(
         proposals,
         task_logos,
@@ -68,8 +74,9 @@ def version_logos(tables: Tables) -> DataFrame:
         "left",
         left_hot=hot_keys(proposals.select("comp_batch_id"), ["comp_batch_id"]),
         right_hot=hot_keys(tasks.select(F.col("batch_id").alias("comp_batch_id")), ["comp_batch_id"]),
-        left_row=F.monotonically_increasing_id(),
-    ).select(F.col("comp_version_id").alias("id"), "logo")
+        left_row=F.col("proposal"),
+        right_row=F.col("task"),
+    ).select(F.col("comp_version_id").alias("id"), "logo", "proposal")
 
 
 def linked_pairs(tables: Tables, attributes: Sequence[str] = ATTRIBUTES) -> DataFrame:
@@ -80,7 +87,9 @@ def linked_pairs(tables: Tables, attributes: Sequence[str] = ATTRIBUTES) -> Data
     fan-out by logo happens after every shuffle of wide rows.
     """
     attributes = list(attributes)
-    links = tables["comp_master_versions"]
+    links = tables["comp_master_versions"].select(
+        "comp_master_id", F.col("comp_version_id").alias("id"), F.monotonically_increasing_id().alias("link")
+    )
     described = records(tables, attributes)
 
     masters = (
@@ -90,11 +99,11 @@ def linked_pairs(tables: Tables, attributes: Sequence[str] = ATTRIBUTES) -> Data
         .join(links_per_master(links).withColumnRenamed("links", "master_links"), "comp_master_id")
     )
     linked = spread_join(
-        links.select("comp_master_id", F.col("comp_version_id").alias("id")),
+        links,
         _suffixed(masters, attributes, "master"),
         ["comp_master_id"],
         left_hot=hot_keys(links.select("comp_master_id"), ["comp_master_id"]),
-        left_row=F.xxhash64("id"),
+        left_row=F.col("link"),
     )
     versions = _suffixed(
         spread_join(
@@ -108,12 +117,16 @@ def linked_pairs(tables: Tables, attributes: Sequence[str] = ATTRIBUTES) -> Data
         "version",
     )
     proposals = tables["comp_proposal"].select(F.col("comp_version_id").alias("id"))
+    often_linked = hot_keys(links.select("id"), ["id"])
     return spread_join(
-        versions.join(linked, "id"),
+        spread_join(linked, versions, ["id"], left_hot=often_linked, left_row=F.col("link")),
         version_logos(tables),
         ["id"],
         "left",
+        left_hot=often_linked,
         right_hot=hot_keys(proposals, ["id"]),
+        left_row=F.col("link"),
+        right_row=F.col("proposal"),
     ).select(
         "id",
         "submitter_person_id",

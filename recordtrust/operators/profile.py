@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from recordtrust.functions.comparators import AGREE, DISAGREE, known
@@ -13,43 +13,43 @@ from recordtrust.registry import ATTRIBUTES
 STATS = ("correct", "filled", "total")
 
 
-def tally(labelled: DataFrame, keys: Sequence[str], attributes: Sequence[str] = ATTRIBUTES) -> DataFrame:
+def tally(
+    labelled: DataFrame, keys: Sequence[str], attributes: Sequence[str] = ATTRIBUTES, fill_count: str = "rows"
+) -> DataFrame:
     """Label counts per key combination, the one pass over the rows that everything else rests on.
 
     Partial sums are formed before the shuffle, so a key that holds most rows costs no more than
-    any other. ``n`` counts rows and ``first_id`` is the lowest version id.
+    any other. ``n`` counts rows and ``first_id`` is the lowest version id; present values are
+    counted for ``fill_count="observed"`` only.
     """
-    sums = [F.count(F.lit(1)).alias("n"), F.min("id").alias("first_id")]
+    if fill_count not in ("rows", "observed"):
+        raise ValueError("fill_count is 'rows' or 'observed'")
+    sums = ["count(*) AS n", "min(id) AS first_id"]
     for a in attributes:
-        label = F.col(f"{a}_label")
         sums += [
-            F.count_if(label == AGREE).alias(f"{a}_agree"),
-            F.count_if(label == DISAGREE).alias(f"{a}_disagree"),
-            F.sum(F.col(f"{a}_filled").cast("long")).alias(f"{a}_seen"),
+            f"count_if({a}_label = {AGREE}) AS {a}_agree",
+            f"count_if({a}_label = {DISAGREE}) AS {a}_disagree",
         ]
-    return labelled.groupBy(*keys).agg(*sums)
+        if fill_count == "observed":
+            sums.append(f"sum(bigint({a}_filled)) AS {a}_seen")
+    return labelled.groupBy(*keys).agg(*map(F.expr, sums))
 
 
 def roll_up(tallied: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Counts per coarser keys from counts per finer ones."""
-    sums = [
-        (F.min(c) if c == "first_id" else F.sum(c)).alias(c)
-        for c in tallied.columns
-        if c in ("n", "first_id") or c.endswith(("_agree", "_disagree", "_seen"))
-    ]
-    return tallied.groupBy(*keys).agg(*sums)
+    sums = ["sum(n) AS n", "min(first_id) AS first_id"]
+    sums += [f"sum({c}) AS {c}" for c in tallied.columns if c.endswith(("_agree", "_disagree", "_seen"))]
+    return tallied.groupBy(*keys).agg(*map(F.expr, sums))
 
 
-def _stats(key: str, attributes: Sequence[str], fill_count: str) -> list[Column]:
+def _stats(key: str, attributes: Sequence[str], fill_count: str) -> list[str]:
     """Key first, then the statistics by name."""
-    if fill_count not in ("rows", "observed"):
-        raise ValueError("fill_count is 'rows' or 'observed'")
     columns = {}
     for a in attributes:
-        columns[f"{a}_correct_{key}"] = F.col(f"{a}_agree")
-        columns[f"{a}_total_{key}"] = F.col("n")
-        columns[f"{a}_filled_{key}"] = F.col("n" if fill_count == "rows" else f"{a}_seen")
-    return [F.col(key), *[columns[c].alias(c) for c in sorted(columns)]]
+        columns[f"{a}_correct_{key}"] = f"{a}_agree"
+        columns[f"{a}_total_{key}"] = "n"
+        columns[f"{a}_filled_{key}"] = "n" if fill_count == "rows" else f"{a}_seen"
+    return [key, *[f"{columns[c]} AS {c}" for c in sorted(columns)]]
 
 
 def profile(
@@ -60,7 +60,7 @@ def profile(
     By default the filled count is the row count, as the pipeline defines it; ``observed`` counts
     the values that were present.
     """
-    return profile_of_tally(tally(labelled, [key], attributes), key, attributes, fill_count, rolled=True)
+    return profile_of_tally(tally(labelled, [key], attributes, fill_count), key, attributes, fill_count, rolled=True)
 
 
 def profile_of_tally(
@@ -71,4 +71,4 @@ def profile_of_tally(
     rolled: bool = False,
 ) -> DataFrame:
     keyed = tallied.where(known(tallied, key).isNotNull())
-    return (keyed if rolled else roll_up(keyed, [key])).select(*_stats(key, attributes, fill_count))
+    return (keyed if rolled else roll_up(keyed, [key])).selectExpr(*_stats(key, attributes, fill_count))

@@ -9,12 +9,14 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame, SparkSession
 
 from recordtrust.operators.features import cell_profiles, cell_rates
-from recordtrust.operators.forests import Models, bagged_tally, examples, save_models, score, train_all
+from recordtrust.operators.forests import HELD_OUT, Models, bagged_tally, examples, save_models, train_all
+from recordtrust.operators.joins import spread_join
 from recordtrust.operators.labels import add_labels
 from recordtrust.operators.metrics import held_out_metrics
 from recordtrust.operators.pairs import linked_pairs, reliable
 from recordtrust.operators.reports import score_cells, submitter_report, version_rows
 from recordtrust.registry import ATTRIBUTES, COMPARATORS, ENTITIES, Entity, rate_names
+from recordtrust.session import configured
 from recordtrust.sources.readers import Tables, read_tables, submitter_names
 from recordtrust.sources.sinks import write_csv
 from recordtrust.sources.workspace import Workspace
@@ -56,10 +58,12 @@ def fit(
     parallelism: int = 4,
 ) -> tuple[Models, DataFrame]:
     """Forests for all attributes, and their metrics on the held-out rows."""
-    inputs = rate_names(attributes, entities)
-    rows = workspace.stage(examples(known.bagged, known.cells, [e.key for e in entities], inputs), "examples")
-    models = train_all(rows, attributes, inputs, trees, depth, parallelism=parallelism)
-    return models, held_out_metrics(score(rows, inputs, models), attributes)
+    inputs, keys = rate_names(attributes, entities), [e.key for e in entities]
+    rows = workspace.stage(examples(known.bagged, known.cells, keys, inputs), "examples")
+    models = train_all(rows, attributes, len(inputs), trees, depth, parallelism=parallelism)
+    scored = score_cells(known.cells, inputs, models, entities).drop("n")
+    held_out = spread_join(known.bagged.where(HELD_OUT), scored, keys, null_safe=True)
+    return models, held_out_metrics(held_out, attributes)
 
 
 def run(
@@ -101,7 +105,7 @@ def main() -> None:
     parser.add_argument("--trees", type=int, default=100)
     parser.add_argument("--depth", type=int, default=10)
     args = parser.parse_args()
-    spark = SparkSession.builder.appName("recordtrust").config("spark.sql.session.timeZone", "UTC").getOrCreate()
+    spark = configured(SparkSession.builder.appName("recordtrust")).getOrCreate()
     counts = run(spark, read_tables(spark, args.tables), args.out, trees=args.trees, depth=args.depth)
     print(counts)
 

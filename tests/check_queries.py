@@ -22,6 +22,7 @@ def main() -> None:
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "12g")
         .getOrCreate()
     )
@@ -42,7 +43,7 @@ def main() -> None:
             print(f"{name}: {got.num_rows} rows, no SQL counterpart ({took:.1f} s)", flush=True)
             continue
         start = time.time()
-        expected = con.execute(oracles[name]).to_arrow_table()
+        expected = con.sql(oracles[name]).to_arrow_table()
         duck = time.time() - start
         problem = compare(got, expected)
         failed += problem is not None
