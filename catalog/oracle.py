@@ -150,7 +150,7 @@ RECORDS = f"""
 
 
 def bucket_sql(seed: int, buckets: int) -> str:
-    return f"((((id % 2147483647) * 950706376 + {seed * 69621}) % 2147483647) * {buckets} // 2147483647)"
+    return f"CAST('0x' || substr(md5(id || ':{seed}'), 1, 8) AS BIGINT) % {buckets}"
 
 
 HELD_OUT = f"({bucket_sql(10, 1000)} < 200)"

@@ -67,15 +67,7 @@ def ratio(part: Column, whole: Column) -> Column:
     return F.when(whole > 0, part / whole).otherwise(F.lit(0.0))
 
 
-# Modulus and multiplier of a public minimal-standard congruential generator.
-PRIME, MULTIPLIER = 2147483647, 950706376
-
-
 def hash_bucket(key: Column, seed: int, buckets: int) -> Column:
-    """Seeded bucket of an integer id, the same on any partitioning and in any SQL engine.
-
-    The bucket is taken from the high digits, so it does not follow the id's own remainders.
-    """
-    prime = F.lit(PRIME).cast("long")
-    mixed = F.pmod(F.pmod(key.cast("long"), prime) * MULTIPLIER + seed * 69621, prime)
-    return F.floor(mixed * buckets / prime).cast("int")
+    """Seeded bucket of an id, the same on any partitioning and in any SQL engine that has MD5."""
+    digest = F.md5(F.concat(key.cast("string"), F.lit(f":{seed}")))
+    return F.pmod(F.conv(F.left(digest, F.lit(8)), 16, 10).cast("long"), F.lit(buckets)).cast("int")

@@ -1,0 +1,112 @@
+from __future__ import annotations
+
+from datetime import datetime
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import SparkSession
+
+from recordtrust.sources.readers import conform, jdbc_options, lower_names, read_query, read_tables, submitter_names
+from recordtrust.sources.schemas import SCHEMAS
+from recordtrust.sources.sinks import write_csv, write_parquet
+from recordtrust.sources.workspace import CHECKPOINT, Workspace
+
+
+def test_conform_lowers_names_and_casts(spark):
+    df = spark.createDataFrame([(1, Decimal("2.50"), "2020-01-02 03:04:05", "x")], "ID int, Size decimal(10,2), Day string, extra string")
+    out = conform(df, {"id": "bigint", "size": "double", "day": "timestamp_ntz"})
+    assert out.dtypes == [("id", "bigint"), ("size", "double"), ("day", "timestamp_ntz")]
+    assert tuple(out.first()) == (1, 2.5, datetime(2020, 1, 2, 3, 4, 5))
+
+
+def test_unreadable_date_text_becomes_null(spark):
+    df = spark.createDataFrame([("soon",)], "day string")
+    assert conform(df, {"day": "timestamp_ntz"}).first().day is None
+
+
+def test_conform_fails_early(spark):
+    with pytest.raises(ValueError, match="tenant lacks columns \\['name'\\]"):
+        conform(spark.range(1), SCHEMAS["tenant"], "tenant")
+
+
+def test_logo_keeps_its_type(spark):
+    df = spark.createDataFrame([(1, 3)], "id bigint, logo int")
+    assert conform(df, SCHEMAS["logo_detection_submission"]).dtypes[1] == ("logo", "int")
+
+
+def test_read_tables(spark, tmp_path):
+    for name, schema in SCHEMAS.items():
+        columns = ", ".join(f"{c.upper()} {kind or 'string'}" for c, kind in schema.items())
+        spark.createDataFrame([], columns).write.parquet(f"{tmp_path}/{name}.parquet")
+    tables = read_tables(spark, str(tmp_path))
+    assert set(tables) == set(SCHEMAS)
+    assert all(df.columns == list(SCHEMAS[name]) for name, df in tables.items())
+
+
+def test_read_query(spark):
+    tenant = spark.createDataFrame([(1, "Acme"), (2, "Bolt")], "id bigint, name string")
+    got = read_query({"tenant": tenant}, "SELECT NAME AS Tenant_Name FROM {tenant} WHERE id = 2")
+    assert got.columns == ["tenant_name"] and got.first()[0] == "Bolt"
+
+
+def test_lower_names(spark):
+    assert lower_names(spark.range(1).toDF("ID")).columns == ["id"]
+
+
+def test_submitter_names(spark):
+    person = spark.createDataFrame([(1, "Ann", "Lee"), (2, "Bob", None)], "id bigint, first_name string, last_name string")
+    assert [tuple(r) for r in submitter_names(person).orderBy("id").collect()] == [(1, "Ann Lee"), (2, None)]
+
+
+def test_jdbc_options_read_in_ranges():
+    assert jdbc_options("jdbc:mysql://db/x", "comp_version", "id", 0, 1000, 8) == {
+        "url": "jdbc:mysql://db/x",
+        "dbtable": "comp_version",
+        "partitionColumn": "id",
+        "lowerBound": "0",
+        "upperBound": "1000",
+        "numPartitions": "8",
+    }
+
+
+def test_csv_prints_zero_for_missing_values(spark, tmp_path):
+    df = spark.createDataFrame([(1, None, None), (2, "x", datetime(2020, 1, 2))], "id bigint, t string, d timestamp_ntz")
+    write_csv(df, str(tmp_path / "zero"), null_as_zero=True)
+    write_csv(df, str(tmp_path / "plain"))
+    read = {kind: spark.read.option("header", True).csv(str(tmp_path / kind)).orderBy("id").collect() for kind in ("zero", "plain")}
+    assert [tuple(r) for r in read["zero"]] == [("1", "0", "0"), ("2", "x", "2020-01-02 00:00:00")]
+    assert [tuple(r)[:2] for r in read["plain"]] == [("1", None), ("2", "x")]
+
+
+def test_parquet_overwrites(spark, tmp_path):
+    for n in (3, 2):
+        write_parquet(spark.range(n), str(tmp_path / "t"))
+    assert spark.read.parquet(str(tmp_path / "t")).count() == 2
+
+
+class Stub:
+    """A session that only answers questions about its settings."""
+
+    def __init__(self, **options):
+        self.conf = self
+        self.options = options
+
+    def get(self, name, default=None):
+        return self.options.get(name, default)
+
+
+def test_workspace_lies_in_the_checkpoint_folder():
+    workspace = Workspace(Stub(**{CHECKPOINT: "hdfs://shared/checkpoints", "spark.master": "yarn"}))
+    assert workspace.root.startswith("hdfs://shared/checkpoints/recordtrust-")
+
+
+def test_workspace_needs_a_shared_folder_on_a_cluster():
+    with pytest.raises(ValueError, match=CHECKPOINT):
+        Workspace(Stub(**{"spark.master": "spark://host:7077"}))
+
+
+def test_stage_reads_back_what_it_wrote(spark, tmp_path):
+    assert isinstance(spark, SparkSession)
+    df = spark.range(5).selectExpr("id", "array(id) AS a")
+    staged = Workspace(spark, str(tmp_path)).stage(df, "t")
+    assert staged.orderBy("id").collect() == df.collect() and staged.dtypes == df.dtypes
