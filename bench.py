@@ -63,8 +63,7 @@ def main() -> None:
     # Shared intermediates, timed as steps of their own.
     for name, step in (
         ("stage_labelled", given.labelled),
-        ("stage_population_all", lambda: given.population(False)),
-        ("stage_population_reliable", lambda: given.population(True)),
+        ("stage_populations", lambda: given.population(True)),
         ("fit_forests", given.fitted),
     ):
         start = time.time()

@@ -47,9 +47,12 @@ class Inputs:
         return pairs.reliable(self.labelled())
 
     @cache
+    def _populations(self) -> tuple[job.Population, job.Population]:
+        return job.populations(self.labelled(), self.workspace)
+
     def population(self, only_reliable: bool) -> job.Population:
-        rows = self.reliable_rows() if only_reliable else self.labelled()
-        return job.population(rows, self.workspace)
+        reliable, everyone = self._populations()
+        return reliable if only_reliable else everyone
 
     @cache
     def profile(self, key: str, numeric_logo: bool = False) -> DataFrame:

@@ -7,8 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from recordtrust.functions.comparators import known
 from recordtrust.operators.joins import attach, hot_keys, spread_join
-from recordtrust.operators.profile import profile_of_tally, roll_up, tally
+from recordtrust.operators.profile import roll_up, statistics, tally
 from recordtrust.registry import ATTRIBUTES, ENTITIES, Entity
 from recordtrust.sources.workspace import Workspace
 
@@ -76,13 +77,12 @@ def add_rates(
     return df.selectExpr("*", *rates(attributes, entities))
 
 
-def cell_profiles(
-    tallied: DataFrame,
-    attributes: Sequence[str] = ATTRIBUTES,
-    entities: Sequence[Entity] = ENTITIES,
-    fill_count: str = "rows",
-) -> DataFrame:
-    """One row per cell (combination of entity keys) with the profiles of all its entities.
+def _counts_of(key: str) -> str:
+    return f"_of_{key}"
+
+
+def cell_profiles(tallied: DataFrame, entities: Sequence[Entity] = ENTITIES) -> DataFrame:
+    """One row per cell (combination of entity keys) with the label counts of all its entities.
 
     A row's features depend on its cell and its own labels only, so profiles meet here, on one row
     per cell, and not on the rows. Cells carry their original keys, ``n`` and ``first_id``.
@@ -93,18 +93,28 @@ def cell_profiles(
         own = f"__{e.key}"
         if position:  # the first combine has filled the frame by now
             joined = fill_zero(joined, [own])
-        stats = profile_of_tally(tallied, e.key, attributes, fill_count).withColumnRenamed(e.key, own)
-        joined = spread_join(joined, stats, [own], e.how, left_hot=hot_keys(joined.select(own), [own]))
+        counts = roll_up(tallied.where(known(tallied, e.key).isNotNull()), [e.key]).drop("first_id")
+        renamed = [f"{c} AS {c}{_counts_of(e.key)}" for c in counts.columns if c != e.key]
+        counts = counts.selectExpr(f"{e.key} AS {own}", *renamed)
+        joined = spread_join(joined, counts, [own], e.how, left_hot=hot_keys(joined.select(own), [own]))
     return joined.drop(*[f"__{k}" for k in keys])
 
 
+def _all_statistics(attributes: Sequence[str], entities: Sequence[Entity], fill_count: str) -> list[str]:
+    return [s for e in entities for s in statistics(e.key, attributes, fill_count, _counts_of(e.key))]
+
+
 def cell_rates(
-    cells: DataFrame, attributes: Sequence[str] = ATTRIBUTES, entities: Sequence[Entity] = ENTITIES
+    cells: DataFrame,
+    attributes: Sequence[str] = ATTRIBUTES,
+    entities: Sequence[Entity] = ENTITIES,
+    fill_count: str = "rows",
 ) -> DataFrame:
     """Cells with their rates: keys, ``n``, ``first_id``, rates."""
     own = [*[e.key for e in entities], "n", "first_id"]
     filled = fill_zero(cells, [c for c in cells.columns if c not in own])
-    return filled.selectExpr(*own, *rates(attributes, entities))
+    named = filled.selectExpr(*own, *_all_statistics(attributes, entities, fill_count))
+    return named.selectExpr(*own, *rates(attributes, entities))
 
 
 def build_features(
@@ -116,13 +126,15 @@ def build_features(
 ) -> DataFrame:
     """Profile every entity, join all profiles to the rows at once, add histories and rates.
 
-    Profiles always come from the rows as given, before any row is dropped for a missing key.
+    Profiles always come from the rows as given, before any row is dropped for a missing key. The
+    join carries the plain counts; the statistics are named after it.
     """
     workspace = workspace or Workspace(labelled.sparkSession)
     keys = [e.key for e in entities]
     tallied = workspace.stage(tally(labelled, keys, attributes, fill_count), "tally")
-    cells = workspace.stage(cell_profiles(tallied, attributes, entities, fill_count), "cells")
+    cells = workspace.stage(cell_profiles(tallied, entities).drop("first_id"), "cells")
+    needed = [c for c in cells.columns if "_disagree_of_" not in c]
+    rows = attach(labelled, cells.select(needed), keys, "inner", "n", null_safe=True)
+    combined = rows.selectExpr(*labelled.columns, *_all_statistics(attributes, entities, fill_count))
     histories = [column for e in entities for column in history(e.key, attributes)]
-    cells = cells.drop("first_id").withColumnRenamed("n", "__n")
-    rows = attach(labelled, cells, keys, "inner", "__n", null_safe=True)
-    return add_rates(fill_zero(rows.selectExpr("*", *histories).drop("__n")), attributes, entities)
+    return add_rates(fill_zero(combined.selectExpr("*", *histories)), attributes, entities)

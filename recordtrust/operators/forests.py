@@ -50,7 +50,7 @@ def bagged_tally(
     seed: int = 10,
     bags: int = 16,
 ) -> DataFrame:
-    """Label counts per cell, side of the split and bag: one pass that feeds profiles and training."""
+    """Label counts per key combination, side of the split and bag: one pass for profiles and training."""
     marked = labelled.withColumns(
         {HELD_OUT: held_out("id", fraction, seed), BAG: hash_bucket(F.col("id"), seed + 1, bags)}
     )

@@ -15,9 +15,10 @@ from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 TASK_ROWS = ("spark.recordtrust.taskRows", "2000000")
-BROADCAST_ROWS = ("spark.recordtrust.broadcastRows", "50000")
+BROADCAST_BYTES = ("spark.recordtrust.broadcastBytes", str(64 << 20))
 MAX_HOT = 1000
 
 
@@ -125,14 +126,22 @@ def spread_join(
     return joined.drop(*helpers, *right_keys)
 
 
+def byte_size(df: DataFrame) -> int:
+    """Bytes of a table of numbers and texts, measured: 8 per value and the length of every text."""
+    texts = [f.name for f in df.schema if isinstance(f.dataType, T.StringType)]
+    sizes = [F.coalesce(F.sum(F.octet_length(c)), F.lit(0)) for c in texts]
+    rows, *text_bytes = df.agg(F.count(F.lit(1)), *sizes).first()
+    return rows * 8 * len(df.columns) + sum(text_bytes)
+
+
 def attach(
     rows: DataFrame, per_key: DataFrame, keys: Sequence[str], how: str, weight: str, null_safe: bool = False
 ) -> DataFrame:
     """Join a per-key table to the rows it was made from; ``weight`` counts the rows per key.
 
-    The table's size is counted, so pass one that is cheap to read (a staged one). A small one is
+    The table is measured, so pass one that is cheap to read (a staged one). A small one is
     broadcast; a larger one is joined by shuffle, its own counts telling which keys are hot.
     """
-    if per_key.count() <= setting(rows.sparkSession, BROADCAST_ROWS):
+    if byte_size(per_key) <= setting(rows.sparkSession, BROADCAST_BYTES):
         return spread_join(rows, F.broadcast(per_key), keys, how, null_safe=null_safe)
     return spread_join(rows, per_key, keys, how, left_hot=hot_keys(per_key, keys, weight), null_safe=null_safe)

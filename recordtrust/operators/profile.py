@@ -10,9 +10,6 @@ from pyspark.sql import functions as F
 from recordtrust.functions.comparators import AGREE, DISAGREE, known
 from recordtrust.registry import ATTRIBUTES
 
-STATS = ("correct", "filled", "total")
-
-
 def tally(
     labelled: DataFrame, keys: Sequence[str], attributes: Sequence[str] = ATTRIBUTES, fill_count: str = "rows"
 ) -> DataFrame:
@@ -42,33 +39,23 @@ def roll_up(tallied: DataFrame, keys: Sequence[str]) -> DataFrame:
     return tallied.groupBy(*keys).agg(*map(F.expr, sums))
 
 
-def _stats(key: str, attributes: Sequence[str], fill_count: str) -> list[str]:
-    """Key first, then the statistics by name."""
-    columns = {}
-    for a in attributes:
-        columns[f"{a}_correct_{key}"] = f"{a}_agree"
-        columns[f"{a}_total_{key}"] = "n"
-        columns[f"{a}_filled_{key}"] = "n" if fill_count == "rows" else f"{a}_seen"
-    return [key, *[f"{columns[c]} AS {c}" for c in sorted(columns)]]
-
-
-def profile(
-    labelled: DataFrame, key: str, attributes: Sequence[str] = ATTRIBUTES, fill_count: str = "rows"
-) -> DataFrame:
-    """Correct, total and filled counts per entity and attribute; rows without the key are left out.
+def statistics(key: str, attributes: Sequence[str], fill_count: str = "rows", counts: str = "") -> list[str]:
+    """An entity's statistics by name, as SQL over tally columns whose names end in ``counts``.
 
     By default the filled count is the row count, as the pipeline defines it; ``observed`` counts
     the values that were present.
     """
-    return profile_of_tally(tally(labelled, [key], attributes, fill_count), key, attributes, fill_count, rolled=True)
+    columns = {}
+    for a in attributes:
+        columns[f"{a}_correct_{key}"] = f"{a}_agree{counts}"
+        columns[f"{a}_total_{key}"] = f"n{counts}"
+        columns[f"{a}_filled_{key}"] = f"n{counts}" if fill_count == "rows" else f"{a}_seen{counts}"
+    return [f"{columns[c]} AS {c}" for c in sorted(columns)]
 
 
-def profile_of_tally(
-    tallied: DataFrame,
-    key: str,
-    attributes: Sequence[str] = ATTRIBUTES,
-    fill_count: str = "rows",
-    rolled: bool = False,
+def profile(
+    labelled: DataFrame, key: str, attributes: Sequence[str] = ATTRIBUTES, fill_count: str = "rows"
 ) -> DataFrame:
-    keyed = tallied.where(known(tallied, key).isNotNull())
-    return (keyed if rolled else roll_up(keyed, [key])).selectExpr(*_stats(key, attributes, fill_count))
+    """Correct, total and filled counts per entity and attribute; rows without the key are left out."""
+    keyed = labelled.where(known(labelled, key).isNotNull())
+    return tally(keyed, [key], attributes, fill_count).selectExpr(key, *statistics(key, attributes, fill_count))

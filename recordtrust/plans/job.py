@@ -7,13 +7,14 @@ from collections.abc import Sequence
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from recordtrust.operators.features import cell_profiles, cell_rates
 from recordtrust.operators.forests import HELD_OUT, Models, bagged_tally, examples, save_models, train_all
 from recordtrust.operators.joins import spread_join
 from recordtrust.operators.labels import add_labels
 from recordtrust.operators.metrics import held_out_metrics
-from recordtrust.operators.pairs import linked_pairs, reliable
+from recordtrust.operators.pairs import MIN_LINKS, linked_pairs
 from recordtrust.operators.reports import score_cells, submitter_report, version_rows
 from recordtrust.registry import ATTRIBUTES, COMPARATORS, ENTITIES, Entity, rate_names
 from recordtrust.session import configured
@@ -22,8 +23,11 @@ from recordtrust.sources.sinks import write_csv
 from recordtrust.sources.workspace import Workspace
 
 
+RELIABLE = "reliable"
+
+
 class Population(NamedTuple):
-    """A set of labelled rows boiled down to its cells."""
+    """A set of labelled rows boiled down to label counts per bag, and to cells with rates."""
 
     bagged: DataFrame
     cells: DataFrame
@@ -35,17 +39,26 @@ def label_pairs(tables: Tables, workspace: Workspace, attributes: Sequence[str]
     return workspace.stage(add_labels(linked_pairs(tables, attributes), comparators), "labelled")
 
 
-def population(
+def populations(
     labelled: DataFrame,
     workspace: Workspace,
     attributes: Sequence[str] = ATTRIBUTES,
     entities: Sequence[Entity] = ENTITIES,
     bags: int = 16,
-) -> Population:
-    """One pass over the labels; profiles and rates are computed from its counts."""
-    bagged = workspace.stage(bagged_tally(labelled, [e.key for e in entities], attributes, bags=bags), "bagged")
-    rates = cell_rates(cell_profiles(bagged, attributes, entities), attributes, entities)
-    return Population(bagged, workspace.stage(rates, "cells"))
+) -> tuple[Population, Population]:
+    """The reliable rows and all rows, from one pass over the labels.
+
+    Each population is profiled from its own rows: their counts are kept apart in the pass.
+    """
+    keys = [e.key for e in entities]
+    marked = labelled.withColumn(RELIABLE, F.col("master_links") > MIN_LINKS)
+    bagged = workspace.stage(bagged_tally(marked, [*keys, RELIABLE], attributes, bags=bags), "bagged")
+
+    def population(rows: DataFrame, name: str) -> Population:
+        cells = cell_rates(cell_profiles(rows, entities), attributes, entities)
+        return Population(rows, workspace.stage(cells, f"cells-{name}"))
+
+    return population(bagged.where(RELIABLE), "reliable"), population(bagged, "all")
 
 
 def fit(
@@ -85,8 +98,7 @@ def run(
     inputs = rate_names(ATTRIBUTES, ENTITIES)
 
     every_row = label_pairs(tables, workspace)
-    reliable_rows = reliable(every_row)
-    known, everyone = population(reliable_rows, workspace), population(every_row, workspace)
+    known, everyone = populations(every_row, workspace)
     models, metrics = fit(known, workspace, trees=trees, depth=depth, parallelism=parallelism)
     save_models(models, f"{out}/models")
     write_csv(metrics, f"{out}/metrics")
@@ -95,7 +107,7 @@ def run(
     write_csv(submitter_report(known.cells, inputs, models, names), f"{out}/submitter_reliability")
     scored = workspace.stage(score_cells(everyone.cells, inputs, models), "scored")
     write_csv(version_rows(every_row, scored), f"{out}/version_reliability", null_as_zero=True)
-    return {"reliable": reliable_rows.count(), "all": every_row.count()}
+    return {name: part.bagged.agg(F.sum("n")).first()[0] for name, part in (("reliable", known), ("all", everyone))}
 
 
 def main() -> None:

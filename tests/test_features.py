@@ -89,7 +89,7 @@ def chained(df):
 
 
 @pytest.mark.parametrize("kind", ["string", "int", "boolean", "double"])
-@pytest.mark.parametrize("limits", [{}, {"taskRows": "10", "broadcastRows": "0"}])
+@pytest.mark.parametrize("limits", [{}, {"taskRows": "10", "broadcastBytes": "0"}])
 @pytest.mark.parametrize("build", [chained, lambda df: build_features(df, ATTS)], ids=["chained", "by_cell"])
 def test_features(spark, settings, kind, limits, build):
     settings(**limits)
@@ -140,7 +140,7 @@ def test_observed_features_use_present_values(spark):
 
 def cells_of(spark, rows):
     tallied = tally(frame(spark, "string", rows), [SUB, LOGO, "id"], ATTS)
-    return cell_rates(cell_profiles(tallied, ATTS), ATTS)
+    return cell_rates(cell_profiles(tallied), ATTS)
 
 
 def test_roll_up_equals_direct_tally(spark):

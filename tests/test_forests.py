@@ -54,7 +54,7 @@ def bagged(labelled):
 
 @pytest.fixture(scope="module")
 def cells(bagged):
-    return cell_rates(cell_profiles(bagged, ATTS), ATTS).persist()
+    return cell_rates(cell_profiles(bagged), ATTS).persist()
 
 
 @pytest.fixture(scope="module")
@@ -158,7 +158,7 @@ def test_submitter_order_and_mean(spark):
     assert spark.range(1).selectExpr("1.0D AS a", "2.0D AS b").select(mean_of(["a", "b"])).first()[0] == 1.5
 
 
-@pytest.mark.parametrize("limits", [{}, {"taskRows": "20", "broadcastRows": "0"}])
+@pytest.mark.parametrize("limits", [{}, {"taskRows": "20", "broadcastBytes": "0"}])
 def test_version_rows(labelled, cells, models, settings, limits):
     settings(**limits)
     scored = score_cells(cells, INPUTS, models)

@@ -7,9 +7,9 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from recordtrust.operators.joins import MAX_HOT, attach, hot_keys, spread_join
+from recordtrust.operators.joins import MAX_HOT, attach, byte_size, hot_keys, spread_join
 
-HOT = {"taskRows": "50", "broadcastRows": "0"}
+HOT = {"taskRows": "50", "broadcastBytes": "0"}
 
 
 def rows_of(df):
@@ -95,7 +95,7 @@ def test_copies_are_dealt_by_row_number(spark, settings):
     assert rows_of(got) == rows_of(plain(copies, right, ["k"], "left"))
 
 
-@pytest.mark.parametrize("limits", [{"taskRows": "50", "broadcastRows": "0"}, {"broadcastRows": "1000"}])
+@pytest.mark.parametrize("limits", [{"taskRows": "50", "broadcastBytes": "0"}, {"broadcastBytes": "100000"}])
 @pytest.mark.parametrize("how", ["inner", "left"])
 def test_attach(many, settings, limits, how):
     settings(**limits)
@@ -116,3 +116,8 @@ def test_no_partition_holds_the_hot_key(spark, many, one, settings):
     finally:
         for k, v in old.items():
             spark.conf.set(k, v)
+
+
+def test_byte_size_counts_text(spark):
+    df = spark.createDataFrame([(1, "abc"), (2, "é"), (3, None)], "k bigint, t string")
+    assert byte_size(df) == 3 * 16 + 3 + 2

@@ -43,5 +43,5 @@ def test_entry(spark):
 )
 def test_hot_key_paths_give_the_same_rows(spark, duck, settings, name):
     """With tiny limits nearly every key is hot and nothing is broadcast by size."""
-    settings(taskRows="20", broadcastRows="0")
+    settings(taskRows="20", broadcastBytes="0")
     assert compare(QUERIES[name](spark, SF_DIR).toArrow(), duck.sql(ORACLES[name]).to_arrow_table()) is None
