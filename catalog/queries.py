@@ -36,10 +36,13 @@ class Inputs:
         self.tables = derive_sources(spark, sf_dir.rstrip("/"), self.workspace)
 
     @cache
-    def labelled(self, numeric_logo: bool = False) -> DataFrame:
+    def _labelled(self, numeric_logo: bool) -> DataFrame:
         tables = with_numeric_logo(self.tables) if numeric_logo else self.tables
         return job.label_pairs(tables, self.workspace)
 
+    def labelled(self, numeric_logo: bool = False) -> DataFrame:
+        return self._labelled(numeric_logo)
+
     def all_rows(self, numeric_logo: bool = False) -> DataFrame:
         return self.labelled(numeric_logo).drop("master_links")
 
@@ -55,7 +58,7 @@ class Inputs:
         return reliable if only_reliable else everyone
 
     @cache
-    def profile(self, key: str, numeric_logo: bool = False) -> DataFrame:
+    def profile(self, key: str, numeric_logo: bool) -> DataFrame:
         return self.workspace.stage(profile.profile(self.all_rows(numeric_logo), key), f"profile-{key}")
 
     def combined(self, numeric_logo: bool = False) -> DataFrame:
@@ -192,7 +195,7 @@ def profile_logo_observed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def combine_submitter(spark: SparkSession, sf_dir: str) -> DataFrame:
     given = inputs(spark, sf_dir)
-    return features.combine(given.all_rows(), given.profile(SUB), SUB, "inner")
+    return features.combine(given.all_rows(), given.profile(SUB, False), SUB, "inner")
 
 
 def combine_logo(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from recordtrust.functions.comparators import known
@@ -127,14 +128,16 @@ def build_features(
     """Profile every entity, join all profiles to the rows at once, add histories and rates.
 
     Profiles always come from the rows as given, before any row is dropped for a missing key. The
-    join carries the plain counts; the statistics are named after it.
+    join carries the plain counts; the statistics are named after it. Pass staged rows: they are read
+    twice, and a hot cell's rows are dealt by their number.
     """
     workspace = workspace or Workspace(labelled.sparkSession)
     keys = [e.key for e in entities]
     tallied = workspace.stage(tally(labelled, keys, attributes, fill_count), "tally")
     cells = workspace.stage(cell_profiles(tallied, entities).drop("first_id"), "cells")
     needed = [c for c in cells.columns if "_disagree_of_" not in c]
-    rows = attach(labelled, cells.select(needed), keys, "inner", "n", null_safe=True)
+    position = F.monotonically_increasing_id()
+    rows = attach(labelled, cells.select(needed), keys, "inner", "n", null_safe=True, row=position)
     combined = rows.selectExpr(*labelled.columns, *_all_statistics(attributes, entities, fill_count))
     histories = [column for e in entities for column in history(e.key, attributes)]
     return add_rates(fill_zero(combined.selectExpr("*", *histories)), attributes, entities)

@@ -72,9 +72,9 @@ def _deal(df: DataFrame, columns: Sequence[str], hot: HotKeys | None, salt: str,
     if hot is None:
         return df.withColumn(salt, F.lit(0))
     row = F.xxhash64(*df.columns) if row is None else row
-    dealt = _with_salts(df.withColumn("__row", row), columns, hot, "__salts")
-    picked = F.coalesce(F.pmod(F.col("__row"), F.col("__salts")).cast("int"), F.lit(0))
-    return dealt.withColumn(salt, picked).drop("__row", "__salts")
+    dealt = _with_salts(df.withColumn("__dealt_by", row), columns, hot, "__salts")
+    picked = F.coalesce(F.pmod(F.col("__dealt_by"), F.col("__salts")).cast("int"), F.lit(0))
+    return dealt.withColumn(salt, picked).drop("__dealt_by", "__salts")
 
 
 def _repeat(df: DataFrame, columns: Sequence[str], hot: HotKeys | None, salt: str, salts: str) -> DataFrame:
@@ -135,7 +135,13 @@ def byte_size(df: DataFrame) -> int:
 
 
 def attach(
-    rows: DataFrame, per_key: DataFrame, keys: Sequence[str], how: str, weight: str, null_safe: bool = False
+    rows: DataFrame,
+    per_key: DataFrame,
+    keys: Sequence[str],
+    how: str,
+    weight: str,
+    null_safe: bool = False,
+    row: Column | None = None,
 ) -> DataFrame:
     """Join a per-key table to the rows it was made from; ``weight`` counts the rows per key.
 
@@ -144,4 +150,5 @@ def attach(
     """
     if byte_size(per_key) <= setting(rows.sparkSession, BROADCAST_BYTES):
         return spread_join(rows, F.broadcast(per_key), keys, how, null_safe=null_safe)
-    return spread_join(rows, per_key, keys, how, left_hot=hot_keys(per_key, keys, weight), null_safe=null_safe)
+    hot = hot_keys(per_key, keys, weight)
+    return spread_join(rows, per_key, keys, how, left_hot=hot, left_row=row, null_safe=null_safe)

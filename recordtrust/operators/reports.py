@@ -53,17 +53,20 @@ def version_rows(
     """Versions with the scores of their cell, ordered by master and then version.
 
     ``scored_cells`` holds the entity keys, ``n`` and a ``_prob`` per attribute. Rows of cells
-    without scores (no submitter) drop out; missing numbers read 0 as in the feature frame.
+    without scores (no submitter) drop out; missing numbers read 0 as in the feature frame. Pass
+    staged rows: their row number is the last sort key, so that equal rows can be sorted apart.
     """
     keys = [e.key for e in entities]
     ids = ["comp_data_id_version", "comp_data_id_master"]
-    rows = labelled.select(*keys, *ids, *[f"{a}_version" for a in attributes])
+    row = F.monotonically_increasing_id().alias("__position")
+    rows = labelled.select(*keys, *ids, *[f"{a}_version" for a in attributes], row)
     probabilities = scored_cells.select(*keys, "n", *[f"{a}_prob" for a in attributes])
     joined = fill_zero(attach(rows, probabilities, keys, "inner", "n", null_safe=True))
     interleaved = [c for a in attributes for c in (f"{a}_version", f"{a}_prob")]
-    return joined.select(*ids, *interleaved).orderBy(
-        F.asc_nulls_last("comp_data_id_master"), F.asc_nulls_last("comp_data_id_version")
+    ordered = joined.orderBy(
+        F.asc_nulls_last("comp_data_id_master"), F.asc_nulls_last("comp_data_id_version"), "__position"
     )
+    return ordered.select(*ids, *interleaved)
 
 
 def score_cells(
