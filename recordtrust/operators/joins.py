@@ -20,6 +20,7 @@ from pyspark.sql import types as T
 TASK_ROWS = ("spark.recordtrust.taskRows", "2000000")
 BROADCAST_BYTES = ("spark.recordtrust.broadcastBytes", str(64 << 20))
 MAX_HOT = 1000
+BUCKETS = 65536
 
 
 def setting(spark: SparkSession, option: tuple[str, str]) -> int:
@@ -36,21 +37,30 @@ class HotKeys(NamedTuple):
 def hot_keys(df: DataFrame, keys: Sequence[str], weight: str | None = None) -> HotKeys | None:
     """Hot keys of a side, or of a per-key table whose ``weight`` column counts the rows behind it.
 
-    Null counts as a key value: it may be as crowded as any other.
+    Null counts as a key value: it may be as crowded as any other. Rows are counted by hash bucket
+    first, which needs no shuffle of the keys: a hot key fills its bucket beyond the limit, so only
+    the keys of such buckets, if there are any, are counted one by one.
     """
     spark, keys = df.sparkSession, list(keys)
     task_rows = setting(spark, TASK_ROWS)
     total = df.count() if weight is None else df.agg(F.sum(weight)).first()[0] or 0
     if total <= task_rows:
         return None
+    limit = max(task_rows, total // MAX_HOT)
+    if weight is None:
+        bucket = F.pmod(F.xxhash64(*keys), F.lit(BUCKETS))
+        full = df.groupBy(bucket.alias("bucket")).count().where(F.col("count") > limit).collect()  # below MAX_HOT
+        if not full:
+            return None
+        df = df.where(bucket.isin([r.bucket for r in full]))
     rows = F.count(F.lit(1)) if weight is None else F.sum(weight)
     hot = (
         df.groupBy(*keys)
         .agg(rows.alias("__rows"))
-        .where(F.col("__rows") > max(task_rows, total // MAX_HOT))
+        .where(F.col("__rows") > limit)
         .select(*keys, F.ceil(F.col("__rows") / task_rows).cast("int").alias("__salts"))
     )
-    found = hot.collect()  # fewer than MAX_HOT rows, see above
+    found = hot.collect()  # below MAX_HOT as well
     return HotKeys(spark.createDataFrame(found, hot.schema), keys) if found else None
 
 
