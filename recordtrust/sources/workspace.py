@@ -1,30 +1,26 @@
-"""Intermediate tables in the cluster's shared checkpoint folder."""
+"""Intermediate tables in a folder that all executors share."""
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT = "spark.checkpoint.dir"
+WAREHOUSE = "spark.sql.warehouse.dir"
 
 
 class Workspace:
     """Writes intermediate results as Parquet tables and reads them back.
 
     A written table cuts lineage, survives lost executors, is read back column by column, and
-    gives the optimizer true sizes. Tables lie under the folder named by ``spark.checkpoint.dir``;
-    where that is unset, a local session gets a temporary folder and a cluster session an error.
+    gives the optimizer true sizes. Tables lie under ``root``, else under the folder named by
+    ``spark.checkpoint.dir``, else under the session's warehouse folder; ``close`` deletes them.
     """
 
     def __init__(self, spark: SparkSession, root: str | None = None):
         self.spark = spark
-        root = root or spark.conf.get(CHECKPOINT, None)
-        if root is None:
-            if not (spark.conf.get("spark.master", "") or "").startswith("local"):
-                raise ValueError(f"set {CHECKPOINT} to a folder that all executors share")
-            root = tempfile.mkdtemp(prefix="recordtrust-")
+        root = root or spark.conf.get(CHECKPOINT, None) or spark.conf.get(WAREHOUSE)
         self.root = f"{root.rstrip('/')}/recordtrust-{uuid.uuid4().hex}"
 
     def path(self, name: str) -> str:
@@ -34,3 +30,14 @@ class Workspace:
         path = self.path(name)
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
+
+    def close(self) -> None:
+        """Delete the tables of this workspace, through the file system they were written to."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.root)
+        path.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+
+    def __enter__(self) -> Workspace:
+        return self
+
+    def __exit__(self, *error: object) -> None:
+        self.close()
