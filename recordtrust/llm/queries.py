@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recordtrust.llm import bpe, chat, quality_rules
+from recordtrust.llm import bpe, chat, quality_classifier, quality_rules, repeats, suffixes, toxicity
 from recordtrust.sources.workspace import Workspace
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,10 +23,26 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encoding_digests(table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY))
 
 
+def op3_repeated_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.remove_repeats(table(spark, sf_dir, "documents"))
+
+
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.repeated_passages(table(spark, sf_dir, "documents"))
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents"), Workspace(spark))
 
 
+def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_classifier.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), Workspace(spark))
+
+
 def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     marks = "<|im_end|><|im_start|>assistant ok"
     probe = spark.range(2).select(
@@ -40,7 +56,8 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_bpe, op6_quality_rules, op10_chat)}
+    found = (op1_bpe, op3_repeated_spans, op4_toxicity, op5_suffix_dedup, op6_quality_rules, op7_quality_classifier, op10_chat)
+    return {f.__name__: f for f in found}
 
 
 CHAT_SQL = r"""

@@ -1,0 +1,53 @@
+from __future__ import annotations
+
+import hashlib
+import re
+from collections import Counter
+
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+
+from recordtrust.llm import exchange, repeats
+
+WORD = re.compile("[^\x20\x09-\x0d]+")
+COLUMNS = ["doc_id", "n_words", "n_removed", "kept_sha256"]
+
+
+def brute(rows, k):
+    texts = [WORD.findall(t or "") for _, t, *_ in rows]
+    often = Counter(tuple(w[i : i + k]) for w in texts for i in range(len(w) - k + 1))
+    for (doc_id, *_), w in zip(rows, texts, strict=True):
+        gone = {i + j for i in range(len(w) - k + 1) if often[tuple(w[i : i + k])] > 1 for j in range(k)}
+        kept = " ".join(x for i, x in enumerate(w) if i not in gone)
+        yield doc_id, len(w), len(gone), hashlib.sha256(kept.encode()).hexdigest()
+
+
+def check(spark, rows, k):
+    docs = spark.createDataFrame(rows, "doc_id long, text string, block string, row string")
+    found = repeats.remove_repeats(docs, k).select(COLUMNS).collect()
+    assert sorted(map(tuple, found), key=str) == sorted(brute(rows, k), key=str)
+
+
+def test_cases(spark, monkeypatch):
+    monkeypatch.setattr(exchange, "BUCKET_KEYS", 500)
+    many = " ".join(f"w{i}" for i in range(3000))
+    part = " ".join(f"w{i}" for i in range(100, 160))
+    rows = [(1, many, "", ""), (2, f"x {part} y", "", ""), (2, f"x {part} y", "", ""), (None, None, "", ""), (4, "", "", ""), (5, "a " * 400, "", "")]
+    rows += [(6, part[:-4], "", ""), (7, "\n\t", "", ""), (8, f"p {part} é\x0bw1", None, None)]
+    check(spark, rows, 35)
+    assert repeats.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string, b string, c string").limit(0)).count() == 0
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.lists(st.sampled_from("abc"), max_size=30).map(" ".join), min_size=1, max_size=12))
+def test_random_texts(spark, texts):
+    check(spark, [(i % 4, t, "", "") for i, t in enumerate(texts)], 4)
+
+
+def test_whole_table(spark, monkeypatch):
+    monkeypatch.setattr(exchange, "BLOCK_BYTES", 1 << 18)
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    found = repeats.remove_repeats(docs).select(COLUMNS).collect()
+    assert sorted(map(tuple, found)) == sorted(brute(rows, 35))
+    assert sum(r.n_removed for r in found) > 0
