@@ -22,8 +22,8 @@ from pyspark.sql import functions as F
 
 from recordtrust.llm.text import U64, Texts, texts_of
 
-BLOCK_BYTES = 6 << 20
-BUCKET_KEYS = 3_000_000
+BLOCK_BYTES = 4 << 20
+BUCKET_KEYS = 1_500_000
 
 
 class Blocks(NamedTuple):
@@ -34,17 +34,28 @@ class Blocks(NamedTuple):
     buckets: int
 
 
-def deal(documents: DataFrame, extra: dict[str, Column] | None = None, block_bytes: int = BLOCK_BYTES) -> Blocks:
+def _order(*by: str) -> Column:
+    return F.shiftrightunsigned(F.xxhash64(*by), 33)
+
+
+def block_of(n: int, *by: str) -> Column:
+    """The block rises with the hash, so the order of hashes is that of blocks, and of rows inside them."""
+    return F.floor(_order(*by) * F.lit(n) / F.lit(float(1 << 31))).cast("long")
+
+
+def deal(documents: DataFrame, extra: dict[str, Column] | None = None, by: tuple[str, ...] = ("doc_id", "text")) -> Blocks:
     total = documents.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).cast("long")).first()[0]
-    n = max(1, -(-total // block_bytes))
+    n = max(1, -(-total // BLOCK_BYTES))
     columns = {"doc_id": F.col("doc_id"), "text": F.col("text")} | (extra or {})
-    # The block rises with the hash, so the order of hashes is that of blocks, and of rows inside them.
-    order = F.shiftrightunsigned(F.xxhash64("doc_id", "text"), 33)
-    block = F.floor(order * F.lit(n) / F.lit(float(1 << 31))).cast("long")
-    rows = documents.select(block.alias("block"), order.alias("order"), *[c.alias(name) for name, c in columns.items()])
+    rows = documents.select(block_of(n, *by).alias("block"), _order(*by).alias("order"), *[c.alias(name) for name, c in columns.items()])
     return Blocks(rows, n, max(1, total // 6 // BUCKET_KEYS))
 
 
+def in_order(table: pa.Table) -> pa.Table:
+    """A block's rows in an order that does not depend on how they arrived."""
+    return table.sort_by([("order", "ascending"), ("doc_id", "ascending"), ("text", "ascending")])
+
+
 class Keys(NamedTuple):
     """Key of every place of a block, a second hash that picks the bucket, and optional counts per place."""
 
@@ -111,26 +122,28 @@ def _counts(packed: bytes, n: int) -> np.ndarray:
     return out
 
 
-def _add(width: int):
-    """Totals of equal keys of all blocks, sent back to each block in the order of its keys."""
+def add(width: int, summary: Callable[[np.ndarray, np.ndarray], np.ndarray] | None = None):
+    """Totals of equal keys of all blocks, sent back to each block in the order of its keys.
+
+    ``summary`` of a bucket's distinct keys and totals goes with the first of its rows.
+    """
 
     def run(table: pa.Table) -> pa.Table:
         keys = [np.frombuffer(x.as_py(), U64) for x in table.column("keys")]
-        sizes = np.array([len(x) for x in keys])
-        flat = np.concatenate(keys)
+        cut = np.concatenate([[0], np.cumsum([len(x) for x in keys])]).tolist()
+        distinct, back = np.unique(np.concatenate(keys), return_inverse=True)
         del keys
-        distinct, back = np.unique(flat, return_inverse=True)
-        counts = np.concatenate([_counts(x.as_py(), n * width) for x, n in zip(table.column("counts"), sizes.tolist(), strict=True)])
-        counts = counts.reshape(-1, width)
-        totals = np.column_stack([np.bincount(back, counts[:, i], len(distinct)) for i in range(width)]).astype(np.int64)[back]
-        cut = np.concatenate([[0], np.cumsum(sizes)]).tolist()
-        return pa.table(
-            {
-                "block": table.column("block"),
-                "bucket": table.column("bucket"),
-                "totals": pa.array([_small(totals[a:b]) for a, b in zip(cut[:-1], cut[1:], strict=True)], pa.binary()),
-            }
-        )
+        totals = np.zeros((len(distinct), width), np.int64)
+        for x, a, b in zip(table.column("counts"), cut[:-1], cut[1:], strict=True):  # a block's keys are distinct
+            totals[back[a:b]] += _counts(x.as_py(), (b - a) * width).reshape(-1, width)
+        columns = {
+            "block": table.column("block"),
+            "bucket": table.column("bucket"),
+            "totals": pa.array([_small(totals[back[a:b]]) for a, b in zip(cut[:-1], cut[1:], strict=True)], pa.binary()),
+        }
+        if summary is not None:
+            columns["summary"] = pa.array([summary(distinct, totals), *[None] * (table.num_rows - 1)], pa.list_(pa.int64()))
+        return pa.table(columns)
 
     return run
 
@@ -168,7 +181,7 @@ def first_keys(sent: DataFrame) -> DataFrame:
 def count_keys(blocks: Blocks, emit: Emit, width: int = 1) -> DataFrame:
     """Corpus-wide totals for every block's keys: block, bucket, totals."""
     sent = blocks.rows.groupBy("block").applyInArrow(send(emit, blocks.buckets, width), SENT)
-    return sent.groupBy("bucket").applyInArrow(_add(width), "block long, bucket long, totals binary")
+    return sent.groupBy("bucket").applyInArrow(add(width), TOTALS)
 
 
 def totals_of(replies: pa.Table, packed: Packed, width: int = 1) -> np.ndarray:

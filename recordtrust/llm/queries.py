@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recordtrust.llm import bpe, chat, quality_classifier, quality_rules, repeats, suffixes, toxicity
+from recordtrust.llm import bpe, chat, decontamination, language_model, minhash, quality_classifier, quality_rules, repeats, suffixes, toxicity
 from recordtrust.sources.workspace import Workspace
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,8 +23,12 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encoding_digests(table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY))
 
 
+def op2_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_model.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), Workspace(spark))
+
+
 def op3_repeated_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return repeats.remove_repeats(table(spark, sf_dir, "documents"))
+    return repeats.remove_repeats(table(spark, sf_dir, "documents"), Workspace(spark))
 
 
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -43,6 +47,14 @@ def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_classifier.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), Workspace(spark))
 
 
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("text_hash")
+
+
+def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), Workspace(spark))
+
+
 def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     marks = "<|im_end|><|im_start|>assistant ok"
     probe = spark.range(2).select(
@@ -56,7 +68,10 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    found = (op1_bpe, op3_repeated_spans, op4_toxicity, op5_suffix_dedup, op6_quality_rules, op7_quality_classifier, op10_chat)
+    found = (
+        op1_bpe, op2_lm_score, op3_repeated_spans, op4_toxicity, op5_suffix_dedup, op6_quality_rules, op7_quality_classifier, op8_decontamination,
+        op9_near_duplicates, op10_chat,
+    )
     return {f.__name__: f for f in found}
 
 

@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 
 from recordtrust.llm import exchange
 from recordtrust.llm.text import Texts, Words, span_hash, texts_of, windows, words_of
+from recordtrust.sources.workspace import Workspace
 
 WINDOW = 35
 PATHS = "block long, row long, doc_id long, start long, n_edges long, met long, path long, check long"
@@ -47,7 +48,8 @@ def paths(blocks: exchange.Blocks, k: int) -> DataFrame:
         return keys, np.ones((len(keys.key), 1), np.int64)
 
     def use(table: pa.Table, texts: Texts, replies: pa.Table) -> pa.Table:
-        words = words_of(texts)
+        table = exchange.in_order(table)
+        words = words_of(texts_of(table.column("text")))
         start, keys = edge_keys(words, k)
         packed = exchange.pack(keys, buckets)
         met = exchange.totals_of(replies, packed)[packed.place, 0]
@@ -88,12 +90,14 @@ def compact(found: DataFrame) -> DataFrame:
     return joined.withColumn("confirmed", F.col("sources") >= F.col("walkers"))
 
 
-def remove_repeats(documents: DataFrame, k: int = WINDOW) -> DataFrame:
+def remove_repeats(documents: DataFrame, workspace: Workspace, k: int = WINDOW) -> DataFrame:
     """Digest of every text without the words covered by repeated windows; see OUTPUT."""
     blocks = exchange.deal(documents)
-    spans = compact(paths(blocks, k)).select("block", "row", "start", "n_edges", "confirmed")
+    found = workspace.stage(paths(blocks, k), "paths")
+    spans = compact(found).select("block", "row", "start", "n_edges", "confirmed")
 
     def use(table: pa.Table, found: pa.Table) -> pa.Table:
+        table = exchange.in_order(table)
         texts = texts_of(table.column("text"))
         words = words_of(texts)
         row, begin = (found.column(c).to_numpy() for c in ("row", "start"))

@@ -113,6 +113,19 @@ def span_hash(values: np.ndarray, start: np.ndarray, end: np.ndarray, which: int
     return mix((sums[end] - sums[start]) * down[start] + (end - start).astype(U64))
 
 
+PIECE = 1 << 16
+
+
+def byte_hash(data: np.ndarray, start: np.ndarray, end: np.ndarray, lower: bool = False) -> np.ndarray:
+    """Hash of many byte spans in rising order, a piece of them at a time to spare memory."""
+    values, out = byte_values(lower), np.empty(len(start), U64)
+    for i in range(0, len(start), PIECE):
+        a, b = start[i : i + PIECE], end[i : i + PIECE]
+        low = a[0]
+        out[i : i + PIECE] = span_hash(values[data[low : b[-1]]], a - low, b - low)
+    return out
+
+
 def words_of(texts: Texts, lower: bool = False) -> Words:
     data, at = texts
     if not len(data):
@@ -127,7 +140,7 @@ def words_of(texts: Texts, lower: bool = False) -> Words:
     after[-1], after[:-1] = True, space[1:]
     start = np.flatnonzero(~space & (before | edge[:-1]))
     end = np.flatnonzero(~space & (after | edge[1:])) + 1
-    return Words(start, end, span_hash(byte_values(lower)[data], start, end), np.searchsorted(start, at))
+    return Words(start, end, byte_hash(data, start, end, lower), np.searchsorted(start, at))
 
 
 def windows(words: Words, size: int, which: int = 0) -> tuple[np.ndarray, np.ndarray]:

@@ -1,0 +1,86 @@
+from __future__ import annotations
+
+import zlib
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+
+from recordtrust.llm import quality_classifier as qc
+from recordtrust.llm import toxicity
+from recordtrust.llm.text import texts_of
+from recordtrust.sources.workspace import Workspace
+
+SF = "/root/testdata/sf0.1"
+TABLE = "doc_id long, text string, score string, source string"
+
+
+@pytest.fixture(scope="module")
+def tables(spark):
+    return tuple(spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
+
+
+def rates(scored, labels, label):
+    known = labels.select("doc_id", F.col(label).alias("truth"))
+    rows = scored.where("held_out").join(known, "doc_id").groupBy("truth", "predicted").count().collect()
+    n = {(r.truth, r.predicted): r["count"] for r in rows}
+    return n.get((1, 1), 0) / max(1, n.get((1, 1), 0) + n.get((1, 0), 0)), n.get((1, 1), 0) / max(1, n.get((1, 1), 0) + n.get((0, 1), 0))
+
+
+def test_toxicity_held_out(tables):
+    documents, labels = tables
+    scored = toxicity.classify(documents, labels).cache()
+    assert scored.count() == documents.count() and scored.where("score < 0 OR score > 1 OR score IS NULL").count() == 0
+    recall, precision = rates(scored, labels, "toxic")
+    assert recall > 0.75 and precision > 0.9
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 3 == 1) for r in scored.limit(200).collect())
+
+
+def test_toxic_sentences_are_found(spark):
+    calm = [f"This is the plain sentence number {i}. It says nothing of note." for i in range(300)]
+    rows = [(i, t + (" What a foul vexword you are!" if i % 4 == 0 else "") + " The end.") for i, t in enumerate(calm)]
+    docs = spark.createDataFrame([(*r, "s", "x") for r in rows], TABLE)
+    labels = spark.createDataFrame([(i, 1, int(i % 4 == 0)) for i, _ in rows], "doc_id long, quality int, toxic int")
+    model = toxicity.fit(docs, labels)
+    found = toxicity.toxic_sentences(docs, model).collect()
+    assert {r.doc_id for r in found} == {i for i, _ in rows if i % 4 == 0}
+    assert all("vexword" in r.sentence for r in found)
+    odd = spark.createDataFrame([(1, None, "", ""), (1, None, "", ""), (2, "", "", ""), (3, "What a foul vexword you are! " * 5_000, "", ""), (None, ".\n!", "", "")], TABLE)
+    got = {r.doc_id: r for r in toxicity.score_documents(odd, model).collect()}
+    assert got[3].score > 0.7 > max(got[1].score, got[2].score, got[None].score)
+    none = toxicity.classify(odd, labels.limit(0)).collect()
+    assert {r.score for r in none} == {0.0} and len(none) == 5
+    assert toxicity.classify(odd.limit(0), labels).count() == 0
+
+
+def test_quality_held_out(spark, tables):
+    documents, labels = tables
+    with Workspace(spark) as space:
+        scored = qc.classify(documents, labels, space).cache()
+        assert scored.count() == documents.count() and scored.where("score < 0 OR score > 1 OR score IS NULL").count() == 0
+        recall, precision = rates(scored, labels, "quality")
+        assert recall > 0.95 and precision > 0.95
+        assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) for r in scored.limit(200).collect())
+
+
+def test_statistics_and_odd_rows(spark):
+    texts = [None, "", "a", "A b  c\n\na b c\na b c", "x " * 50_000, "é# !", "\n"]
+    found = qc.statistics(texts_of(pa.array(texts, pa.string())))
+    by = dict(zip(qc.STATISTICS, found.T, strict=True))
+    assert by["words"].tolist() == [0, 0, 1, 9, 50_000, 2, 0]
+    assert by["lines"].tolist() == [0, 0, 1, 4, 1, 1, 1]
+    assert by["repeated_lines"].tolist()[3] == 0.25
+    assert np.isfinite(found).all()
+    docs = spark.createDataFrame([(i, t, "", "") for i, t in enumerate(texts)] + [(3, texts[3], "", ""), (None, "a", "", "")], TABLE)
+    labels = spark.createDataFrame([(1, 1, 0), (3, 1, 0), (None, 0, 0), (77, 0, 0), (2, None, 0)], "doc_id long, quality int, toxic int")
+    with Workspace(spark) as space:
+        assert len({r.score for r in qc.classify(docs, labels, space).collect()}) == 1
+        assert {r.score for r in qc.classify(docs, labels.limit(0), space).collect()} == {0.5}
+        assert qc.classify(docs.limit(0), labels, space).count() == 0
+
+
+def test_paths_of_a_printed_tree():
+    tree = "Model\n  If (feature 1 <= 2.5)\n   If (feature 0 <= 1.0)\n    Predict: 0.0\n   Else (feature 0 > 1.0)\n    Predict: 1.0\n  Else (feature 1 > 2.5)\n   Predict: 1.0\n"
+    one, two = qc.Test(1, False, 2.5), qc.Test(1, True, 2.5)
+    assert qc.paths(tree) == [(one,), (qc.Test(0, False, 1.0), one), (qc.Test(0, True, 1.0), one), (two,)]

@@ -1,0 +1,71 @@
+from __future__ import annotations
+
+import random
+import re
+from collections import Counter
+
+from recordtrust.llm import decontamination as d
+
+WORD = re.compile("[^\x20\x09-\x0d]+")
+
+
+def grams(words):
+    k = min(5, len(words))
+    return Counter(tuple(words[i : i + k]) for i in range(len(words) - k + 1)) if words else Counter()
+
+
+def brute(rows, items):
+    texts = [(i, WORD.findall((t or "").lower())) for i, t in rows]
+    for item, text in items:
+        words = WORD.findall((text or "").lower())
+        if not words:
+            continue
+        want, vocabulary = grams(words), set(words)
+        for i, w in texts:
+            best = None
+            for s in range(len(w) - len(words) + 1):
+                if w[s] in vocabulary or w[s + len(words) // 2] in vocabulary:
+                    have = grams(w[s : s + len(words)])
+                    same = sum((have & want).values())
+                    if 9 * same >= 8 * sum(want.values()):
+                        best = max(best or (0, 0), (same / (2 * sum(want.values()) - same), -s))
+            if best:
+                yield i, item, -best[1], round(best[0], 9)
+
+
+def check(spark, rows, items, monkeypatch=None):
+    docs = spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, text string, item string")
+    bench = spark.createDataFrame([(*r, 1) for r in items], "item_id long, text string, doc_id int")
+    found = d.leaks(docs, bench).drop("text_hash").collect()
+    assert sorted({(r.doc_id, r.item_id, r.start, round(r.similarity, 9)) for r in found}, key=str) == sorted(set(brute(rows, items)), key=str)
+    return docs, bench
+
+
+def test_cases(spark, monkeypatch):
+    rng = random.Random(3)
+    word = lambda: f"w{rng.randrange(400)}"
+    items = [(i, " ".join(word() for _ in range(rng.choice([1, 3, 5, 6, 16, 40, 59])))) for i in range(25)]
+    items += [(50, None), (51, ""), (52, "the same " * 20), (None, items[-1][1]), (54, "Ä b c d e f")]
+    rows = [(100, None), (101, ""), (102, "same the " * 30), (103, "ä B\tc d\ne f"), (None, items[5][1]), (104, " ".join(word() for _ in range(3_000)))]
+    for i in range(60):
+        words = items[i % 25][1].split()
+        for _ in range(rng.choice([0, 0, 1, 2, 5])):
+            at = rng.randrange(len(words) + 1)
+            words[at : at + rng.choice([0, 1])] = [word()] * rng.choice([0, 1])
+        rows.append((i, " ".join([word() for _ in range(rng.randrange(30))] + words + [word() for _ in range(rng.randrange(30))])))
+    rows += rows[-2:]
+    docs, bench = check(spark, rows, items)
+    monkeypatch.setattr(d, "ITEM_SHINGLES", 300)
+    check(spark, rows, items)
+    kept = d.drop_leaking(docs, bench)
+    assert kept.columns == docs.columns
+    bad = {(i, t) for i, t in rows for j, *_ in brute([(i, t)], items)}
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == sorted((r for r in rows if r not in bad), key=str)
+    assert d.leaks(docs.limit(0), bench).count() == 0
+    assert d.leaks(docs, bench.limit(0)).count() == 0
+
+
+def test_whole_table(spark):
+    rows = [tuple(r) for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text").collect()]
+    items = [tuple(r) for r in spark.read.parquet("/root/testdata/sf0.01/benchmark.parquet").select("item_id", "text").collect()]
+    check(spark, rows[:400], items)

@@ -8,6 +8,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
 from recordtrust.llm import exchange, repeats
+from recordtrust.sources.workspace import Workspace
 
 WORD = re.compile("[^\x20\x09-\x0d]+")
 COLUMNS = ["doc_id", "n_words", "n_removed", "kept_sha256"]
@@ -24,7 +25,7 @@ def brute(rows, k):
 
 def check(spark, rows, k):
     docs = spark.createDataFrame(rows, "doc_id long, text string, block string, row string")
-    found = repeats.remove_repeats(docs, k).select(COLUMNS).collect()
+    found = repeats.remove_repeats(docs, Workspace(spark), k).select(COLUMNS).collect()
     assert sorted(map(tuple, found), key=str) == sorted(brute(rows, k), key=str)
 
 
@@ -35,7 +36,7 @@ def test_cases(spark, monkeypatch):
     rows = [(1, many, "", ""), (2, f"x {part} y", "", ""), (2, f"x {part} y", "", ""), (None, None, "", ""), (4, "", "", ""), (5, "a " * 400, "", "")]
     rows += [(6, part[:-4], "", ""), (7, "\n\t", "", ""), (8, f"p {part} é\x0bw1", None, None)]
     check(spark, rows, 35)
-    assert repeats.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string, b string, c string").limit(0)).count() == 0
+    assert repeats.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string, b string, c string").limit(0), Workspace(spark)).count() == 0
 
 
 @settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
@@ -48,6 +49,6 @@ def test_whole_table(spark, monkeypatch):
     monkeypatch.setattr(exchange, "BLOCK_BYTES", 1 << 18)
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     rows = [(r.doc_id, r.text) for r in docs.collect()]
-    found = repeats.remove_repeats(docs).select(COLUMNS).collect()
+    found = repeats.remove_repeats(docs, Workspace(spark)).select(COLUMNS).collect()
     assert sorted(map(tuple, found)) == sorted(brute(rows, 35))
     assert sum(r.n_removed for r in found) > 0
