@@ -85,8 +85,23 @@ Emit = Callable[[pa.Table, Texts], tuple[Keys, np.ndarray]]
 SENT = "block long, bucket long, keys binary, counts binary"
 
 
-def send(emit: Emit, buckets: int, width: int):
-    """Count a block's keys: ``emit`` gives the keys of all places and their (places, width) increments."""
+def _bytes(keys: np.ndarray, size: int) -> bytes:
+    return keys.tobytes() if size == 8 else np.ascontiguousarray(keys.view(np.uint8).reshape(-1, 8)[:, :size]).tobytes()
+
+
+def _keys(packed: bytes, size: int) -> np.ndarray:
+    if size == 8:
+        return np.frombuffer(packed, U64)
+    wide = np.zeros((len(packed) // size, 8), np.uint8)
+    wide[:, :size] = np.frombuffer(packed, np.uint8).reshape(-1, size)
+    return wide.view(U64).ravel()
+
+
+def send(emit: Emit, buckets: int, width: int, size: int = 8):
+    """Count a block's keys: ``emit`` gives the keys of all places and their (places, width) increments.
+
+    Keys travel in ``size`` bytes; with less than 8, the others must be 0.
+    """
 
     def run(table: pa.Table) -> pa.Table:
         keys, steps = emit(table, texts_of(table.column("text")))
@@ -98,7 +113,7 @@ def send(emit: Emit, buckets: int, width: int):
             {
                 "block": pa.array([block] * len(spans), pa.int64()),
                 "bucket": pa.array([b for b, _, _ in spans], pa.int64()),
-                "keys": pa.array([packed.key[x:y].tobytes() for _, x, y in spans], pa.binary()),
+                "keys": pa.array([_bytes(packed.key[x:y], size) for _, x, y in spans], pa.binary()),
                 "counts": pa.array([_small(counts[x:y]) for _, x, y in spans], pa.binary()),
             }
         )
@@ -122,14 +137,14 @@ def _counts(packed: bytes, n: int) -> np.ndarray:
     return out
 
 
-def add(width: int, summary: Callable[[np.ndarray, np.ndarray], np.ndarray] | None = None):
+def add(width: int, summary: Callable[[np.ndarray, np.ndarray], np.ndarray] | None = None, size: int = 8):
     """Totals of equal keys of all blocks, sent back to each block in the order of its keys.
 
     ``summary`` of a bucket's distinct keys and totals goes with the first of its rows.
     """
 
     def run(table: pa.Table) -> pa.Table:
-        keys = [np.frombuffer(x.as_py(), U64) for x in table.column("keys")]
+        keys = [_keys(x.as_py(), size) for x in table.column("keys")]
         cut = np.concatenate([[0], np.cumsum([len(x) for x in keys])]).tolist()
         distinct, back = np.unique(np.concatenate(keys), return_inverse=True)
         del keys
