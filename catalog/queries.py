@@ -280,7 +280,7 @@ def csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     given = inputs(spark, sf_dir)
     path, rows = given.workspace.path("pairs.csv"), pairs.build_pairs(given.tables)
     sinks.write_csv(rows, path)
-    return spark.read.schema(rows.schema).option("header", True).csv(path)
+    return sinks.read_csv(spark, path, rows.schema)
 
 
 def model_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -312,7 +312,7 @@ def end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
     given = inputs(spark, sf_dir)
     out = given.workspace.path("out")
     job.run(spark, given.tables, out, given.workspace, trees=TREES, depth=DEPTH)
-    return spark.read.option("header", True).csv(f"{out}/version_reliability")
+    return sinks.read_csv(spark, f"{out}/version_reliability")
 
 
 def queries() -> dict[str, Query]:

@@ -1,10 +1,11 @@
 """Equi-joins that hold when one key carries a large share of the rows.
 
-A key is hot when its rows exceed both what one task should hold and a thousandth of the side's
-rows. By that second bound fewer than a thousand keys can be hot, so the list of them is small
-whatever the data, and may be collected and broadcast. Rows of a hot key are dealt over as many
-salts as they need tasks; the matching rows of the other side are repeated once per salt. All
-other rows keep salt 0. Joins without hot keys are left exactly as Spark plans them.
+A key is hot when it has more rows than one task should hold, whatever the size of the table. Hot keys
+are counted and written once; there are at most rows / taskRows of them, their table is measured, and
+looked up by broadcast below broadcastBytes, beyond that by a join in which every hot key is spread as
+well. Rows of a hot key are dealt over as many salts as they need tasks; the matching rows of the other
+side are repeated once per salt. All other rows keep salt 0. Joins without hot keys are left exactly
+as Spark plans them.
 """
 
 from __future__ import annotations
@@ -17,10 +18,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from recordtrust.sources.workspace import Workspace
+
 TASK_ROWS = ("spark.recordtrust.taskRows", "2000000")
 BROADCAST_BYTES = ("spark.recordtrust.broadcastBytes", str(64 << 20))
-MAX_HOT = 1000
-BUCKETS = 65536
 
 
 def setting(spark: SparkSession, option: tuple[str, str]) -> int:
@@ -28,40 +29,37 @@ def setting(spark: SparkSession, option: tuple[str, str]) -> int:
 
 
 class HotKeys(NamedTuple):
-    """Hot key values of one join side, each with its salt count, as a bounded local table."""
+    """Hot key values of one join side with their salt counts, the largest of those, and whether the
+    table is small enough to broadcast."""
 
     table: DataFrame
     keys: list[str]
+    salts: int
+    small: bool
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], weight: str | None = None) -> HotKeys | None:
     """Hot keys of a side, or of a per-key table whose ``weight`` column counts the rows behind it.
 
-    Null counts as a key value: it may be as crowded as any other. Rows are counted by hash bucket
-    first, which needs no shuffle of the keys: a hot key fills its bucket beyond the limit, so only
-    the keys of such buckets, if there are any, are counted one by one.
+    Null counts as a key value: it may be as crowded as any other. Counts form before the shuffle.
     """
     spark, keys = df.sparkSession, list(keys)
     task_rows = setting(spark, TASK_ROWS)
     total = df.count() if weight is None else df.agg(F.sum(weight)).first()[0] or 0
     if total <= task_rows:
         return None
-    limit = max(task_rows, total // MAX_HOT)
-    if weight is None:
-        bucket = F.pmod(F.xxhash64(*keys), F.lit(BUCKETS))
-        full = df.groupBy(bucket.alias("bucket")).count().where(F.col("count") > limit).collect()  # below MAX_HOT
-        if not full:
-            return None
-        df = df.where(bucket.isin([r.bucket for r in full]))
     rows = F.count(F.lit(1)) if weight is None else F.sum(weight)
     hot = (
         df.groupBy(*keys)
         .agg(rows.alias("__rows"))
-        .where(F.col("__rows") > limit)
+        .where(F.col("__rows") > task_rows)
         .select(*keys, F.ceil(F.col("__rows") / task_rows).cast("int").alias("__salts"))
     )
-    found = hot.collect()  # below MAX_HOT as well
-    return HotKeys(spark.createDataFrame(found, hot.schema), keys) if found else None
+    found = Workspace(spark).stage(hot, "hot")
+    salts = found.agg(F.max("__salts")).first()[0]
+    if salts is None:
+        return None
+    return HotKeys(found, keys, salts, byte_size(found) <= setting(spark, BROADCAST_BYTES))
 
 
 def _same(pairs: Sequence[tuple[str, str]], null_safe: bool) -> Column:
@@ -74,7 +72,13 @@ def _with_salts(df: DataFrame, columns: Sequence[str], hot: HotKeys, salts: str)
     names = {k: f"__hot_{k}" for k in hot.keys}
     table = hot.table.withColumnsRenamed({**names, "__salts": salts})
     same = _same(list(zip(columns, names.values())), null_safe=True)
-    return df.join(F.broadcast(table), same, "left").drop(*names.values())
+    if hot.small:
+        return df.join(F.broadcast(table), same, "left").drop(*names.values())
+    # Each key is repeated, so the lookup spreads the rows of a hot one as well.
+    table = table.withColumn("__hot_copy", F.explode(F.sequence(F.lit(0), F.lit(hot.salts - 1))))
+    spread = df.withColumn("__spread", F.pmod(F.xxhash64(*df.columns), F.lit(hot.salts)).cast("int"))
+    same &= F.col("__spread") == F.col("__hot_copy")
+    return spread.join(table, same, "left").drop(*names.values(), "__spread", "__hot_copy")
 
 
 def _deal(df: DataFrame, columns: Sequence[str], hot: HotKeys | None, salt: str, row: Column | None) -> DataFrame:
@@ -122,7 +126,7 @@ def spread_join(
     if not null_safe:  # null keys of the right side meet nothing
         right = right.dropna(subset=right_keys)
         if right_hot is not None:
-            right_hot = HotKeys(right_hot.table.dropna(subset=right_hot.keys), right_hot.keys)
+            right_hot = right_hot._replace(table=right_hot.table.dropna(subset=right_hot.keys))
     left = _deal(left, keys, left_hot, "__left_dealt", left_row)
     left = _repeat(left, keys, right_hot, "__left_copy", "__copies")
     right = _deal(right, right_keys, right_hot, "__right_dealt", right_row)

@@ -46,7 +46,16 @@ COMPARATORS: dict[str, Comparator] = {
 ATTRIBUTES: tuple[str, ...] = tuple(COMPARATORS)
 
 # The attributes whose reliabilities make up a submitter's general reliability.
-GENERAL_ATTRIBUTES: tuple[str, ...] = ATTRIBUTES[:8]
+GENERAL_ATTRIBUTES: tuple[str, ...] = (
+    "tenant_name",
+    "space_type_id",
+    "transaction_size",
+    "starting_rent",
+    "execution_date",
+    "commencement_date",
+    "lease_term",
+    "expiration_date",
+)
 
 
 class Entity(NamedTuple):
@@ -63,18 +72,6 @@ ENTITIES: tuple[Entity, ...] = (
 )
 
 
-def correct_names(attributes: Iterable[str]) -> list[str]:
-    return [f"{a}_correct" for a in attributes]
-
-
-def filled_names(attributes: Iterable[str]) -> list[str]:
-    return [f"{a}_filled" for a in attributes]
-
-
-def label_names(attributes: Iterable[str]) -> list[str]:
-    return [f"{a}_label" for a in attributes]
-
-
 def rate_names(attributes: Iterable[str], entities: Iterable[Entity] = ENTITIES) -> list[str]:
     entities = list(entities)
     return [f"{a}_{e.short}_{kind}_rate" for a in attributes for e in entities for kind in ("correct", "fill")]

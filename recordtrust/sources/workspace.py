@@ -15,12 +15,17 @@ class Workspace:
 
     A written table cuts lineage, survives lost executors, is read back column by column, and
     gives the optimizer true sizes. Tables lie under ``root``, else under the folder named by
-    ``spark.checkpoint.dir``, else under the session's warehouse folder; ``close`` deletes them.
+    ``spark.checkpoint.dir``. Where that is unset, a local session uses its warehouse folder and a
+    cluster session gets an error, as its warehouse may not be shared. ``close`` deletes the tables.
     """
 
     def __init__(self, spark: SparkSession, root: str | None = None):
         self.spark = spark
-        root = root or spark.conf.get(CHECKPOINT, None) or spark.conf.get(WAREHOUSE)
+        root = root or spark.conf.get(CHECKPOINT, None)
+        if root is None:
+            if not (spark.conf.get("spark.master", "") or "").startswith("local"):
+                raise ValueError(f"set {CHECKPOINT} to a folder that all executors share")
+            root = spark.conf.get(WAREHOUSE)
         self.root = f"{root.rstrip('/')}/recordtrust-{uuid.uuid4().hex}"
 
     def path(self, name: str) -> str:

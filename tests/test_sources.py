@@ -110,3 +110,17 @@ def test_stage_reads_back_what_it_wrote(spark, tmp_path):
     df = spark.range(5).selectExpr("id", "array(id) AS a")
     staged = Workspace(spark, str(tmp_path)).stage(df, "t")
     assert staged.orderBy("id").collect() == df.collect() and staged.dtypes == df.dtypes
+
+
+def test_csv_keeps_spaces_quotes_and_line_breaks(spark, tmp_path):
+    import csv
+
+    from recordtrust.sources.sinks import read_csv, write_csv
+
+    rows = [(1, "  lead"), (2, "trail  "), (3, 'a "quote", a comma'), (4, "two\nlines"), (5, "back\\slash"), (6, None)]
+    df = spark.createDataFrame(rows, "id int, name string").coalesce(1)
+    write_csv(df, str(tmp_path / "names"))
+    assert sorted(map(tuple, read_csv(spark, str(tmp_path / "names"), df.schema).collect())) == rows
+    (part,) = (tmp_path / "names").glob("part-*")
+    with part.open(newline="") as file:
+        assert [(int(r["id"]), r["name"]) for r in csv.DictReader(file)] == [(i, t or "") for i, t in rows]
