@@ -8,13 +8,17 @@ from pyspark.sql import functions as F
 from recordtrust.sources.workspace import Workspace
 
 
-def _star(edges: DataFrame, large: bool) -> DataFrame:
+def _star(edges: DataFrame, workspace: Workspace, large: bool) -> DataFrame:
     """Link every neighbour above a node (large), or every one up to it and the node (small), to the least
-    of the node and its neighbours."""
+    of the node and its neighbours.
+
+    The least neighbours are written, so the join has two plain shuffles and Spark can split the node at
+    the centre of a large star.
+    """
     both = edges.select(F.col("a").alias("node"), F.col("b").alias("near"))
     if large:
         both = both.unionByName(edges.select(F.col("b").alias("node"), F.col("a").alias("near")))
-    least = both.groupBy("node").agg(F.min("near").alias("least"))
+    least = workspace.stage(both.groupBy("node").agg(F.min("near").alias("least")), "least")
     joined = both.join(least, "node")
     root = F.least("least", "node")
     if large:
@@ -42,5 +46,5 @@ def components(edges: DataFrame, workspace: Workspace) -> DataFrame:
                 current.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
             )
         mark = tuple(state)
-        wide = workspace.stage(_star(current, large=True), "large")
-        current = workspace.stage(_star(wide, large=False), "small")
+        wide = workspace.stage(_star(current, workspace, large=True), "large")
+        current = workspace.stage(_star(wide, workspace, large=False), "small")

@@ -203,7 +203,8 @@ def near_duplicates(documents: DataFrame, workspace: Workspace, percent: int = P
     similar = workspace.stage(links(documents, signed, workspace, percent), "links")
     known = signed.where("n_shingles > 0 AND doc_id IS NOT NULL")
     by_set = known.groupBy("set_a", "set_b", "n_shingles").agg(F.min("doc_id").alias("b"), F.max("doc_id").alias("top")).where("b != top")
-    copies = known.join(by_set.drop("top"), ["set_a", "set_b", "n_shingles"]).select(F.col("doc_id").alias("a"), "b")
+    # Written first, so the join has two plain shuffles and Spark can split a large group of copies.
+    copies = known.join(workspace.stage(by_set.drop("top"), "sets"), ["set_a", "set_b", "n_shingles"]).select(F.col("doc_id").alias("a"), "b")
     found = components(similar.unionByName(copies), workspace).withColumnRenamed("node", "doc_id")
     return (
         signed.select("doc_id", "n_shingles")

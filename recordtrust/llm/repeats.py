@@ -80,13 +80,17 @@ def paths(blocks: exchange.Blocks, k: int) -> DataFrame:
     return exchange.with_totals(blocks, exchange.count_keys(blocks, emit), use, PATHS)
 
 
-def compact(found: DataFrame) -> DataFrame:
-    """Join paths with the same words: add their sources, the first of them, and whether they confirm it."""
+def compact(found: DataFrame, workspace: Workspace) -> DataFrame:
+    """Join paths with the same words: add their sources, the first of them, and whether they confirm it.
+
+    The merged paths are written, so the join has two plain shuffles and Spark can split a path that
+    very many texts share.
+    """
     same = ["path", "check", "n_edges"]
     merged = found.groupBy(*same).agg(
         F.count(F.lit(1)).alias("sources"), F.min(F.struct("doc_id", "start")).alias("first_source"), F.max("met").alias("walkers")
     )
-    joined = found.join(merged, same)
+    joined = found.join(workspace.stage(merged, "merged"), same)
     return joined.withColumn("confirmed", F.col("sources") >= F.col("walkers"))
 
 
@@ -94,7 +98,7 @@ def remove_repeats(documents: DataFrame, workspace: Workspace, k: int = WINDOW)
     """Digest of every text without the words covered by repeated windows; see OUTPUT."""
     blocks = exchange.deal(documents)
     found = workspace.stage(paths(blocks, k), "paths")
-    spans = compact(found).select("block", "row", "start", "n_edges", "confirmed")
+    spans = compact(found, workspace).select("block", "row", "start", "n_edges", "confirmed")
 
     def use(table: pa.Table, found: pa.Table) -> pa.Table:
         table = exchange.in_order(table)
