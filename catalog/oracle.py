@@ -5,10 +5,11 @@ from __future__ import annotations
 from catalog.sample import source_ctes
 from recordtrust.registry import ATTRIBUTES, ENTITIES, GENERAL_ATTRIBUTES, rate_names
 
-STRICT = [a for a in ATTRIBUTES if a in (
+# The attributes that agree when they are equal.
+STRICT = [
     "space_type_id", "starting_rent", "work_value", "free_months", "transaction_type_id",
     "rent_bumps_percent_bumps", "rent_bumps_dollar_bumps", "lease_type_id",
-)]
+]
 DATES = [a for a in ATTRIBUTES if a.endswith("_date")]
 SUB, LOGO = (e.key for e in ENTITIES)
 NUMERIC = [a for a in ATTRIBUTES if a != "tenant_name" and a not in DATES]
@@ -249,6 +250,25 @@ def _version_projection() -> str:
     return statement(f"SELECT comp_data_id_version, comp_data_id_master, {', '.join(columns)} FROM features")
 
 
+def _flags() -> str:
+    return ", ".join(f"true AS {a}_prob_ok" for a in ATTRIBUTES)
+
+
+def _version_flags() -> str:
+    values = ", ".join(f"{a}_version" for a in ATTRIBUTES)
+    return statement(f"SELECT comp_data_id_version, comp_data_id_master, {values}, {_flags()} FROM features")
+
+
+def _version_csv() -> str:
+    """The version report as its CSV has it, where missing text and dates are 0 as well."""
+    values = [f"CAST({a}_version AS DOUBLE) AS {a}_version" for a in NUMERIC]
+    days = [f"COALESCE(strftime({a}_version, '%Y-%m-%d'), '0') AS {a}_version" for a in DATES]
+    return statement(
+        "SELECT comp_data_id_version, comp_data_id_master, COALESCE(tenant_name_version, '0') AS tenant_name_version, "
+        f"{', '.join([*values, *days])}, {_flags()} FROM features"
+    )
+
+
 def oracle() -> dict[str, str]:
     pairs = ", ".join(PAIR_COLUMNS)
     held_out_rows = f"(SELECT *, {HELD_OUT} AS held_out FROM features) WHERE @_label <> -1"
@@ -310,4 +330,19 @@ def oracle() -> dict[str, str]:
         ),
         "parquet_round_trip": statement(f"SELECT {pairs} FROM pairs"),
         "csv_round_trip": statement(f"SELECT {pairs} FROM pairs"),
+        "model_metrics": statement(
+            _per_attribute(
+                "'@' AS attribute, count(*) AS n, true AS accuracy_ok, true AS f1_ok", held_out_rows + " AND held_out"
+            ),
+            only_reliable=True,
+        ),
+        "submitter_reliability": statement(
+            f"SELECT submitter_name, {SUB}, n_support, true AS reliabilities_ok, true AS general_ok FROM records",
+            only_reliable=True,
+        ),
+        "version_reliability": _version_flags(),
+        "model_round_trip": statement(
+            f"SELECT {SUB}, {LOGO}, count(*) AS n, true AS same_scores FROM features GROUP BY {SUB}, {LOGO}"
+        ),
+        "end_to_end": _version_csv(),
     }

@@ -3,17 +3,17 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import cache
+from functools import cache, reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from catalog.oracle import LABEL_COLUMNS, PAIR_COLUMNS, STRICT, pairs_sql
+from catalog.oracle import DATES, LABEL_COLUMNS, NUMERIC, PAIR_COLUMNS, STRICT
 from catalog.sample import derive_sources, with_numeric_logo
 from recordtrust.functions.comparators import parse_date, within_days
 from recordtrust.operators import features, forests, joins, labels, metrics, pairs, profile, reports, vectors
 from recordtrust.plans import job
-from recordtrust.registry import ATTRIBUTES, COMPARATORS, ENTITIES, model_columns, rate_names
+from recordtrust.registry import ATTRIBUTES, COMPARATORS, ENTITIES, GENERAL_ATTRIBUTES, model_columns, rate_names
 from recordtrust.sources import readers, sinks
 from recordtrust.sources.workspace import Workspace
 
@@ -90,15 +90,34 @@ def pairs_reliable(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def pairs_from_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The pair query as SQL text over the source tables, as a warehouse user would send it."""
-    tables = inputs(spark, sf_dir).tables
+    names = ["comp_data_id", *ATTRIBUTES]
+    version, master = (", ".join(f"{side}.{c} AS {c}_{side}" for c in names) for side in ("version", "master"))
     sql = f"""
-        WITH linked AS ({pairs_sql()})
-        SELECT {", ".join(PAIR_COLUMNS)} FROM linked
-        WHERE comp_master_id IN (
-          SELECT comp_master_id FROM comp_master_versions GROUP BY comp_master_id HAVING count(*) > 3)"""
-    for name in tables:
-        sql = sql.replace(f"FROM {name} ", f"FROM {{{name}}} ").replace(f"JOIN {name} ", f"JOIN {{{name}}} ")
-    return readers.read_query(tables, sql)
+        WITH record AS (
+          SELECT d.id AS comp_data_id, t.name AS tenant_name, c.space_type_id, d.* EXCEPT (id, tenant_id)
+          FROM {{comp_data}} d
+          JOIN {{comp_data_calculated_fields}} c ON c.comp_data_id = d.id
+          LEFT JOIN {{tenant}} t ON t.id = d.tenant_id
+        ), reliable AS (
+          SELECT comp_master_id FROM {{comp_master_versions}} GROUP BY comp_master_id HAVING count(*) > 3
+        ), sent AS (
+          SELECT p.comp_version_id, found.logo
+          FROM {{comp_proposal}} p
+          LEFT JOIN {{lease_tasks}} task ON task.batch_id = p.comp_batch_id
+          LEFT JOIN ({{submissions}} s JOIN {{logo_detection_submission}} found ON found.id = s.id)
+            ON s.id = task.submission_id
+        ), described AS (
+          SELECT v.id, v.submitter_person_id, sent.logo, {version}, {master}
+          FROM {{comp_master_versions}} link
+          LEFT SEMI JOIN reliable ON reliable.comp_master_id = link.comp_master_id
+          JOIN {{comp_master}} m ON m.id = link.comp_master_id
+          JOIN record master ON master.comp_data_id = m.comp_data_id
+          JOIN {{comp_version}} v ON v.id = link.comp_version_id
+          JOIN record version ON version.comp_data_id = v.comp_data_id
+          LEFT JOIN sent ON sent.comp_version_id = v.id
+        )
+        SELECT {", ".join(PAIR_COLUMNS)} FROM described"""
+    return readers.read_query(tables=inputs(spark, sf_dir).tables, sql=sql)
 
 
 def progress_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -123,8 +142,8 @@ def submitter_names(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _label_query(attributes: list[str]) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        rows = pairs.build_pairs(inputs(spark, sf_dir).tables, attributes)
-        labelled = labels.add_labels(rows, {a: COMPARATORS[a] for a in attributes})
+        comparators = {a: COMPARATORS[a] for a in attributes}
+        labelled = pairs.linked_pairs(inputs(spark, sf_dir).tables, attributes, comparators)
         columns = [f"{a}_{kind}" for a in attributes for kind in ("version", "master", "filled", "label")]
         return labelled.select("id", "logo", *columns)
 
@@ -147,7 +166,7 @@ def parse_date_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def labels_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = labels.add_labels(pairs.build_pairs(inputs(spark, sf_dir).tables))
+    rows = pairs.linked_pairs(inputs(spark, sf_dir).tables, ATTRIBUTES, COMPARATORS)
     return rows.select(*PAIR_COLUMNS, *LABEL_COLUMNS)
 
 
@@ -283,36 +302,64 @@ def csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sinks.read_csv(spark, path, rows.schema)
 
 
+def _in_range(*names: str) -> Column:
+    """Whether all of these are numbers from 0 to 1."""
+    return reduce(Column.__and__, [F.coalesce(F.col(c).cast("double").between(0, 1), F.lit(False)) for c in names])
+
+
 def model_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return inputs(spark, sf_dir).fitted()[1]
+    """Held-out rows per attribute, and whether accuracy and F1 are shares."""
+    found = inputs(spark, sf_dir).fitted()[1]
+    return found.select("attribute", "n", _in_range("accuracy").alias("accuracy_ok"), _in_range("f1").alias("f1_ok"))
 
 
 def submitter_reliability(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Who is in the submitter report, with what support, and whether its reliabilities hold together."""
     given = inputs(spark, sf_dir)
     names = readers.submitter_names(given.tables["person"])
-    return reports.submitter_report(given.population(True).cells, INPUTS, given.fitted()[0], names)
+    report = reports.submitter_report(given.population(True).cells, INPUTS, given.fitted()[0], names)
+    general = reports.mean_of([f"{a}_reliability" for a in GENERAL_ATTRIBUTES])
+    return report.select(
+        "submitter_name",
+        SUB,
+        "n_support",
+        _in_range(*[f"{a}_reliability" for a in ATTRIBUTES]).alias("reliabilities_ok"),
+        (F.abs(F.col("general_reliability") - general) < 1e-9).alias("general_ok"),
+    )
 
 
 def version_reliability(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The version report, with whether a score is a share in place of the score."""
     given = inputs(spark, sf_dir)
     scored = reports.score_cells(given.population(False).cells, INPUTS, given.fitted()[0])
-    return reports.version_rows(given.labelled(), given.workspace.stage(scored, "scored"))
+    rows = reports.version_rows(given.labelled(), given.workspace.stage(scored, "scored"))
+    flags = [_in_range(f"{a}_prob").alias(f"{a}_prob_ok") for a in ATTRIBUTES]
+    return rows.select("comp_data_id_version", "comp_data_id_master", *[f"{a}_version" for a in ATTRIBUTES], *flags)
 
 
 def model_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Cells scored by forests that were saved and loaded again."""
+    """Cells, and whether forests that were saved and loaded again score them as those in memory."""
     given = inputs(spark, sf_dir)
-    path = given.workspace.path("models")
-    forests.save_models(given.fitted()[0], path)
-    return reports.score_cells(given.population(False).cells, INPUTS, forests.load_models(path, ATTRIBUTES))
+    path, fitted = given.workspace.path("models"), given.fitted()[0]
+    forests.save_models(fitted, path)
+    before = forests.score(given.population(False).cells, INPUTS, fitted)
+    before = before.withColumnsRenamed({f"{a}_prob": f"{a}_before" for a in ATTRIBUTES})
+    after = forests.score(before, INPUTS, forests.load_models(path, ATTRIBUTES))
+    same = reduce(Column.__and__, [F.col(f"{a}_before") == F.col(f"{a}_prob") for a in ATTRIBUTES])
+    return after.select(*KEYS, "n", same.alias("same_scores"))
 
 
 def end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The whole job; its version report read back."""
+    """The whole job; its version report read back and typed."""
     given = inputs(spark, sf_dir)
     out = given.workspace.path("out")
     job.run(spark, given.tables, out, given.workspace, trees=TREES, depth=DEPTH)
-    return sinks.read_csv(spark, f"{out}/version_reliability")
+    rows = sinks.read_csv(spark, f"{out}/version_reliability")
+    ids = [F.col(c).cast("long").alias(c) for c in ("comp_data_id_version", "comp_data_id_master")]
+    values = [F.col(f"{a}_version").cast("double").alias(f"{a}_version") for a in NUMERIC]
+    days = [F.substring(f"{a}_version", 1, 10).alias(f"{a}_version") for a in DATES]
+    flags = [_in_range(f"{a}_prob").alias(f"{a}_prob_ok") for a in ATTRIBUTES]
+    return rows.select(*ids, "tenant_name_version", *values, *days, *flags)
 
 
 def queries() -> dict[str, Query]:

@@ -72,7 +72,7 @@ BODIES: dict[str, str] = {
         UNION ALL SELECT 3 * p_partkey + 1, concat(p_name, ' inc') FROM {part}
         UNION ALL SELECT 3 * p_partkey + 2, concat('the ', p_name) FROM {part}""",
     "comp_proposal": """
-        SELECT l_orderkey AS comp_version_id, l_partkey AS comp_batch_id FROM {lineitem} WHERE l_linenumber <= 2""",
+        SELECT l_orderkey AS comp_version_id, l_partkey AS comp_batch_id FROM {lineitem}""",
     "lease_tasks": "SELECT p_partkey AS batch_id, p_partkey AS submission_id FROM {part} WHERE p_size > 5",
     "submissions": "SELECT p_partkey AS id FROM {part} WHERE p_size > 10",
     "logo_detection_submission": """

@@ -7,13 +7,14 @@ staged ones.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from recordtrust.operators.joins import hot_keys, spread_join
-from recordtrust.registry import ATTRIBUTES
+from recordtrust.operators.labels import add_labels
+from recordtrust.registry import ATTRIBUTES, Comparator
 from recordtrust.sources.readers import Tables
 
 MIN_LINKS = 3
@@ -79,9 +80,14 @@ def version_logos(tables: Tables) -> DataFrame:
     ).select(F.col("comp_version_id").alias("id"), "logo", "proposal")
 
 
-def linked_pairs(tables: Tables, attributes: Sequence[str] = ATTRIBUTES) -> DataFrame:
+def linked_pairs(
+    tables: Tables, attributes: Sequence[str] = ATTRIBUTES, comparators: Mapping[str, Comparator] | None = None
+) -> DataFrame:
     """All pairs, with the number of link rows of the master in ``master_links``.
 
+    ``comparators`` add labels. Those depend on version and master only, so they are made once per
+    link, before the fan-out by logo.
+
     Masters are completed first, on their own; links meet them on the master id and versions and
     logos meet those on the version id, so the last two joins share one partitioning and the
     fan-out by logo happens after every shuffle of wide rows.
@@ -118,8 +124,11 @@ def linked_pairs(tables: Tables, attributes: Sequence[str] = ATTRIBUTES) -> Data
     )
     proposals = tables["comp_proposal"].select(F.col("comp_version_id").alias("id"))
     often_linked = hot_keys(links.select("id"), ["id"])
+    compared = spread_join(linked, versions, ["id"], left_hot=often_linked, left_row=F.col("link"))
+    if comparators:
+        compared = add_labels(compared, comparators)
     return spread_join(
-        spread_join(linked, versions, ["id"], left_hot=often_linked, left_row=F.col("link")),
+        compared,
         version_logos(tables),
         ["id"],
         "left",
@@ -135,6 +144,7 @@ def linked_pairs(tables: Tables, attributes: Sequence[str] = ATTRIBUTES) -> Data
         "comp_data_id_master",
         *[f"{a}_{side}" for side in ("version", "master") for a in attributes],
         "master_links",
+        *[f"{a}_{kind}" for a in comparators or () for kind in ("filled", "label")],
     )
 
 

@@ -20,14 +20,18 @@ def mean_of(columns: Sequence[str]) -> Column:
 
 
 def rank_submitters(scored: DataFrame, attributes: Sequence[str] = ATTRIBUTES) -> DataFrame:
-    """Name ``_prob`` columns as reliabilities, add the general one, order best first."""
+    """Name ``_prob`` columns as reliabilities, add the general one, order best first.
+
+    The general reliability is the mean over those of GENERAL_ATTRIBUTES that are given, or over all
+    given attributes if there are none of them.
+    """
     named = scored.select(
         "submitter_name",
         SUBMITTER,
         "n_support",
         *[F.col(f"{a}_prob").alias(f"{a}_reliability") for a in attributes],
     )
-    general = mean_of([f"{a}_reliability" for a in GENERAL_ATTRIBUTES])
+    general = mean_of([f"{a}_reliability" for a in [g for g in GENERAL_ATTRIBUTES if g in attributes] or attributes])
     return named.withColumn("general_reliability", general).orderBy(
         F.desc("general_reliability"), F.desc("n_support"), F.asc(SUBMITTER)
     )

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import argparse
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,11 +12,10 @@ from pyspark.sql import functions as F
 from recordtrust.operators.features import cell_profiles, cell_rates
 from recordtrust.operators.forests import HELD_OUT, Models, bagged_tally, examples, save_models, train_all
 from recordtrust.operators.joins import spread_join
-from recordtrust.operators.labels import add_labels
 from recordtrust.operators.metrics import held_out_metrics
 from recordtrust.operators.pairs import MIN_LINKS, linked_pairs
 from recordtrust.operators.reports import score_cells, submitter_report, version_rows
-from recordtrust.registry import ATTRIBUTES, COMPARATORS, ENTITIES, Entity, rate_names
+from recordtrust.registry import ATTRIBUTES, COMPARATORS, ENTITIES, Comparator, Entity, rate_names
 from recordtrust.session import configured
 from recordtrust.sources.readers import Tables, read_tables, submitter_names
 from recordtrust.sources.sinks import write_csv
@@ -33,10 +32,9 @@ class Population(NamedTuple):
     cells: DataFrame
 
 
-def label_pairs(tables: Tables, workspace: Workspace, attributes: Sequence[str] = ATTRIBUTES) -> DataFrame:
+def label_pairs(tables: Tables, workspace: Workspace, comparators: Mapping[str, Comparator] = COMPARATORS) -> DataFrame:
     """All pairs with labels, staged once: the reliable ones are a filter on ``master_links``."""
-    comparators = {a: COMPARATORS[a] for a in attributes}
-    return workspace.stage(add_labels(linked_pairs(tables, attributes), comparators), "labelled")
+    return workspace.stage(linked_pairs(tables, list(comparators), comparators), "labelled")
 
 
 def populations(
@@ -87,26 +85,31 @@ def run(
     trees: int = 100,
     depth: int = 10,
     parallelism: int = 4,
+    bags: int = 16,
+    comparators: Mapping[str, Comparator] = COMPARATORS,
 ) -> dict[str, int]:
     """Train on versions of well-linked masters, report on submitters and on all versions.
 
-    Writes ``models``, ``metrics``, ``submitter_reliability`` and ``version_reliability`` under
+    ``trees``, ``depth`` and ``bags`` size the forests: a forest's bootstrap draws that many bags of
+    every cell. ``comparators`` names the attributes and how each is compared; an attribute is a column
+    of the records. Writes ``models``, ``metrics``, ``submitter_reliability`` and ``version_reliability`` under
     ``out`` and returns the row counts of both populations.
     """
     workspace = workspace or Workspace(spark)
     out = out.rstrip("/")
-    inputs = rate_names(ATTRIBUTES, ENTITIES)
+    attributes = list(comparators)
+    inputs = rate_names(attributes, ENTITIES)
 
-    every_row = label_pairs(tables, workspace)
-    known, everyone = populations(every_row, workspace)
-    models, metrics = fit(known, workspace, trees=trees, depth=depth, parallelism=parallelism)
+    every_row = label_pairs(tables, workspace, comparators)
+    known, everyone = populations(every_row, workspace, attributes, bags=bags)
+    models, metrics = fit(known, workspace, attributes, trees=trees, depth=depth, parallelism=parallelism)
     save_models(models, f"{out}/models")
     write_csv(metrics, f"{out}/metrics")
 
     names = submitter_names(tables["person"])
-    write_csv(submitter_report(known.cells, inputs, models, names), f"{out}/submitter_reliability")
+    write_csv(submitter_report(known.cells, inputs, models, names, attributes), f"{out}/submitter_reliability")
     scored = workspace.stage(score_cells(everyone.cells, inputs, models), "scored")
-    write_csv(version_rows(every_row, scored), f"{out}/version_reliability", null_as_zero=True)
+    write_csv(version_rows(every_row, scored, attributes), f"{out}/version_reliability", null_as_zero=True)
     return {name: part.bagged.agg(F.sum("n")).first()[0] for name, part in (("reliable", known), ("all", everyone))}
 
 
@@ -116,9 +119,10 @@ def main() -> None:
     parser.add_argument("--out", required=True, help="folder for models and reports")
     parser.add_argument("--trees", type=int, default=100)
     parser.add_argument("--depth", type=int, default=10)
+    parser.add_argument("--bags", type=int, default=16, help="bags of rows that a forest draws from every cell")
     args = parser.parse_args()
     spark = configured(SparkSession.builder.appName("recordtrust")).getOrCreate()
-    counts = run(spark, read_tables(spark, args.tables), args.out, trees=args.trees, depth=args.depth)
+    counts = run(spark, read_tables(spark, args.tables), args.out, trees=args.trees, depth=args.depth, bags=args.bags)
     print(counts)
 
 

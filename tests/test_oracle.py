@@ -34,7 +34,7 @@ def test_query_without_sql_has_rows(spark, name):
 def test_entry(spark):
     df = entry(spark)
     assert len(df.columns) == 285
-    assert df.count() == 2119
+    assert df.count() == 5933
 
 
 @pytest.mark.parametrize(

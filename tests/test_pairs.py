@@ -17,6 +17,7 @@ from recordtrust.operators.pairs import (
     reliable_pairs,
     version_logos,
 )
+from recordtrust.registry import COMPARATORS
 from recordtrust.sources.schemas import SCHEMAS
 
 DAY = datetime(2021, 5, 1)
@@ -158,3 +159,10 @@ def test_parts_under_hot_keys(skewed, settings):
     plain = [Counter(tuple(r) for r in f(skewed).drop("proposal").collect()) for f in (records, version_logos, linked_pairs)]
     settings(taskRows="100")
     assert [Counter(tuple(r) for r in f(skewed).drop("proposal").collect()) for f in (records, version_logos, linked_pairs)] == plain
+
+
+def test_names_are_compared_before_the_fan_out(tables):
+    """Labels are made once per link: the logo join reads them."""
+    plan = linked_pairs(tables, ["tenant_name"], {"tenant_name": COMPARATORS["tenant_name"]})._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1
+    assert plan.index("ArrowEvalPython") > plan.index("Join LeftOuter, (id")
