@@ -118,6 +118,15 @@ def cell_rates(
     return named.selectExpr(*own, *rates(attributes, entities))
 
 
+def rows_with_cell(df: DataFrame, entities: Sequence[Entity] = ENTITIES) -> DataFrame:
+    """Rows that can have a cell: those whose first entity is known, if it is joined inner.
+
+    The join with the cells would drop the others too, but only after all of them met in one task.
+    """
+    first = entities[0]
+    return df.where(known(df, first.key).isNotNull()) if first.how == "inner" else df
+
+
 def build_features(
     labelled: DataFrame,
     attributes: Sequence[str] = ATTRIBUTES,
@@ -137,7 +146,8 @@ def build_features(
     cells = workspace.stage(cell_profiles(tallied, entities).drop("first_id"), "cells")
     needed = [c for c in cells.columns if "_disagree_of_" not in c]
     position = F.monotonically_increasing_id()
-    rows = attach(labelled, cells.select(needed), keys, "inner", "n", null_safe=True, row=position)
+    found = rows_with_cell(labelled, entities)
+    rows = attach(found, cells.select(needed), keys, "inner", "n", null_safe=True, row=position)
     combined = rows.selectExpr(*labelled.columns, *_all_statistics(attributes, entities, fill_count))
     histories = [column for e in entities for column in history(e.key, attributes)]
     return add_rates(fill_zero(combined.selectExpr("*", *histories)), attributes, entities)

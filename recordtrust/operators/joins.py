@@ -81,13 +81,22 @@ def _with_salts(df: DataFrame, columns: Sequence[str], hot: HotKeys, salts: str)
     return spread.join(table, same, "left").drop(*names.values(), "__spread", "__hot_copy")
 
 
-def _deal(df: DataFrame, columns: Sequence[str], hot: HotKeys | None, salt: str, row: Column | None) -> DataFrame:
-    """Give every row of a hot key one of its salts, and all other rows salt 0."""
-    if hot is None:
+def _deal(
+    df: DataFrame, columns: Sequence[str], hot: HotKeys | None, salt: str, row: Column | None, scatter: bool = False
+) -> DataFrame:
+    """Give every row of a hot key one of its salts, and all other rows salt 0.
+
+    With ``scatter`` every row with a null key gets a salt of its own.
+    """
+    if hot is None and not scatter:
         return df.withColumn(salt, F.lit(0))
-    row = F.xxhash64(*df.columns) if row is None else row
-    dealt = _with_salts(df.withColumn("__dealt_by", row), columns, hot, "__salts")
-    picked = F.coalesce(F.pmod(F.col("__dealt_by"), F.col("__salts")).cast("int"), F.lit(0))
+    dealt, picked = df.withColumn("__dealt_by", F.xxhash64(*df.columns) if row is None else row), F.lit(0)
+    if hot is not None:
+        dealt = _with_salts(dealt, columns, hot, "__salts")
+        picked = F.coalesce(F.pmod(F.col("__dealt_by"), F.col("__salts")).cast("int"), F.lit(0))
+    if scatter:
+        unmatched = reduce(Column.__or__, [F.col(c).isNull() for c in columns])
+        picked = F.when(unmatched, F.pmod(F.xxhash64("__dealt_by"), F.lit(1 << 30)).cast("int")).otherwise(picked)
     return dealt.withColumn(salt, picked).drop("__dealt_by", "__salts")
 
 
@@ -109,28 +118,36 @@ def spread_join(
     left_row: Column | None = None,
     right_row: Column | None = None,
     null_safe: bool = False,
+    scatter_nulls: bool = False,
 ) -> DataFrame:
     """Inner or left join on equally named keys; hot keys of either side are dealt over tasks.
 
     ``left_row`` / ``right_row`` number the rows for dealing, in a way that a retried task repeats.
     The default hashes the whole row; pass a row id where identical copies may be frequent.
+    ``scatter_nulls`` spreads the left rows with a null key, which meet nothing, over all tasks; it
+    needs a join that is not ``null_safe``.
     """
     keys = list(keys)
     renamed = {k: f"__key_{k}" for k in keys}
     right_keys = list(renamed.values())
     right = right.withColumnsRenamed(renamed)
     same = _same(list(renamed.items()), null_safe)
-    if left_hot is None and right_hot is None:
+    if scatter_nulls and null_safe:
+        raise ValueError("null keys match in a null-safe join: they cannot be scattered")
+    if left_hot is None and right_hot is None and not scatter_nulls:
         return left.join(right, same, how).drop(*right_keys)
 
     if not null_safe:  # null keys of the right side meet nothing
         right = right.dropna(subset=right_keys)
         if right_hot is not None:
             right_hot = right_hot._replace(table=right_hot.table.dropna(subset=right_hot.keys))
-    left = _deal(left, keys, left_hot, "__left_dealt", left_row)
+    left = _deal(left, keys, left_hot, "__left_dealt", left_row, scatter_nulls)
     left = _repeat(left, keys, right_hot, "__left_copy", "__copies")
     right = _deal(right, right_keys, right_hot, "__right_dealt", right_row)
     right = _repeat(right, right_keys, left_hot, "__right_copy", "__unused").withColumn("__hit", F.lit(True))
+    if scatter_nulls and left_hot is None:
+        # Always 0, but no literal: Catalyst would take a literal out of the keys that rows are dealt by.
+        right = right.withColumn("__right_copy", F.pmod(F.xxhash64(*right_keys), F.lit(1)).cast("int"))
     same &= (F.col("__left_dealt") == F.col("__right_copy")) & (F.col("__left_copy") == F.col("__right_dealt"))
     joined = left.join(right, same, how)
     if how == "left" and right_hot is not None:
@@ -160,9 +177,12 @@ def attach(
     """Join a per-key table to the rows it was made from; ``weight`` counts the rows per key.
 
     The table is measured, so pass one that is cheap to read (a staged one). A small one is
-    broadcast; a larger one is joined by shuffle, its own counts telling which keys are hot.
+    broadcast; a larger one is joined by shuffle, its own counts telling which keys are hot. Rows
+    that a left join keeps for their null keys are not in those counts and are scattered.
     """
     if byte_size(per_key) <= setting(rows.sparkSession, BROADCAST_BYTES):
         return spread_join(rows, F.broadcast(per_key), keys, how, null_safe=null_safe)
-    hot = hot_keys(per_key, keys, weight)
-    return spread_join(rows, per_key, keys, how, left_hot=hot, left_row=row, null_safe=null_safe)
+    hot, scatter = hot_keys(per_key, keys, weight), how == "left" and not null_safe
+    return spread_join(
+        rows, per_key, keys, how, left_hot=hot, left_row=row, null_safe=null_safe, scatter_nulls=scatter
+    )

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from recordtrust.operators.features import fill_zero
+from recordtrust.operators.features import fill_zero, rows_with_cell
 from recordtrust.operators.forests import Models, score
 from recordtrust.operators.joins import attach
 from recordtrust.operators.vectors import SUBMITTER, submitter_records
@@ -65,7 +65,7 @@ def version_rows(
     row = F.monotonically_increasing_id().alias("__position")
     rows = labelled.select(*keys, *ids, *[f"{a}_version" for a in attributes], row)
     probabilities = scored_cells.select(*keys, "n", *[f"{a}_prob" for a in attributes])
-    joined = fill_zero(attach(rows, probabilities, keys, "inner", "n", null_safe=True))
+    joined = fill_zero(attach(rows_with_cell(rows, entities), probabilities, keys, "inner", "n", null_safe=True))
     interleaved = [c for a in attributes for c in (f"{a}_version", f"{a}_prob")]
     ordered = joined.orderBy(
         F.asc_nulls_last("comp_data_id_master"), F.asc_nulls_last("comp_data_id_version"), "__position"

@@ -103,19 +103,41 @@ def test_attach(many, settings, limits, how):
     assert rows_of(attach(many, stats, ["k"], how, "n")) == rows_of(plain(many, stats, ["k"], how))
 
 
-def test_no_partition_holds_the_hot_key(spark, many, one, settings):
-    settings(**HOT)
+@pytest.fixture
+def sixteen(spark):
+    """Shuffle joins over 16 partitions that nothing merges or splits."""
     conf = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "16"}
     old = {k: spark.conf.get(k) for k in conf}
     for k, v in conf.items():
         spark.conf.set(k, v)
-    try:
-        got = spread_join(many, one, ["k"], "left", left_hot=hot_keys(many, ["k"]), left_row=F.col("row"))
-        sizes = got.groupBy(F.spark_partition_id()).count().collect()
-        assert max(r["count"] for r in sizes) < 700  # of 3,000 rows, 1,000 with one key and 1,000 without
-    finally:
-        for k, v in old.items():
-            spark.conf.set(k, v)
+    yield
+    for k, v in old.items():
+        spark.conf.set(k, v)
+
+
+def largest_partition(df):
+    return max(r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect())
+
+
+def test_no_partition_holds_the_hot_key(many, one, settings, sixteen):
+    settings(**HOT)
+    got = spread_join(many, one, ["k"], "left", left_hot=hot_keys(many, ["k"]), left_row=F.col("row"))
+    assert largest_partition(got) < 700  # of 3,000 rows, 1,000 with one key and 1,000 without
+
+
+@pytest.mark.parametrize("task_rows", ["50", "100000"])
+def test_attach_scatters_null_keys(many, settings, sixteen, task_rows):
+    settings(taskRows=task_rows, broadcastBytes="0")
+    rows = many.where("k IS NULL OR k != 7")
+    stats = rows.dropna().groupBy("k").agg(F.count(F.lit(1)).alias("n"))
+    got = attach(rows, stats, ["k"], "left", "n")
+    assert largest_partition(got) < 300  # of 2,000 rows, 1,000 without a key
+    assert rows_of(got) == rows_of(plain(rows, stats, ["k"], "left"))
+
+
+def test_null_keys_of_a_null_safe_join_are_not_scattered(many, one):
+    with pytest.raises(ValueError):
+        spread_join(many, one, ["k"], "left", null_safe=True, scatter_nulls=True)
 
 
 def test_byte_size_counts_text(spark):
