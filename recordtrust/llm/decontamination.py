@@ -4,12 +4,12 @@ A text leaks an item if one of its windows of as many words has a weighted shing
 or more with it: shingles are 5 words in lower case (all words of a shorter item), weighted by how
 often they occur, and similarity is the sum of the lesser over the sum of the larger weights.
 
-1. Anchors: a window that similar shares at least ``need`` shingles with the item (0.889 of them). All
-   texts' shingles meet the items' shingles in a broadcast join; only texts and items with enough hits
-   go on. Among the shared shingles one lies within ``slack`` = all - need words of its place in the
-   item, as their mean places differ by no more, so every similar window begins within ``slack`` of an
-   anchor. This step loses nothing.
-2. SimHash: those windows get 64-bit fingerprints. Fingerprints are cut into RADIUS + 1 blocks, and
+1. Candidates: a window that similar shares at least ``need`` shingles with the item (0.889 of them), so
+   at least as many of its places hold a shingle of the item, wherever the item has it. All texts'
+   shingles meet the items' shingles in a broadcast join; starts are dealt to tiles as long as the item,
+   and a sliding count of the places that a tile's windows cover keeps the starts with enough of them. Order
+   plays no part, so swapped halves or sentences are found too. This step loses nothing.
+2. SimHash: the windows at those starts get 64-bit fingerprints. Fingerprints are cut into RADIUS + 1 blocks, and
    windows and items meet where they agree on the size and one block; two fingerprints within RADIUS
    bits agree on one at least. At similarity 0.8 (cosine 0.889) 9.7 of 64 bits differ in the mean with a
    standard deviation of 2.9, so a radius of 23 misses about one in a million.
@@ -26,7 +26,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SHINGLE, RADIUS = 5, 23
@@ -93,21 +93,38 @@ def item_shingles(benchmark: DataFrame) -> DataFrame:
     return sized.withColumn("m", F.size("grams"))
 
 
-def _hits(documents: DataFrame, items: DataFrame, size: int) -> DataFrame:
-    """Shared shingles: text, item, where the item would begin, and the text's shingles around there."""
+def _tiles(documents: DataFrame, items: DataFrame, size: int) -> DataFrame:
+    """Of every text, item and tile of starts: the places in reach that hold a shingle of the item, and the text's shingles there.
+
+    A tile is ``m`` starts beginning at ``low``; its windows reach 2 * m - 1 places, so a place counts in two tiles.
+    """
     grams = documents.select("doc_id", F.xxhash64("text").alias("text_hash"), word_hashes(F.col("text")).alias("hashes")).select(
         "doc_id", "text_hash", shingles("hashes", size).alias("own")
     )
-    places = items.where(F.col("size") == size).select("item", "m", F.posexplode_outer("grams").alias("q", "gram"))
-    found = grams.select("doc_id", "text_hash", "own", F.posexplode_outer("own").alias("p", "gram")).join(F.broadcast(places), "gram")
-    slack = F.col("m") - needed(F.col("m"))
-    begin = F.col("p") - F.col("q")
-    low = F.greatest(begin - slack, F.lit(0))
-    high = F.least(begin + slack, F.size("own") - F.col("m"))
-    return found.where(low <= high).select(
-        "doc_id", "text_hash", "item", "m", "q", begin.alias("begin"), low.alias("low"), (high - low + 1).alias("starts"),
-        F.slice("own", low + 1, high - low + F.col("m")).alias("around"),
-    )
+    known = items.where(F.col("size") == size).select("item", "m", F.explode_outer(F.array_distinct("grams")).alias("gram"))
+    found = grams.select("doc_id", "text_hash", "own", F.posexplode_outer("own").alias("p", "gram")).join(F.broadcast(known), "gram")
+    m, p = F.col("m"), F.col("p")
+    here = p - p % m
+    lows = F.when((here > 0) & (p - here < m - 1), F.array(here, here - m)).otherwise(F.array(here))
+    last = F.size("own") - m
+    reached = found.select("doc_id", "text_hash", "own", "item", "m", "p", last.alias("last"), F.explode(lows).alias("low")).where("low <= last")
+    around = F.slice("own", F.col("low") + 1, 2 * m - 1)
+    tiles = reached.select("doc_id", "text_hash", "item", "m", "low", "last", "p", around.alias("around"))
+    return tiles.groupBy("doc_id", "text_hash", "item", "m", "low", "last").agg(F.array_sort(F.collect_set("p")).alias("places"), F.first("around").alias("around"))
+
+
+def _starts(places: Column, need: Column, m: Column, low: Column, high: Column) -> Column:
+    """Starts from ``low`` to ``high`` of the windows of ``m`` that hold at least ``need`` of the ordered places.
+
+    A window whose first place is number j holds enough if place j + need - 1 is in it.
+    """
+
+    def of_first(j: Column) -> Column:
+        begin = F.greatest(low, F.coalesce(F.get(places, j - 1) + 1, low), F.get(places, j + need - 1) - m + 1)
+        end = F.least(high, F.get(places, j))
+        return F.when(begin <= end, F.sequence(begin, end)).otherwise(F.array().cast("array<int>"))
+
+    return F.flatten(F.transform(F.sequence(F.lit(0), F.size(places) - need), of_first))
 
 
 def leaks(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -120,19 +137,16 @@ def leaks(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
         parts = -(-n // ITEM_SHINGLES)
         for part in range(parts):
             some = items.where(F.pmod(F.xxhash64("item"), F.lit(parts)) == part)
-            hits = _hits(documents, some, size)
-            per_begin = hits.groupBy(*text, "item", "m", "begin").agg(
-                F.count_distinct("q").alias("shared"), F.first("low").alias("low"), F.first("starts").alias("starts"), F.first("around").alias("around")
-            )
-            together = Window.partitionBy(*text, "item")
-            near = per_begin.withColumn("sum", F.sum("shared").over(together)).where(F.col("sum") >= needed(F.col("m")))
-            windows = near.select(*text, "m", "low", "around", F.explode(F.sequence(F.lit(0), F.col("starts") - 1)).alias("step")).select(
-                *text, "m", F.lit(size).alias("size"), (F.col("low") + F.col("step")).alias("start"), F.slice("around", F.col("step") + 1, F.col("m")).alias("grams")
+            tiles = _tiles(documents, some, size).withColumn("need", needed(F.col("m"))).where(F.size("places") >= F.col("need"))
+            high = F.least(F.col("low") + F.col("m") - 1, F.col("last"))
+            starts = _starts(F.col("places"), F.col("need"), F.col("m"), F.col("low"), high)
+            windows = tiles.select(*text, "m", "low", "around", F.explode(starts).alias("start")).select(
+                *text, "m", F.lit(size).alias("size"), "start", F.slice("around", F.col("start") - F.col("low") + 1, F.col("m")).alias("grams")
             )
             out = windows if out is None else out.unionByName(windows)
     if out is None:
         return documents.sparkSession.createDataFrame([], f"doc_id {documents.schema['doc_id'].dataType.simpleString()}, text_hash long, item_id long, start int, similarity double")
-    # Copies of one window, and anchors that reach the same window, count once.
+    # Copies of one window, and items that reach the same window, count once.
     window = ["m", "size", "grams"]
     distinct = out.groupBy(*window).agg(F.collect_set(F.struct(*text, "start")).alias("places")).withColumn("fingerprint", simhash("grams"))
     known = items.select("item", "m", "size", F.col("grams").alias("item_grams"), simhash("grams").alias("item_fingerprint"))
