@@ -1,11 +1,11 @@
 """Benchmark decontamination by SimHash over windows as long as an item, in DataFrame functions only.
 
-A text leaks an item if one of its windows of as many words has a weighted shingle similarity of 0.8
-or more with it: shingles are 5 words in lower case (all words of a shorter item), weighted by how
+A text leaks an item if one of its windows of as many words, or the whole of a text with fewer words, has
+a weighted shingle similarity of 0.8 or more with it: shingles are 5 words in lower case (all words of a shorter item), weighted by how
 often they occur, and similarity is the sum of the lesser over the sum of the larger weights.
 
-1. Candidates: a window that similar shares at least ``need`` shingles with the item (0.889 of them), so
-   at least as many of its places hold a shingle of the item, wherever the item has it. All texts'
+1. Candidates: a window that similar shares at least ``need`` shingles with the item (0.889 of the mean of
+   their numbers; a window has 0.8 of the item's at least), so at least as many of its places hold a shingle of the item, wherever the item has it. All texts'
    shingles meet the items' shingles in a broadcast join; starts are dealt to tiles as long as the item,
    and a sliding count of the places that a tile's windows cover keeps the starts with enough of them. Order
    plays no part, so swapped halves or sentences are found too. This step loses nothing.
@@ -17,8 +17,8 @@ often they occur, and similarity is the sum of the lesser over the sum of the la
 
 Items are broadcast in blocks of at most ITEM_SHINGLES shingles, however many there are.
 
-Defined cases: null texts and items have no words; an item without words matches nothing; a text shorter
-than an item cannot leak it; repeated rows leak alike; equal items match alike; empty tables give no
+Defined cases: null texts and items have no words; an item without words matches nothing; a text
+shorter than an item is one window, and an item of up to 5 words needs all of them; repeated rows leak alike; equal items match alike; empty tables give no
 rows; further columns are ignored by ``leaks`` and kept by ``drop_leaking``.
 """
 
@@ -78,9 +78,9 @@ def tagged(grams: str) -> Column:
     return F.transform(grams, lambda g, i: F.xxhash64(g, F.size(F.filter(F.slice(grams, F.lit(1), i), lambda x: x == g))))
 
 
-def needed(m: Column) -> Column:
-    """Least number of m shingles that a window of equal size shares at similarity 0.8: 2 * 0.8 / 1.8 of them."""
-    return F.ceil(8 * m / 9).cast("int")
+def needed(width: Column, m: Column) -> Column:
+    """Least number of shingles that a window of ``width`` shares with an item of ``m`` at similarity 0.8: 0.8 / 1.8 of both."""
+    return F.ceil(4 * (width + m) / 9).cast("int")
 
 
 def item_shingles(benchmark: DataFrame) -> DataFrame:
@@ -96,31 +96,33 @@ def item_shingles(benchmark: DataFrame) -> DataFrame:
 def _tiles(documents: DataFrame, items: DataFrame, size: int) -> DataFrame:
     """Of every text, item and tile of starts: the places in reach that hold a shingle of the item, and the text's shingles there.
 
-    A tile is ``m`` starts beginning at ``low``; its windows reach 2 * m - 1 places, so a place counts in two tiles.
+    A tile is as many starts from ``low`` as its windows are wide: ``m``, or all of a shorter text that has 0.8 of
+    ``m``. Its windows reach 2 * width - 1 places, so a place counts in two tiles.
     """
     grams = documents.select("doc_id", F.xxhash64("text").alias("text_hash"), word_hashes(F.col("text")).alias("hashes")).select(
         "doc_id", "text_hash", shingles("hashes", size).alias("own")
     )
     known = items.where(F.col("size") == size).select("item", "m", F.explode_outer(F.array_distinct("grams")).alias("gram"))
     found = grams.select("doc_id", "text_hash", "own", F.posexplode_outer("own").alias("p", "gram")).join(F.broadcast(known), "gram")
-    m, p = F.col("m"), F.col("p")
-    here = p - p % m
-    lows = F.when((here > 0) & (p - here < m - 1), F.array(here, here - m)).otherwise(F.array(here))
-    last = F.size("own") - m
-    reached = found.select("doc_id", "text_hash", "own", "item", "m", "p", last.alias("last"), F.explode(lows).alias("low")).where("low <= last")
-    around = F.slice("own", F.col("low") + 1, 2 * m - 1)
-    tiles = reached.select("doc_id", "text_hash", "item", "m", "low", "last", "p", around.alias("around"))
-    return tiles.groupBy("doc_id", "text_hash", "item", "m", "low", "last").agg(F.array_sort(F.collect_set("p")).alias("places"), F.first("around").alias("around"))
+    width, p = F.col("width"), F.col("p")
+    here = p - p % width
+    lows = F.when((here > 0) & (p - here < width - 1), F.array(here, here - width)).otherwise(F.array(here))
+    last = F.size("own") - width
+    wide = found.withColumn("width", F.least(F.col("m"), F.size("own"))).where(5 * width >= 4 * F.col("m"))
+    reached = wide.select("doc_id", "text_hash", "own", "item", "m", "width", "p", last.alias("last"), F.explode(lows).alias("low")).where("low <= last")
+    around = F.slice("own", F.col("low") + 1, 2 * width - 1)
+    tiles = reached.select("doc_id", "text_hash", "item", "m", "width", "low", "last", "p", around.alias("around"))
+    return tiles.groupBy("doc_id", "text_hash", "item", "m", "width", "low", "last").agg(F.array_sort(F.collect_set("p")).alias("places"), F.first("around").alias("around"))
 
 
-def _starts(places: Column, need: Column, m: Column, low: Column, high: Column) -> Column:
-    """Starts from ``low`` to ``high`` of the windows of ``m`` that hold at least ``need`` of the ordered places.
+def _starts(places: Column, need: Column, width: Column, low: Column, high: Column) -> Column:
+    """Starts from ``low`` to ``high`` of the windows of ``width`` that hold at least ``need`` of the ordered places.
 
     A window whose first place is number j holds enough if place j + need - 1 is in it.
     """
 
     def of_first(j: Column) -> Column:
-        begin = F.greatest(low, F.coalesce(F.get(places, j - 1) + 1, low), F.get(places, j + need - 1) - m + 1)
+        begin = F.greatest(low, F.coalesce(F.get(places, j - 1) + 1, low), F.get(places, j + need - 1) - width + 1)
         end = F.least(high, F.get(places, j))
         return F.when(begin <= end, F.sequence(begin, end)).otherwise(F.array().cast("array<int>"))
 
@@ -137,11 +139,11 @@ def leaks(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
         parts = -(-n // ITEM_SHINGLES)
         for part in range(parts):
             some = items.where(F.pmod(F.xxhash64("item"), F.lit(parts)) == part)
-            tiles = _tiles(documents, some, size).withColumn("need", needed(F.col("m"))).where(F.size("places") >= F.col("need"))
-            high = F.least(F.col("low") + F.col("m") - 1, F.col("last"))
-            starts = _starts(F.col("places"), F.col("need"), F.col("m"), F.col("low"), high)
-            windows = tiles.select(*text, "m", "low", "around", F.explode(starts).alias("start")).select(
-                *text, "m", F.lit(size).alias("size"), "start", F.slice("around", F.col("start") - F.col("low") + 1, F.col("m")).alias("grams")
+            tiles = _tiles(documents, some, size).withColumn("need", needed(F.col("width"), F.col("m"))).where(F.size("places") >= F.col("need"))
+            high = F.least(F.col("low") + F.col("width") - 1, F.col("last"))
+            starts = _starts(F.col("places"), F.col("need"), F.col("width"), F.col("low"), high)
+            windows = tiles.select(*text, "m", "width", "low", "around", F.explode(starts).alias("start")).select(
+                *text, "m", F.lit(size).alias("size"), "start", F.slice("around", F.col("start") - F.col("low") + 1, F.col("width")).alias("grams")
             )
             out = windows if out is None else out.unionByName(windows)
     if out is None:
@@ -158,8 +160,9 @@ def leaks(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
         .where((F.bit_count(difference) <= RADIUS) & (F.col("block") == _first_block(difference)))
     )
     shared = F.size(F.array_intersect(tagged("grams"), tagged("item_grams")))
-    scored = met.select("places", "item", (shared / (2 * F.col("m") - shared)).alias("similarity"), shared.alias("shared"), "m")
-    similar = scored.where(9 * F.col("shared") >= 8 * F.col("m")).select("item", "similarity", F.explode("places").alias("at"))
+    both = F.size("grams") + F.col("m")
+    scored = met.select("places", "item", (shared / (both - shared)).alias("similarity"), shared.alias("shared"), both.alias("both"))
+    similar = scored.where(9 * F.col("shared") >= 4 * F.col("both")).select("item", "similarity", F.explode("places").alias("at"))
     best = F.max_by(F.struct("similarity", "at.start"), F.struct("similarity", -F.col("at.start")))
     return (
         similar.groupBy("at.doc_id", "at.text_hash", F.col("item").alias("item_id"))
