@@ -77,3 +77,15 @@ def test_texts_shorter_than_an_item(spark):
     items.append((90, "a b c d e f g h " * 6))
     rows += [(9000, "a b c d e f g h " * 5), (9001, "a b c d e f g h " * 5 + "a b c")]
     assert check(spark, rows, items) >= leaking | {9001}
+
+
+def test_repeated_words(spark):
+    rng = random.Random(7)
+    word = lambda: f"w{rng.randrange(10**6)}"
+    items, rows = [], []
+    for i in range(24):
+        words = [word() for _ in range(300)]
+        at = rng.randrange(5, 260)
+        items.append((i, " ".join(words)))
+        rows.append((i, " ".join([word() for _ in range(9)] + words[:at] + ["_"] * 28 + words[at + 28 :])))
+    assert check(spark, rows, items) == set(range(24))
