@@ -11,7 +11,7 @@ whole.
 
 Defined cases: null and empty texts have no sentence and the score of no evidence, that of one
 sentence without features; repeated rows get equal scores; an empty table gives no rows; without labels
-of both kinds every score is 0; further columns are ignored.
+of both kinds, or without a telling feature, every score is 0; further columns are ignored.
 """
 
 from __future__ import annotations
@@ -29,6 +29,7 @@ from recordtrust.llm.text import U64, Texts, byte_values, chunks, mix, span_hash
 
 PREFIXES = (3, 4, 5, 6, 7, 8)
 FOLD, REST, THRESHOLD = 3, 1, 0.7
+LIFT, SURPRISE = 2, 1.92  # half the chi-square of one degree that chance exceeds once in 20
 
 
 class Model(NamedTuple):
@@ -117,12 +118,18 @@ def feature_counts(sample: DataFrame) -> DataFrame:
 
 
 def telling_features(sample: DataFrame, n_features: int, toxic_share: float) -> np.ndarray:
-    """The features whose documents are most surprisingly often toxic, by signed log-likelihood."""
-    expected = F.col("n") * F.lit(toxic_share)
-    surprise = F.col("toxic") * F.log((F.col("toxic") + 0.1) / (expected + 0.1))
+    """The features whose documents are most surprisingly often toxic, by log-likelihood ratio.
+
+    Their odds of being toxic are more than LIFT times those of the sample, which some documents can reach
+    at any share of toxic ones, and chance would seldom do that (SURPRISE).
+    """
+    toxic, other = F.col("toxic"), F.col("n") - F.col("toxic")
+    odds = toxic_share / (1 - toxic_share)
+    surprise = toxic * F.log(toxic / (F.col("n") * toxic_share)) + F.when(other > 0, other * F.log(other / (F.col("n") * (1 - toxic_share)))).otherwise(0.0)
     best = (
         feature_counts(sample)
-        .where((F.col("toxic") >= 2) & (F.col("toxic") > 2 * expected))
+        .where((toxic >= 2) & (toxic > LIFT * odds * other))
+        .where(surprise >= SURPRISE)
         .orderBy(surprise.desc(), "feature")
         .limit(n_features)
         .select("feature")
