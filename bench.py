@@ -16,7 +16,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 
-from catalog.queries import DEPTH, TREES, inputs, queries  # noqa: E402
+from catalog.queries import inputs, queries  # noqa: E402
 from recordtrust.plans import job  # noqa: E402
 from recordtrust.session import configured  # noqa: E402
 
@@ -74,7 +74,7 @@ def main() -> None:
         consume(known[name](spark, sf_dir))
         times[name] = round(time.time() - start, 3)
     start = time.time()
-    job.run(spark, given.tables, given.workspace.path("out"), given.workspace, trees=TREES, depth=DEPTH)
+    job.run(spark, given.tables, given.workspace.path("out"), given.workspace)
     times["end_to_end"] = round(time.time() - start, 3)
     spark.stop()
     print(

@@ -22,7 +22,6 @@ Query = Callable[[SparkSession, str], DataFrame]
 KEYS = [e.key for e in ENTITIES]
 SUB, LOGO = KEYS
 INPUTS = rate_names(ATTRIBUTES)
-TREES, DEPTH = 10, 5
 
 
 class Inputs:
@@ -67,7 +66,7 @@ class Inputs:
 
     @cache
     def fitted(self) -> tuple[forests.Models, DataFrame]:
-        return job.fit(self.population(True), self.workspace, trees=TREES, depth=DEPTH)
+        return job.fit(self.population(True), self.workspace)
 
 
 _inputs: dict[tuple[str, str], Inputs] = {}
@@ -353,7 +352,7 @@ def end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole job; its version report read back and typed."""
     given = inputs(spark, sf_dir)
     out = given.workspace.path("out")
-    job.run(spark, given.tables, out, given.workspace, trees=TREES, depth=DEPTH)
+    job.run(spark, given.tables, out, given.workspace)
     rows = sinks.read_csv(spark, f"{out}/version_reliability")
     ids = [F.col(c).cast("long").alias(c) for c in ("comp_data_id_version", "comp_data_id_master")]
     values = [F.col(f"{a}_version").cast("double").alias(f"{a}_version") for a in NUMERIC]
