@@ -18,12 +18,14 @@ def held_out(by: int, rest: int) -> Column:
 
 
 def labelled_sample(documents: DataFrame, labels: DataFrame, label: str, by: int, rest: int, rows: int = SAMPLE_ROWS) -> DataFrame:
-    """doc_id, text, label of at most ``rows`` labelled ids whose crc32 modulo ``by`` is not ``rest``.
+    """doc_id, text, label of at most ``rows`` labelled documents whose id's crc32 modulo ``by`` is not ``rest``.
 
-    Ids come in the order of a hash. Repeated labels of an id count once, the largest of them; the
-    sampled ids are at most ``rows``, so they are broadcast.
+    Ids come in the order of a hash. Repeated labels of an id count once, the largest of them, and so do
+    its rows, that of the least text hash; the sampled ids are at most ``rows``, so they are broadcast.
     """
     usable = labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull() & ~held_out(by, rest))
     ids = usable.groupBy("doc_id").agg(F.max(F.col(label).cast("int")).alias("label"))
     chosen = ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
-    return documents.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    found = documents.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    least = F.min(F.struct(F.xxhash64("text").alias("hash"), "text")).alias("least")
+    return found.groupBy("doc_id", "label").agg(least).select("doc_id", F.col("least.text").alias("text"), "label")
