@@ -8,7 +8,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recordtrust.llm import bpe, chat, decontamination, language_model, minhash, quality_classifier, quality_rules, repeats, suffixes, toxicity
+from recordtrust.llm import (
+    bpe, chat, conversation_repair, decontamination, language_model, minhash, quality_classifier, quality_rules, repeats, spelling, suffixes,
+    toxicity, warc,
+)
 from recordtrust.sources.workspace import Workspace
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -67,10 +70,24 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.format_examples(conversations.unionByName(probe)))
 
 
+def op11_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.page_records(table(spark, sf_dir, "pages"), Workspace(spark))
+
+
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = spelling.with_typos(table(spark, sf_dir, "documents"))
+    return spelling.spelling_forms(spelling.vocabulary(words), Workspace(spark))
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = table(spark, sf_dir, "conversations")
+    return conversation_repair.repair_digests(conversations, conversation_repair.damaged(conversations), Workspace(spark))
+
+
 def queries() -> dict[str, Query]:
     found = (
         op1_bpe, op2_lm_score, op3_repeated_spans, op4_toxicity, op5_suffix_dedup, op6_quality_rules, op7_quality_classifier, op8_decontamination,
-        op9_near_duplicates, op10_chat,
+        op9_near_duplicates, op10_chat, op11_warc, op12_spelling, op13_conversation_repair,
     )
     return {f.__name__: f for f in found}
 
@@ -101,5 +118,28 @@ FROM summed GROUP BY conv_id
 """
 
 
+#: Five hex digits of the digest are 20 bits, so four characters of base32.
+WARC_SQL = r"""
+WITH sized AS (
+    SELECT page_id, url, encode(coalesce(html, '')) AS payload, sha1(encode(coalesce(html, ''))) AS digest FROM pages
+), ranked AS (
+    SELECT page_id, octet_length(payload) AS payload_bytes, digest,
+        row_number() OVER same AS place, first_value(page_id) OVER same AS response
+    FROM sized
+    WINDOW same AS (PARTITION BY digest ORDER BY page_id DESC NULLS LAST, url DESC NULLS LAST ROWS UNBOUNDED PRECEDING)
+), numbers AS (
+    SELECT *, [CAST('0x' || substr(digest, 5 * i + 1, 5) AS INT) for i in range(8)] AS parts FROM ranked
+)
+SELECT page_id, payload_bytes::BIGINT AS payload_bytes,
+    array_to_string([
+        array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((v >> s) & 31) + 1, 1) for s in [15, 10, 5, 0]], '')
+        for v in parts
+    ], '') AS payload_digest,
+    CASE WHEN place = 1 THEN 'response' ELSE 'revisit' END AS record_type,
+    CASE WHEN place > 1 THEN response END AS refers_to
+FROM numbers
+"""
+
+
 def oracle() -> dict[str, str]:
-    return {"op10_chat": CHAT_SQL}
+    return {"op10_chat": CHAT_SQL, "op11_warc": WARC_SQL}

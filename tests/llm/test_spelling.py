@@ -1,0 +1,121 @@
+from __future__ import annotations
+
+import random
+import re
+import zlib
+from collections import Counter
+
+import pytest
+
+from recordtrust.llm import spelling
+from recordtrust.sources.workspace import Workspace
+
+RUN = re.compile("[A-Za-zÀ-ÿ]+")
+UPPER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def brute_words(rows):
+    out = Counter()
+    for i, text in rows:
+        for run in RUN.findall(text or ""):
+            run = run.translate(UPPER)
+            h = zlib.crc32(f"{'' if i is None else i}:{run}".encode())
+            if h % 31 == 0:
+                at = h % len(run)
+                run = run[:at] + run[at + 1 :]
+            if len(run) >= 7:
+                out[run] += 1
+    return {w: n for w, n in out.items() if n >= 2}
+
+
+def brute_forms(counts, ratio=10):
+    """Near words share a pattern: the word without one code point, at that place."""
+    holders = {}
+    for w in counts:
+        for k in range(len(w)):
+            holders.setdefault((w[:k], w[k + 1 :]), set()).add(w)
+    form, out = {}, {}
+    for w, n in counts.items():
+        near = set()
+        for k in range(len(w)):
+            near |= holders[w[:k], w[k + 1 :]]
+            if w[:k] + w[k + 1 :] in counts:
+                near.add(w[:k] + w[k + 1 :])
+        for k in range(len(w) + 1):
+            near |= {x for x in holders.get((w[:k], w[k:]), ()) if len(x) == len(w) + 1}
+        near.discard(w)
+        best = min(near, key=lambda x: (-counts[x], x), default=None)
+        form[w] = best if best is not None and counts[best] >= ratio * n else None
+        out[w] = len(near)
+    rows = []
+    for w, n in counts.items():
+        root = w
+        while form[root] is not None:
+            root = form[root]
+        rows.append((w, form[w], root, n, out[w], counts[form[w]] if form[w] else None))
+    return sorted(rows)
+
+
+def edits(rng, w, letters):
+    k = rng.randrange(len(w) + 1)
+    return rng.choice([w[:k] + rng.choice(letters) + w[k:], w[:k] + w[k + 1 :], w[:k] + rng.choice(letters) + w[k + 1 :]])
+
+
+def some_counts(seed, letters, n, sizes):
+    rng, out = random.Random(seed), {}
+    for _ in range(n):
+        w = "".join(rng.choice(letters) for _ in range(rng.choice(sizes)))
+        out[w] = rng.choice([2, 5, 40, 400, 5000])
+        for _ in range(rng.randrange(4)):
+            w = edits(rng, w, letters)
+            out[w] = rng.choice([2, 5, 40, 400])
+    return {w: c for w, c in out.items() if w}
+
+
+def run(spark, counts):
+    with Workspace(spark) as space:
+        words = spark.createDataFrame([(w, n, "x") for w, n in counts.items()], "word string, n int, form string").select("word", "n")
+        return sorted(map(tuple, spelling.spelling_forms(words, space).collect()))
+
+
+@pytest.mark.parametrize("letters, sizes", [("ab", range(1, 9)), ("abcdefgh", range(5, 14)), ("aé😀b", range(2, 8)), ("a", range(1, 40))])
+def test_against_brute_force(spark, letters, sizes):
+    counts = some_counts(1, letters, 400, sizes)
+    assert run(spark, counts) == brute_forms(counts)
+
+
+def test_large_groups_are_cut(spark, monkeypatch):
+    monkeypatch.setattr(spelling, "GROUP_WORDS", 3)
+    monkeypatch.setattr(spelling, "BUCKET_ROWS", 200)
+    monkeypatch.setattr(spelling, "CHUNK_ROWS", 7)
+    counts = some_counts(2, "ab", 300, range(1, 12))
+    assert run(spark, counts) == brute_forms(counts)
+
+
+def test_forms_chain(spark):
+    counts = {"aaaaaaa": 2, "aaaaaab": 20, "aaaaabb": 200, "aaaabbb": 2000, "zzzzzzz": 19, "zzzzzzzz": 2, "aaaaaac": 20}
+    found = {r[0]: r[1:3] for r in run(spark, counts)}
+    assert found["aaaaaaa"] == ("aaaaaab", "aaaabbb") and found["zzzzzzzz"] == (None, "zzzzzzzz")
+
+
+def test_texts(spark):
+    rng = random.Random(3)
+    words = ["".join(rng.choice("abcdeÉéÀÿ×÷AB") for _ in range(rng.randrange(5, 11))) for _ in range(60)]
+    rows = [(i, " ".join(rng.choice(words) + rng.choice(["", "1", ",x", "-y", "ž"]) for _ in range(rng.choice([1, 30, 400])))) for i in range(80)]
+    rows += [(None, rows[3][1]), (5, None), (6, ""), (5, rows[5][1]), (5, rows[5][1]), (900, "x" * 70_000 + " " + "wordword " * 50_000 + "x" * 70_000)]
+    docs = spark.createDataFrame([(*r, "p", 2) for r in rows], "doc_id long, text string, word string, n int")
+    counts = brute_words(rows)
+    with Workspace(spark) as space:
+        vocabulary = spelling.vocabulary(spelling.with_typos(docs))
+        assert {r.word: r.n for r in vocabulary.collect()} == counts
+        assert sorted(map(tuple, spelling.spelling_forms(vocabulary, space).collect())) == brute_forms(counts)
+        assert spelling.spelling_forms(spelling.vocabulary(spelling.with_typos(docs.limit(0))), space).count() == 0
+
+
+def test_whole_table(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    counts = brute_words([(r.doc_id, r.text) for r in docs.collect()])
+    with Workspace(spark) as space:
+        found = spelling.spelling_forms(spelling.vocabulary(spelling.with_typos(docs)), space)
+        assert found.columns == ["word", "form", "root", "n", "n_near", "form_n"]
+        assert sorted(map(tuple, found.collect())) == brute_forms(counts)
