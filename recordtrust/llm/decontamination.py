@@ -10,11 +10,12 @@ often they occur, and similarity is the sum of the lesser over the sum of the la
    and a sliding count of the places that a tile's windows cover keeps the starts with enough of them. Order
    plays no part, so swapped halves or sentences are found too. This step loses nothing.
 2. SimHash: the windows at those starts get 64-bit fingerprints of their shingles, which are numbered by
-   occurrence, so that none weighs more than another. Fingerprints are cut into RADIUS + 1 blocks, and
-   windows and items meet where they agree on the size and one block; two fingerprints within RADIUS
-   bits agree on one at least. At similarity 0.8 (cosine 0.889) 9.7 of 64 bits differ in the mean with a
+   occurrence, so that none weighs more than another. Equal windows are fingerprinted once. Fingerprints are cut
+   into RADIUS + 1 blocks, and a window meets an item that step 1 proposed for it where they agree on one block;
+   two fingerprints within RADIUS bits agree on one at least. At similarity 0.8 (cosine 0.889) 9.7 of 64 bits differ in the mean with a
    standard deviation of 2.9, so a radius of 23 misses about one in a million.
-3. Exact weighted similarity decides.
+3. Exact weighted similarity decides. Verdicts go back to the places of their windows in a join of two written
+   tables, so a passage that a third of all texts hold is a skewed key that Spark can split, and no list.
 
 Items are broadcast in blocks of at most ITEM_SHINGLES shingles, however many there are.
 
@@ -30,9 +31,11 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from recordtrust.sources.workspace import Workspace
+
 SHINGLE, RADIUS = 5, 23
 ITEM_SHINGLES = 400_000
-LANES = 16  # longs of four 16-bit counters
+SHORT = 16_383  # shingles that a 16-bit counter can count
 
 
 def word_hashes(text: Column) -> Column:
@@ -46,23 +49,28 @@ def shingles(hashes: str, size: int) -> Column:
     return F.transform(runs, lambda h, i: F.xxhash64(h, *[F.get(F.col(hashes), i + k) for k in range(1, size)]))
 
 
-def _lane(grams: str, j: int) -> Column:
-    """Four 16-bit counters: how many hashes have the bits j, j + 16, j + 32 and j + 48 set."""
-    mask = F.lit(0x0001000100010001)
-    return F.aggregate(grams, F.lit(0).cast("long"), lambda a, h: a + F.shiftrightunsigned(h, j).bitwiseAND(mask))
+def _majority(grams: str, width: int) -> Column:
+    """64 bits: bit b is set where more than half of the hashes have it set, for up to 2**(width - 2) - 1 hashes.
 
+    A long holds 64 / width counters, of the bits j, j + width and so on. Adding one less than a quarter of the
+    field's range, less half the number of hashes, lifts the counters above half to that quarter.
+    """
+    top = width - 2
+    ones = F.lit(sum(1 << i for i in range(0, 64, width)))
+    lift = ones * (F.lit((1 << top) - 1) - F.floor(F.size(grams) / 2)).cast("long")
 
-def simhash(grams: str) -> Column:
-    """64 bits: bit b is set where more than half of the hashes have it set (up to 16,383 hashes).
+    def lane(j: int) -> Column:
+        return F.aggregate(grams, F.lit(0).cast("long"), lambda a, h: a + F.shiftrightunsigned(h, j).bitwiseAND(ones))
 
-    Adding 0x3FFF less half the number of hashes lifts the counters above half to 0x4000 of their field.
-    """
-    ones = F.lit(0x0001000100010001)
-    lift = ones * (F.lit(0x3FFF) - F.floor(F.size(grams) / 2)).cast("long")
-    bits = [F.shiftleft(F.shiftrightunsigned(_lane(grams, j) + lift, 14).bitwiseAND(ones), j) for j in range(LANES)]
+    bits = [F.shiftleft(F.shiftrightunsigned(lane(j) + lift, top).bitwiseAND(ones), j) for j in range(width)]
     return reduce(Column.bitwiseOR, bits)
 
 
+def simhash(grams: str) -> Column:
+    """Majority bits, with counters as wide as the number of hashes needs (up to 2**30)."""
+    return F.when(F.size(grams) <= SHORT, _majority(grams, 16)).otherwise(_majority(grams, 32))
+
+
 CUTS = [64 * i // (RADIUS + 1) for i in range(RADIUS + 2)]
 
 
@@ -87,12 +95,13 @@ def needed(width: Column, m: Column) -> Column:
 
 
 def item_shingles(benchmark: DataFrame) -> DataFrame:
-    """item, m (shingles), words, size of a shingle, grams."""
-    items = benchmark.select(F.col("item_id").alias("item"), word_hashes(F.col("text")).alias("hashes")).where(F.size("hashes") > 0)
+    """item (a key of id and words), item_id, m (shingles), words, size of a shingle, grams; equal items are one."""
+    hashed = benchmark.select("item_id", word_hashes(F.col("text")).alias("hashes")).where(F.size("hashes") > 0)
+    items = hashed.withColumn("item", F.xxhash64("item_id", "hashes")).dropDuplicates(["item"])
     # An item of fewer words than a shingle is one shingle of all its words.
     by_size = [F.when(F.size("hashes") == k, shingles("hashes", k)) for k in range(1, SHINGLE)]
     grams = F.coalesce(*by_size, shingles("hashes", SHINGLE))
-    sized = items.select("item", F.size("hashes").alias("words"), F.least(F.size("hashes"), F.lit(SHINGLE)).alias("size"), grams.alias("grams"))
+    sized = items.select("item", "item_id", F.size("hashes").alias("words"), F.least(F.size("hashes"), F.lit(SHINGLE)).alias("size"), grams.alias("grams"))
     return sized.withColumn("m", F.size("grams"))
 
 
@@ -132,12 +141,10 @@ def _starts(places: Column, need: Column, width: Column, low: Column, high: Colu
     return F.flatten(F.transform(F.sequence(F.lit(0), F.size(places) - need), of_first))
 
 
-def leaks(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """doc_id, text_hash, item_id, the first most similar window's begin and its similarity."""
-    items = item_shingles(benchmark)
+def candidates(documents: DataFrame, items: DataFrame) -> DataFrame | None:
+    """Windows with enough places of an item: doc_id, text_hash, item, m, size, start, grams."""
     sizes = items.groupBy("size").agg(F.sum("m").alias("n")).collect()  # a row for each of 1 to 5
-    text = ["doc_id", "text_hash"]
-    out = None
+    text, out = ["doc_id", "text_hash"], None
     for size, n in sorted((r["size"], r["n"]) for r in sizes):
         parts = -(-n // ITEM_SHINGLES)
         for part in range(parts):
@@ -145,31 +152,44 @@ def leaks(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
             tiles = _tiles(documents, some, size).withColumn("need", needed(F.col("width"), F.col("m"))).where(F.size("places") >= F.col("need"))
             high = F.least(F.col("low") + F.col("width") - 1, F.col("last"))
             starts = _starts(F.col("places"), F.col("need"), F.col("width"), F.col("low"), high)
-            windows = tiles.select(*text, "m", "width", "low", "around", F.explode(starts).alias("start")).select(
-                *text, "m", F.lit(size).alias("size"), "start", F.slice("around", F.col("start") - F.col("low") + 1, F.col("width")).alias("grams")
+            windows = tiles.select(*text, "item", "m", "width", "low", "around", F.explode(starts).alias("start")).select(
+                *text, "item", "m", F.lit(size).alias("size"), "start", F.slice("around", F.col("start") - F.col("low") + 1, F.col("width")).alias("grams")
             )
             out = windows if out is None else out.unionByName(windows)
-    if out is None:
-        return documents.sparkSession.createDataFrame([], f"doc_id {documents.schema['doc_id'].dataType.simpleString()}, text_hash long, item_id long, start int, similarity double")
-    # Copies of one window, and items that reach the same window, count once.
-    window = ["m", "size", "grams"]
-    distinct = out.groupBy(*window).agg(F.collect_set(F.struct(*text, "start")).alias("places"))
-    distinct = distinct.select("m", "size", "places", tagged("grams").alias("tags")).withColumn("fingerprint", simhash("tags"))
-    known = items.select("item", "m", "size", tagged("grams").alias("item_tags")).withColumn("item_fingerprint", simhash("item_tags"))
+    return out
+
+
+def similar_windows(windows: DataFrame, items: DataFrame, workspace: Workspace) -> DataFrame:
+    """window, item, item_id and similarity of the distinct windows that are similar to the item proposed for them."""
+    distinct = windows.groupBy("window", "item", "size").agg(F.first("grams").alias("grams"))
+    # Written before the join: its filters on the keys would repeat the whole fingerprint in the plan.
+    tagged_windows = workspace.stage(distinct.select("window", "item", tagged("grams").alias("tags")).withColumn("fingerprint", simhash("tags")), "windows")
     difference = F.col("fingerprint").bitwiseXOR(F.col("item_fingerprint"))
     met = (
-        indexed(distinct, "fingerprint")
-        .join(indexed(known, "item_fingerprint"), ["m", "size", "block", "value"])
+        indexed(tagged_windows, "fingerprint")
+        .join(indexed(items.select("item", "item_id", "m", "item_tags", "item_fingerprint"), "item_fingerprint"), ["item", "block", "value"])
         # Of the blocks on which a pair agrees, the first one counts.
         .where((F.bit_count(difference) <= RADIUS) & (F.col("block") == _first_block(difference)))
     )
     shared = F.size(F.array_intersect("tags", "item_tags"))
     both = F.size("tags") + F.col("m")
-    scored = met.select("places", "item", (shared / (both - shared)).alias("similarity"), shared.alias("shared"), both.alias("both"))
-    similar = scored.where(9 * F.col("shared") >= 4 * F.col("both")).select("item", "similarity", F.explode("places").alias("at"))
-    best = F.max_by(F.struct("similarity", "at.start"), F.struct("similarity", -F.col("at.start")))
+    scored = met.select("window", "item", "item_id", (shared / (both - shared)).alias("similarity"), shared.alias("shared"), both.alias("both"))
+    return scored.where(9 * F.col("shared") >= 4 * F.col("both")).drop("shared", "both")
+
+
+def leaks(documents: DataFrame, benchmark: DataFrame, workspace: Workspace) -> DataFrame:
+    """doc_id, text_hash, item_id, the first most similar window's begin and its similarity."""
+    items = item_shingles(benchmark).withColumn("item_tags", tagged("grams")).withColumn("item_fingerprint", simhash("item_tags"))
+    items = workspace.stage(items, "items")
+    found = candidates(documents, items.select("item", "m", "size", "grams"))
+    if found is None:
+        return documents.sparkSession.createDataFrame([], f"doc_id {documents.schema['doc_id'].dataType.simpleString()}, text_hash long, item_id long, start int, similarity double")
+    windows = workspace.stage(found.withColumn("window", F.xxhash64("grams")), "candidates")
+    verdicts = workspace.stage(similar_windows(windows, items, workspace), "verdicts")
+    similar = windows.select("doc_id", "text_hash", "item", "start", "window").join(verdicts, ["window", "item"])
+    best = F.max_by(F.struct("similarity", "start"), F.struct("similarity", -F.col("start")))
     return (
-        similar.groupBy("at.doc_id", "at.text_hash", F.col("item").alias("item_id"))
+        similar.groupBy("doc_id", "text_hash", "item_id")
         .agg(best.alias("best"))
         .select("doc_id", "text_hash", "item_id", F.col("best.start").alias("start"), F.col("best.similarity").alias("similarity"))
     )
@@ -180,8 +200,8 @@ def _first_block(difference: Column) -> Column:
     return F.coalesce(*[F.when(F.shiftrightunsigned(difference, a).bitwiseAND(F.lit((1 << (b - a)) - 1)) == 0, i) for i, (a, b) in spans])
 
 
-def drop_leaking(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
+def drop_leaking(documents: DataFrame, benchmark: DataFrame, workspace: Workspace) -> DataFrame:
     """Documents that leak no item."""
-    found = leaks(documents, benchmark).select(F.col("doc_id").alias("__doc_id"), F.col("text_hash").alias("__text_hash")).distinct()
+    found = leaks(documents, benchmark, workspace).select(F.col("doc_id").alias("__doc_id"), F.col("text_hash").alias("__text_hash")).distinct()
     same = F.col("doc_id").eqNullSafe(F.col("__doc_id")) & (F.xxhash64("text") == F.col("__text_hash"))
     return documents.join(found, same, "left_anti")

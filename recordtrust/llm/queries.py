@@ -51,7 +51,7 @@ def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decontamination.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("text_hash")
+    return decontamination.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), Workspace(spark)).drop("text_hash")
 
 
 def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,6 +7,7 @@ import re
 from collections import Counter
 
 from recordtrust.llm import decontamination as d
+from recordtrust.sources.workspace import Workspace
 
 WORD = re.compile("[^\x20\x09-\x0d]+")
 
@@ -36,7 +37,8 @@ def brute(rows, items):
 def check(spark, rows, items):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     bench = spark.createDataFrame(items, "item_id long, text string")
-    found = {(r.doc_id, r.item_id, r.start, round(r.similarity, 9)) for r in d.leaks(docs, bench).collect()}
+    with Workspace(spark) as space:
+        found = {(r.doc_id, r.item_id, r.start, round(r.similarity, 9)) for r in d.leaks(docs, bench, space).collect()}
     want = set(brute(rows, items))
     assert found == want
     return {r[0] for r in want}
