@@ -35,7 +35,7 @@ def passages_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return decontamination.drop_leaking(docs, table(spark, sf_dir, "benchmark"))
+    return decontamination.drop_leaking(docs, table(spark, sf_dir, "benchmark"), Workspace(spark))
 
 
 def encode_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
