@@ -34,7 +34,7 @@ from recordtrust.sources.workspace import Workspace
 LETTERS = r"[A-Za-zÀ-ÿ]"
 LEAST_LENGTH, LEAST_COUNT, RATIO = 7, 2, 10
 TYPO = 31
-GROUP_WORDS, BUCKET_ROWS, CHUNK_ROWS = 20_000, 100_000, 20_000
+GROUP_WORDS, BUCKET_ROWS, CHUNK_ROWS, QUERIES = 20_000, 50_000, 5_000, 2_000
 NEAR = "word string, n_near long, n long, form string"
 
 
@@ -115,13 +115,12 @@ def common_prefixes(text: np.ndarray, at: np.ndarray, length: np.ndarray, joined
     return out
 
 
-def near_rows(text: np.ndarray, at: np.ndarray, length: np.ndarray, joined: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Pairs (query, word) of rows of one group that are one edit apart, and every row's range start one depth above its end.
+def near_rows(text: np.ndarray, at: np.ndarray, length: np.ndarray, shared: np.ndarray, query: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs (query, word) of rows of one group that are one edit apart, for some query rows.
 
-    Rows are sorted by group and then by their code points, which are ``text[at : at + length]``.
+    Rows are sorted by group and then by their code points, which are ``text[at : at + length]``; ``shared`` are their
+    common prefixes.
     """
-    n, shared = len(at), common_prefixes(text, at, length, joined)
-    text = np.append(text, np.zeros(2, text.dtype))
 
     def symbol(row: np.ndarray, place: int | np.ndarray) -> np.ndarray:
         inside = (place >= 0) & (place < length[row])
@@ -129,11 +128,8 @@ def near_rows(text: np.ndarray, at: np.ndarray, length: np.ndarray, joined: np.n
 
     # Every range of a depth by its first row; the row above it has a shorter common prefix.
     start = np.flatnonzero(shared < 0)
-    end = np.append(start[1:], n)
-    above = np.zeros(n, np.int64)
-    place = np.repeat(np.arange(len(start)), end - start)
-    query = np.arange(n)
-    before, here, after = np.full(n, 2, np.int8), np.zeros(n, np.int8), np.where(length > 0, 1, 2).astype(np.int8)
+    place = np.searchsorted(start, query, "right") - 1
+    before, here, after = np.full(len(query), 2, np.int8), np.zeros(len(query), np.int8), np.where(length[query] > 0, 1, 2).astype(np.int8)
     found_q, found_w, depth = [], [], 0
     while len(query):
         word = start[place]
@@ -143,13 +139,8 @@ def near_rows(text: np.ndarray, at: np.ndarray, length: np.ndarray, joined: np.n
         found_q.append(query[hit])
         found_w.append(word[hit])
         # Ranges one deeper, which begin where neighbours differ up to there.
-        edge = np.flatnonzero(shared <= depth)
-        edge_end = np.append(edge[1:], n)
-        longer = length[edge] > depth
-        below, below_end = edge[longer], edge_end[longer]
+        below = np.flatnonzero((shared <= depth) & (length > depth))
         owner = np.searchsorted(start, below, "right") - 1
-        ends_here = below[length[below] == depth + 1]
-        above[ends_here] = start[owner[length[below] == depth + 1]]
         first = np.searchsorted(owner, np.arange(len(start)))
         many = np.searchsorted(owner, np.arange(len(start)), "right") - first
         times = many[place]
@@ -167,8 +158,17 @@ def near_rows(text: np.ndarray, at: np.ndarray, length: np.ndarray, joined: np.n
         go = np.minimum(np.minimum(n0, n1), n2) < 2
         query, place = q[go], child[go]
         before, here, after = (np.minimum(x[go], 2).astype(np.int8) for x in (n0, n1, n2))
-        start, end, depth = below, below_end, depth + 1
-    return np.concatenate(found_q), np.concatenate(found_w), above
+        start, depth = below, depth + 1
+    return np.concatenate(found_q), np.concatenate(found_w)
+
+
+def prefix_rows(length: np.ndarray, shared: np.ndarray) -> np.ndarray:
+    """Of every row the first one of the range that shares all but its last code point."""
+    out = np.zeros(len(length), np.int64)
+    for size in np.unique(length[length > 0]).tolist():
+        edge, rows = np.flatnonzero(shared < size - 1), np.flatnonzero(length == size)
+        out[rows] = edge[np.searchsorted(edge, rows, "right") - 1]
+    return out
 
 
 def _code_points(column: pa.Array) -> np.ndarray:
@@ -209,7 +209,10 @@ def _best_of(table: pa.Table, joined: np.ndarray) -> pa.Table:
     rest, suffix = (table.column(c).combine_chunks() for c in ("rest", "suffix"))
     text, length = _code_points(rest), pc.utf8_length(rest).to_numpy().astype(np.int64)
     at = np.cumsum(length) - length
-    query, word, above = near_rows(text, at, length, joined)
+    shared = common_prefixes(text, at, length, joined)
+    above = prefix_rows(length, shared)
+    found = [near_rows(text, at, length, shared, np.arange(i, min(i + QUERIES, len(at)))) for i in range(0, len(at), QUERIES)]
+    query, word = (np.concatenate(x) for x in zip(*found, strict=True))
     short, count = table.column("short").to_numpy(), table.column("n").to_numpy()
     keep = ~(short[query] & short[word])
     # A deletion at the range's end may as well be one behind it: that pair belongs to the group of the later range.
