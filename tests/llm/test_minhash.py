@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import random
 import re
+import time
 
 import pytest
 
@@ -65,6 +66,41 @@ def test_families(spark, monkeypatch, tile):
         assert sorted(map(tuple, minhash.near_duplicates(docs, space).collect())) == brute(rows)
 
 
+@pytest.mark.parametrize("tile_rows", [20_000, 50])
+def test_many_texts_of_one_id(spark, monkeypatch, tile_rows):
+    """An id stands for each of its texts; its rows are neither multiplied nor brought to one tile."""
+    monkeypatch.setattr(minhash, "TILE_ROWS", tile_rows)
+    rows = families(4, 40)
+    rows += [(7, t) for _, t in rows[:150]] + [(7, rows[0][1])] * 100 + [(8, f"one two three four five six {i}") for i in range(120)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    with Workspace(spark) as space:
+        found = minhash.near_duplicates(docs, space)
+        assert sorted(map(tuple, found.collect())) == brute(rows)
+        signed = space.stage(minhash.signatures(docs), "signed")
+        classes = space.stage(minhash.set_classes(signed), "classes")
+        tiles = minhash.family_tiles(classes, space)
+        assert tiles.count() == tiles.select("doc_id", "text_hash").distinct().count()
+        most = tiles.groupBy("family", "tile").count().agg({"count": "max"}).first()[0]
+        assert most <= 3 * tile_rows
+
+
+def test_large_tile_is_linear():
+    """Ten thousand near copies of one text: each finds its group at once, and the bands after the first find one group."""
+    rng = random.Random(12)
+    base = rng.sample(range(2**40), 120)
+    sets = []
+    for i in range(10_000):
+        own = list(base)
+        own[rng.randrange(120)] = 2**41 + i
+        sets.append(minhash.mix(minhash.np.sort(minhash.np.array(own, minhash.U64))))
+    sets = [minhash.np.sort(x) for x in sets]
+    signed = minhash.np.array([minhash.signature(x) for x in sets])
+    begin = time.process_time()
+    found = minhash.links_in_tile(list(range(10_000)), sets, signed, minhash.np.full(10_000, -1), 85)
+    assert len(found) == 9_999
+    assert time.process_time() - begin < 10
+
+
 def test_odd_rows(spark):
     rows = [(1, "a b c d e f"), (1, "a b c d e f"), (2, "A b c d e f"), (None, "a b c d e f"), (3, "x")]
     docs = spark.createDataFrame([(*r, 7) for r in rows], "doc_id long, text string, node int")
