@@ -269,6 +269,41 @@ def _version_csv() -> str:
     )
 
 
+# Two small forests, a node being (input, threshold, left, right) or a leaf's share.
+FIXED_TREES: dict[str, list[list[tuple]]] = {
+    "tenant_name_label": [
+        [
+            ("tenant_name_submitter_correct_rate", 0.5, 1, 2), ("tenant_name_logo_correct_rate", 0.48, 3, 4),
+            ("lease_term_submitter_correct_rate", 0.5, 5, 6), (0.125,), (0.25,), (0.5,), (0.875,),
+        ],
+        [
+            ("tenant_name_logo_correct_rate", 0.5, 1, 2), (0.25,), ("execution_date_submitter_correct_rate", 0.45, 3, 4),
+            (0.375,), ("tenant_name_submitter_correct_rate", 0.55, 5, 6), (0.625,), (1,),
+        ],
+        [(0.5,)],
+    ],
+    "lease_term_label": [
+        [("lease_term_logo_fill_rate", 0.0, 1, 2), (0,), ("lease_term_submitter_correct_rate", 0.25, 3, 4), (0.125,), (0.75,)],
+        [("lease_term_submitter_correct_rate", 0.75, 1, 2), ("lease_term_logo_correct_rate", 0.5, 3, 4), (1,), (0.375,), (0.5,)],
+    ],
+}
+
+
+def _tree_sql(nodes: list[tuple], at: int = 0) -> str:
+    if len(nodes[at]) == 1:
+        return f"CAST({nodes[at][0]} AS DOUBLE)"
+    name, threshold, left, right = nodes[at]
+    return f"CASE WHEN {name} <= CAST({threshold} AS DOUBLE) THEN {_tree_sql(nodes, left)} ELSE {_tree_sql(nodes, right)} END"
+
+
+def _fixed_scores() -> str:
+    scores = []
+    for label, trees in FIXED_TREES.items():
+        total = " + ".join(f"({_tree_sql(nodes)})" for nodes in trees)
+        scores.append(f"min(({total}) / {len(trees)}) AS {label.removesuffix('_label')}_prob")
+    return f"SELECT {SUB}, {LOGO}, count(*) AS n, {', '.join(scores)} FROM features GROUP BY {SUB}, {LOGO}"
+
+
 def oracle() -> dict[str, str]:
     pairs = ", ".join(PAIR_COLUMNS)
     held_out_rows = f"(SELECT *, {HELD_OUT} AS held_out FROM features) WHERE @_label <> -1"
@@ -336,6 +371,7 @@ def oracle() -> dict[str, str]:
             ),
             only_reliable=True,
         ),
+        "fixed_forest_scores": statement(_fixed_scores()),
         "submitter_reliability": statement(
             f"SELECT submitter_name, {SUB}, n_support, true AS reliabilities_ok, true AS general_ok FROM records",
             only_reliable=True,

@@ -8,7 +8,7 @@ from functools import cache, reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from catalog.oracle import DATES, LABEL_COLUMNS, NUMERIC, PAIR_COLUMNS, STRICT
+from catalog.oracle import DATES, FIXED_TREES, LABEL_COLUMNS, NUMERIC, PAIR_COLUMNS, STRICT
 from catalog.sample import derive_sources, with_numeric_logo
 from recordtrust.functions.comparators import parse_date, within_days
 from recordtrust.operators import features, forests, joins, labels, metrics, pairs, profile, reports, vectors
@@ -65,7 +65,7 @@ class Inputs:
         return features.combine(rows, self.profile(LOGO, numeric_logo), LOGO, "left")
 
     @cache
-    def fitted(self) -> tuple[forests.Models, DataFrame]:
+    def fitted(self) -> tuple[forests.Forests, DataFrame]:
         return job.fit(self.population(True), self.workspace)
 
 
@@ -180,10 +180,10 @@ def known_label_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def train_rows_per_target(spark: SparkSession, sf_dir: str) -> DataFrame:
-    bagged = inputs(spark, sf_dir).population(True).bagged.where(F.col(SUB).isNotNull())
+    tallied = inputs(spark, sf_dir).population(True).tallied.where(F.col(SUB).isNotNull())
     sums = [F.sum(F.col(f"{a}_agree") + F.col(f"{a}_disagree")).alias(a) for a in ATTRIBUTES]
     return (
-        bagged.groupBy(forests.HELD_OUT).agg(*sums).unpivot(forests.HELD_OUT, list(ATTRIBUTES), "attribute", "n").where("n > 0")
+        tallied.groupBy(forests.HELD_OUT).agg(*sums).unpivot(forests.HELD_OUT, list(ATTRIBUTES), "attribute", "n").where("n > 0")
     )
 
 
@@ -196,7 +196,7 @@ def split_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def tally_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return profile.roll_up(inputs(spark, sf_dir).population(False).bagged, KEYS)
+    return profile.roll_up(inputs(spark, sf_dir).population(False).tallied, KEYS)
 
 
 def profile_submitter(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -280,10 +280,10 @@ def binary_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def held_out_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Metrics over held-out bags with logo rates in place of scores."""
+    """Metrics over held-out cells with logo rates in place of scores."""
     given = inputs(spark, sf_dir).population(True)
     stand_ins = given.cells.select(*KEYS, *[F.col(f"{a}_logo_correct_rate").alias(f"{a}_prob") for a in ATTRIBUTES])
-    rows = joins.spread_join(given.bagged.where(forests.HELD_OUT), stand_ins, KEYS, null_safe=True)
+    rows = joins.spread_join(given.tallied.where(forests.HELD_OUT), stand_ins, KEYS, null_safe=True)
     return metrics.held_out_metrics(rows, ATTRIBUTES)
 
 
@@ -312,11 +312,18 @@ def model_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("attribute", "n", _in_range("accuracy").alias("accuracy_ok"), _in_range("f1").alias("f1_ok"))
 
 
+def fixed_forest_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every cell's scores by two forests written out by hand."""
+    given = inputs(spark, sf_dir)
+    fixed = forests.from_nodes(spark, FIXED_TREES, INPUTS)
+    return reports.score_cells(given.population(False).cells, fixed, given.workspace)
+
+
 def submitter_reliability(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Who is in the submitter report, with what support, and whether its reliabilities hold together."""
     given = inputs(spark, sf_dir)
     names = readers.submitter_names(given.tables["person"])
-    report = reports.submitter_report(given.population(True).cells, INPUTS, given.fitted()[0], names)
+    report = reports.submitter_report(given.population(True).cells, INPUTS, given.fitted()[0], names, given.workspace)
     general = reports.mean_of([f"{a}_reliability" for a in GENERAL_ATTRIBUTES])
     return report.select(
         "submitter_name",
@@ -330,7 +337,7 @@ def submitter_reliability(spark: SparkSession, sf_dir: str) -> DataFrame:
 def version_reliability(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The version report, with whether a score is a share in place of the score."""
     given = inputs(spark, sf_dir)
-    scored = reports.score_cells(given.population(False).cells, INPUTS, given.fitted()[0])
+    scored = reports.score_cells(given.population(False).cells, given.fitted()[0], given.workspace)
     rows = reports.version_rows(given.labelled(), given.workspace.stage(scored, "scored"))
     flags = [_in_range(f"{a}_prob").alias(f"{a}_prob_ok") for a in ATTRIBUTES]
     return rows.select("comp_data_id_version", "comp_data_id_master", *[f"{a}_version" for a in ATTRIBUTES], *flags)
@@ -341,9 +348,9 @@ def model_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     given = inputs(spark, sf_dir)
     path, fitted = given.workspace.path("models"), given.fitted()[0]
     forests.save_models(fitted, path)
-    before = forests.score(given.population(False).cells, INPUTS, fitted)
+    before = forests.score(given.population(False).cells, fitted, given.workspace)
     before = before.withColumnsRenamed({f"{a}_prob": f"{a}_before" for a in ATTRIBUTES})
-    after = forests.score(before, INPUTS, forests.load_models(path, ATTRIBUTES))
+    after = forests.score(before, forests.load_models(spark, path, ATTRIBUTES), given.workspace)
     same = reduce(Column.__and__, [F.col(f"{a}_before") == F.col(f"{a}_prob") for a in ATTRIBUTES])
     return after.select(*KEYS, "n", same.alias("same_scores"))
 
@@ -397,6 +404,7 @@ def queries() -> dict[str, Query]:
         parquet_round_trip,
         csv_round_trip,
         model_metrics,
+        fixed_forest_scores,
         submitter_reliability,
         version_reliability,
         model_round_trip,

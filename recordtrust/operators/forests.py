@@ -1,34 +1,50 @@
-"""One random forest per attribute, trained on cells weighted by their label counts.
+"""One random forest per attribute, all grown from one binned copy of the cells.
 
-All rows of a cell share one feature vector, so a target's training set is the cells with a weight
-per label. Each cell is cut into bags by version id: a forest draws whole bags, which keeps its
-bootstrap close to drawing rows while the training set stays bags x cells, whatever the row count.
+All rows of a cell share one feature vector, so a target's training set is the cells with their label counts. Feature
+quantiles are sketched once for all targets, and cells are packed into blocks of bin ids that every tree reads.
+A bootstrap draws each cell's counts from a Poisson distribution, which is what drawing its rows one by one
+comes to. Trees grow until their leaves hold one class or equal vectors, unless a depth is given.
+
+A task grows trees from all cells as long as these are at most NODE_CELLS. Beyond that, nodes with more cells are
+split by histograms that all tasks add to, and every smaller node is finished in a task of its own. Either way the same
+trees come out. Forests are a table of flat node arrays, with a row per tree and finished part of it, and cells are
+scored by walking them next to blocks of cells.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Mapping, Sequence
+import zlib
+from collections.abc import Iterator, Sequence
 from math import isqrt
-from multiprocessing.pool import ThreadPool
-from typing import TypeVar
+from typing import NamedTuple
 
-from pyspark import inheritable_thread_target
-from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
+import numpy as np
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recordtrust.functions.comparators import hash_bucket
 from recordtrust.operators.joins import spread_join
 from recordtrust.operators.profile import tally
+from recordtrust.operators.trees import LEAF, LINK, Nodes, child_paths, draw, feature_order, gini, grow, root_path, walk
+from recordtrust.sources.workspace import Workspace
+
+HELD_OUT = "held_out"
+BINS = 1024
+BLOCK, NODE_CELLS, TOP_NODES = 4096, 250_000, 20_000
+
+BLOCKS = "block long, n int, cells binary, bins binary, counts binary"
+TREES = "label string, tree int, part int, feature array<int>, cut array<int>, left array<int>, right array<int>, agree array<double>"
 
-T = TypeVar("T")
-R = TypeVar("R")
-Models = Mapping[str, RandomForestClassificationModel]
 
-HELD_OUT, BAG = "held_out", "bag"
-BINARY = {"ml_attr": {"type": "nominal", "name": "label", "vals": ["0", "1"]}}
+class Forests(NamedTuple):
+    """Forests of some labels over the same inputs: node arrays per tree, and the edges of the inputs' bins."""
+
+    trees: DataFrame
+    edges: list[np.ndarray]
+    inputs: list[str]
+    labels: list[str]
 
 
 def held_out(id: str = "id", fraction: float = 0.2, seed: int = 10) -> Column:
@@ -42,93 +58,393 @@ def split(df: DataFrame, id: str = "id", fraction: float = 0.2, seed: int = 10)
     return df.where(~test), df.where(test)
 
 
-def bagged_tally(
-    labelled: DataFrame,
-    keys: Sequence[str],
-    attributes: Sequence[str],
-    fraction: float = 0.2,
-    seed: int = 10,
-    bags: int = 16,
+def split_tally(
+    labelled: DataFrame, keys: Sequence[str], attributes: Sequence[str], fraction: float = 0.2, seed: int = 10
 ) -> DataFrame:
-    """Label counts per key combination, side of the split and bag: one pass for profiles and training."""
-    marked = labelled.withColumns(
-        {HELD_OUT: held_out("id", fraction, seed), BAG: hash_bucket(F.col("id"), seed + 1, bags)}
-    )
-    return tally(marked, [*keys, HELD_OUT, BAG], attributes)
+    """Label counts per key combination and side of the split: one pass for profiles and training."""
+    return tally(labelled.withColumn(HELD_OUT, held_out("id", fraction, seed)), [*keys, HELD_OUT], attributes)
 
 
-def examples(bagged: DataFrame, cells: DataFrame, keys: Sequence[str], inputs: Sequence[str]) -> DataFrame:
-    """Training bags with the feature vector of their cell."""
-    vectors = VectorAssembler(inputCols=list(inputs), outputCol="features").transform(cells)
-    return spread_join(bagged.where(~F.col(HELD_OUT)), vectors.select(*keys, "features"), keys, null_safe=True)
+def cell_key(keys: Sequence[str]) -> Column:
+    """A number per key combination, nulls told apart from everything else."""
+    return F.xxhash64(*[x for k in keys for x in (F.col(k).isNull(), F.col(k))])
 
 
-def _side_by_side(spark: SparkSession, task: Callable[[T], R], items: Iterable[T], parallelism: int) -> list[R]:
-    """Submit independent Spark jobs from a few threads, as Spark ML's own tuning does."""
-    with ThreadPool(parallelism) as pool:
-        return pool.map(inheritable_thread_target(spark)(task), list(items), chunksize=1)
+def examples(tallied: DataFrame, cells: DataFrame, keys: Sequence[str], inputs: Sequence[str]) -> DataFrame:
+    """Training counts with the key and the inputs of their cell."""
+    known = cells.select(*keys, *inputs)
+    joined = spread_join(tallied.where(~F.col(HELD_OUT)), known, keys, null_safe=True)
+    return joined.withColumn("cell", cell_key(keys))
 
 
-def _weighted(rows: DataFrame, attribute: str) -> DataFrame:
-    """Training rows of one target; unknown labels carry no weight in either class."""
-    weights = F.array(
-        F.struct(F.lit(1.0).alias("label"), F.col(f"{attribute}_agree").cast("double").alias("weight")),
-        F.struct(F.lit(0.0).alias("label"), F.col(f"{attribute}_disagree").cast("double").alias("weight")),
+def bin_edges(rows: DataFrame, inputs: Sequence[str], bins: int = BINS) -> list[np.ndarray]:
+    """Upper edges of each input's bins, at most ``bins`` quantiles that one pass sketches for all inputs.
+
+    With fewer distinct values than bins and some thousand rows at most, the edges are all values.
+    """
+    found = rows.approxQuantile(list(inputs), [i / (bins - 1) for i in range(bins)], 1 / (4 * bins))
+    return [np.unique(np.array(x, np.float64)) for x in found]
+
+
+def pack(rows: DataFrame, cell: str, inputs: Sequence[str], edges: list[np.ndarray], counts: Sequence[str] = ()) -> DataFrame:
+    """Blocks of up to BLOCK rows: their keys, bin ids (0 up to the number of edges) and counts as flat arrays."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = TaskContext.get().partitionId() << 32
+        for batch in batches:
+            for at in range(0, batch.num_rows, BLOCK):
+                part = batch.slice(at, BLOCK)
+                values = [part.column(1 + k).to_numpy(zero_copy_only=False) for k in range(len(edges))]
+                bins = np.column_stack([np.searchsorted(e, v) for e, v in zip(edges, values, strict=True)]).astype(np.uint16)
+                counted = [part.column(1 + len(edges) + k).to_numpy(zero_copy_only=False) for k in range(len(counts))]
+                packed = np.column_stack(counted).astype(np.int64).tobytes() if counted else None
+                cells = part.column(0).to_numpy().astype(np.int64).tobytes()
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([number]), pa.array([part.num_rows], pa.int32()), pa.array([cells]), pa.array([bins.tobytes()]), pa.array([packed], pa.binary())],
+                    names=["block", "n", "cells", "bins", "counts"],
+                )
+                number += 1
+
+    return rows.select(cell, *inputs, *counts).mapInArrow(run, BLOCKS)
+
+
+def _unpack(table: pa.Table, n_inputs: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Keys, bins (cells, inputs) and counts (cells, targets, 2) of some blocks."""
+
+    def flat(name: str, kind: type) -> np.ndarray:
+        return np.concatenate([np.frombuffer(x.as_py() or b"", kind) for x in table.column(name)])
+
+    cells = flat("cells", np.int64)
+    return cells, flat("bins", np.uint16).reshape(len(cells), n_inputs), flat("counts", np.int64).reshape(len(cells), -1, 2)
+
+
+def _tree_table(rows: list[tuple[str, int, int, Nodes]]) -> pa.Table:
+    kinds = {"feature": pa.int32(), "cut": pa.int32(), "left": pa.int32(), "right": pa.int32(), "agree": pa.float64()}
+    columns = {
+        "label": pa.array([r[0] for r in rows], pa.string()),
+        "tree": pa.array([r[1] for r in rows], pa.int32()),
+        "part": pa.array([r[2] for r in rows], pa.int32()),
+    }
+    columns |= {name: pa.array([getattr(r[3], name) for r in rows], pa.list_(kind)) for name, kind in kinds.items()}
+    return pa.table(columns)
+
+
+class Plan(NamedTuple):
+    """What every tree of a training run shares."""
+
+    labels: list[str]
+    n_inputs: int
+    tries: int
+    span: int
+    depth: int | None
+    seed: int
+
+    def root(self, target: int, tree: int) -> int:
+        return root_path(self.seed, zlib.crc32(self.labels[target].encode()), tree)
+
+
+def _whole_trees(blocks: DataFrame, plan: Plan, trees: int) -> DataFrame:
+    """Every tree in one task, from all cells."""
+
+    def run(table: pa.Table) -> pa.Table:
+        tree = table.column("tree")[0].as_py()
+        cells, bins, counts = _unpack(table, plan.n_inputs)
+        rows = []
+        for target, label in enumerate(plan.labels):
+            path = plan.root(target, tree)
+            rows.append((label, tree, 0, grow(bins, draw(cells, counts[:, target], path), path, plan.tries, plan.span, plan.depth)))
+        return _tree_table(rows)
+
+    dealt = blocks.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1)))).repartition(trees, "tree")
+    return dealt.groupBy("tree").applyInArrow(run, TREES)
+
+
+class Top:
+    """The upper nodes of a tree, which more cells reach than one task should hold."""
+
+    def __init__(self, path: int):
+        self.nodes = [[LINK], [0], [LEAF], [LEAF], [0.0]]
+        self.path, self.depth, self.open = [path], [0], {0: 0}  # open: how many features a node has tried
+        self.parts: dict[int, int] = {}
+
+    def arrays(self) -> Nodes:
+        kinds = (np.int64, np.int64, np.int64, np.int64, np.float64)
+        return Nodes(*(np.array(x, kind) for x, kind in zip(self.nodes, kinds, strict=True)))
+
+    def features(self, node: int, plan: Plan) -> list[int]:
+        order = feature_order(np.array([self.path[node]], np.uint64), plan.n_inputs)[0]
+        return order[self.open[node] : self.open[node] + plan.tries].tolist()
+
+    def _settle(self, node: int, total: Sequence[float], plan: Plan) -> bool:
+        """Make a node of one class, or at the last depth, a leaf."""
+        self.nodes[4][node] = total[1] / (total[0] + total[1]) if total[0] + total[1] else 0.0
+        if total[0] and total[1] and (plan.depth is None or self.depth[node] < plan.depth):
+            return False
+        self.nodes[0][node] = LEAF
+        self.open.pop(node, None)
+        return True
+
+    def learn(self, node: int, found: dict, plan: Plan) -> None:
+        if self._settle(node, found["total"], plan):
+            return
+        if found["feature"] is None:
+            self.open[node] += plan.tries
+            if self.open[node] >= plan.n_inputs:
+                self.nodes[0][node] = LEAF
+                del self.open[node]
+            return
+        del self.open[node]
+        self.nodes[0][node], self.nodes[1][node] = found["feature"], found["cut"]
+        paths = child_paths(np.array([self.path[node]], np.uint64))
+        for side, (path, total, size) in enumerate(zip(paths, (found["left"], found["right"]), found["sizes"], strict=True)):
+            child = len(self.path)
+            self.nodes[2 + side][node] = child
+            for column, value in zip(self.nodes, (LINK, 0, LEAF, LEAF, 0.0), strict=True):
+                column.append(value)
+            self.path.append(int(path[0]))
+            self.depth.append(self.depth[node] + 1)
+            if self._settle(child, total, plan):
+                continue
+            if size > NODE_CELLS:
+                self.open[child] = 0
+            else:
+                self.parts[child] = self.nodes[2][child] = len(self.parts) + 1
+
+
+def _histograms(blocks: DataFrame, plan: Plan, wanted: dict[tuple[int, int], tuple[Nodes, dict[int, list[int]], set[int]]]) -> list[dict]:
+    """The best cut of every open node: all tasks add the weights of their cells by node, feature and bin."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[tuple[int, int, int], np.ndarray] = {}
+        for batch in batches:
+            cells, bins, counts = _unpack(pa.Table.from_batches([batch]), plan.n_inputs)
+            for (target, tree), (nodes, open_, _) in wanted.items():
+                weight = draw(cells, counts[:, target], plan.root(target, tree))
+                at = walk(nodes, bins)
+                at[weight.sum(axis=1) == 0] = -1
+                for node, features in open_.items():
+                    rows = np.flatnonzero(at == node)
+                    mine = sums.setdefault((target, tree, node), np.zeros((len(features), plan.span, 3)))
+                    for j, f in enumerate(features):
+                        for k, w in enumerate((weight[rows, 0], weight[rows, 1], None)):
+                            mine[j, :, k] += np.bincount(bins[rows, f], w, plan.span)
+        for (target, tree, node), mine in sums.items():
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([x], pa.int32()) for x in (target, tree, node)] + [pa.array([mine.tobytes()], pa.binary())],
+                names=["target", "tree", "node", "sums"],
+            )
+
+    def best(table: pa.Table) -> pa.Table:
+        target, tree, node = (table.column(c)[0].as_py() for c in ("target", "tree", "node"))
+        _, open_, first_valid = wanted[target, tree]
+        sums = sum(np.frombuffer(x.as_py()) for x in table.column("sums")).reshape(len(open_[node]), plan.span, 3)
+        total = sums[0].sum(axis=0)
+        left = np.cumsum(sums, axis=1)
+        right = total - left
+        valid = (left[:, :, 2] > 0) & (right[:, :, 2] > 0)
+        with np.errstate(divide="ignore", invalid="ignore"):
+            score = np.where(valid, gini(left[:, :, :2], right[:, :, :2]), -1.0)
+        cut = score.argmax(axis=1)
+        top = score[np.arange(len(cut)), cut]
+        fit = np.flatnonzero(top >= 0)
+        j = -1 if not len(fit) else int(fit[0]) if node in first_valid else int(top.argmax())
+        at = left[j, cut[j]], right[j, cut[j]]
+        row = {
+            "target": target, "tree": tree, "node": node, "total": total[:2].tolist(), "feature": open_[node][j] if j >= 0 else None,
+            "cut": int(cut[j]), "left": at[0][:2].tolist(), "right": at[1][:2].tolist(), "sizes": [int(x[2]) for x in at],
+        }
+        return pa.Table.from_pylist([row], schema)
+
+    numbers = pa.list_(pa.float64())
+    schema = pa.schema(
+        [(c, pa.int32()) for c in ("target", "tree", "node")]
+        + [("total", numbers), ("feature", pa.int32()), ("cut", pa.int32()), ("left", numbers), ("right", numbers), ("sizes", pa.list_(pa.int64()))]
     )
-    rows = rows.select("features", F.inline(weights)).where("weight > 0")
-    return rows.select("features", F.col("label").alias("label", metadata=BINARY), "weight")
+    counted = blocks.mapInArrow(count, "target int, tree int, node int, sums binary")
+    kinds = "target int, tree int, node int, total array<double>, feature int, cut int, left array<double>, right array<double>, sizes array<long>"
+    return [r.asDict() for r in counted.groupBy("target", "tree", "node").applyInArrow(best, kinds).collect()]
+
+
+def _finish(blocks: DataFrame, plan: Plan, tops: dict[tuple[int, int], Top]) -> DataFrame:
+    """Bring the cells of every node below the tops together, and grow it to the end."""
+    routes = {key: (top.arrays(), top.parts, top.path, top.depth) for key, top in tops.items() if top.parts}
+
+    def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            cells, bins, counts = _unpack(pa.Table.from_batches([batch]), plan.n_inputs)
+            for (target, tree), (nodes, parts, paths, depths) in routes.items():
+                weight = draw(cells, counts[:, target], plan.root(target, tree))
+                at = walk(nodes, bins)
+                at[weight.sum(axis=1) == 0] = -1
+                out = []
+                for node in np.unique(at).tolist():
+                    if node in parts:
+                        rows = at == node
+                        path = int(np.array(paths[node], np.uint64).view(np.int64))
+                        out.append((target, tree, parts[node], path, depths[node], bins[rows].tobytes(), weight[rows].tobytes()))
+                if out:
+                    kinds = (pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.binary(), pa.binary())
+                    names = ["target", "tree", "part", "path", "depth", "bins", "weight"]
+                    yield pa.RecordBatch.from_arrays([pa.array(x, kind) for x, kind in zip(zip(*out, strict=True), kinds, strict=True)], names=names)
+
+    def run(table: pa.Table) -> pa.Table:
+        target, tree, part, path, depth = (table.column(c)[0].as_py() for c in ("target", "tree", "part", "path", "depth"))
+        bins = np.concatenate([np.frombuffer(x.as_py(), np.uint16) for x in table.column("bins")]).reshape(-1, plan.n_inputs)
+        weight = np.concatenate([np.frombuffer(x.as_py()) for x in table.column("weight")]).reshape(-1, 2)
+        left = None if plan.depth is None else plan.depth - depth
+        return _tree_table([(plan.labels[target], tree, part, grow(bins, weight, path % 2**64, plan.tries, plan.span, left))])
+
+    routed = blocks.mapInArrow(route, "target int, tree int, part int, path long, depth int, bins binary, weight binary")
+    return routed.groupBy("target", "tree", "part").applyInArrow(run, TREES)
+
+
+def _split_trees(blocks: DataFrame, plan: Plan, trees: int, cells: int, workspace: Workspace) -> DataFrame:
+    """Trees whose upper nodes are split by all tasks together, some trees at a time."""
+    spark, out = blocks.sparkSession, []
+    at_once = max(1, TOP_NODES // (len(plan.labels) * -(-cells // NODE_CELLS)))
+    for first in range(0, trees, at_once):
+        tops = {(t, tree): Top(plan.root(t, tree)) for t in range(len(plan.labels)) for tree in range(first, min(first + at_once, trees))}
+        while any(top.open for top in tops.values()):
+            wanted = {
+                key: (top.arrays(), {n: top.features(n, plan) for n in top.open}, {n for n, tried in top.open.items() if tried >= plan.tries})
+                for key, top in tops.items() if top.open
+            }
+            for found in _histograms(blocks, plan, wanted):
+                tops[found["target"], found["tree"]].learn(found["node"], found, plan)
+        rows = [(plan.labels[t], tree, 0, *(x.tolist() for x in top.arrays())) for (t, tree), top in tops.items()]
+        out.append(spark.createDataFrame(rows, TREES))
+        if any(top.parts for top in tops.values()):
+            out.append(workspace.stage(_finish(blocks, plan, tops), "parts"))
+    found = out[0]
+    for more in out[1:]:
+        found = found.unionByName(more)
+    return found
 
 
 def train_all(
     rows: DataFrame,
     attributes: Sequence[str],
-    n_inputs: int,
+    inputs: Sequence[str],
+    workspace: Workspace,
     trees: int = 100,
-    depth: int = 10,
+    depth: int | None = None,
     seed: int = 1,
-    parallelism: int = 4,
-) -> dict[str, RandomForestClassificationModel]:
-    """Fit one forest per attribute on ``examples``, some forests at a time.
+    bins: int = BINS,
+) -> Forests:
+    """Fit one forest per attribute on ``examples``: one pass for the bins, one to pack the cells.
 
-    Pass staged rows: every fit reads them several times.
+    A node tries as many inputs as the square root of their number. ``depth`` None sets no limit.
     """
-    forest = RandomForestClassifier(
-        featuresCol="features",
-        labelCol="label",
-        weightCol="weight",
-        numTrees=trees,
-        maxDepth=depth,
-        maxBins=128,
-        impurity="gini",
-        featureSubsetStrategy=str(max(isqrt(n_inputs), 1)),
-        seed=seed,
-    )
+    edges, labels = bin_edges(rows, inputs, bins), [f"{a}_label" for a in attributes]
+    counts = [f"{a}_{kind}" for a in attributes for kind in ("disagree", "agree")]
+    blocks = workspace.stage(pack(rows, "cell", inputs, edges, counts), "blocks")
+    cells = blocks.agg(F.sum("n")).first()[0] or 0
+    plan = Plan(labels, len(inputs), max(isqrt(len(inputs)), 1), max(len(e) for e in edges) + 1, depth, seed)
+    grown = _whole_trees(blocks, plan, trees) if cells <= NODE_CELLS else _split_trees(blocks, plan, trees, cells, workspace)
+    return Forests(workspace.stage(grown, "forests"), edges, list(inputs), labels)
+
 
-    def fit(attribute: str) -> RandomForestClassificationModel:
-        return forest.fit(_weighted(rows, attribute))
-
-    fitted = _side_by_side(rows.sparkSession, fit, attributes, parallelism)
-    return {f"{a}_label": model for a, model in zip(attributes, fitted)}
-
-
-def score(df: DataFrame, inputs: Sequence[str], models: Models) -> DataFrame:
-    """Append ``<attribute>_prob``, the probability that the attribute agrees, for every model."""
-    kept = list(df.columns)
-    if "features" not in kept:
-        df = VectorAssembler(inputCols=list(inputs), outputCol="features").transform(df)
-    probabilities = []
-    for label, model in models.items():
-        attribute = label.removesuffix("_label")
-        names = {
-            model.probabilityCol: f"__p_{attribute}",
-            model.predictionCol: f"__c_{attribute}",
-            model.rawPredictionCol: f"__r_{attribute}",
-        }
-        df = model.transform(df, names)
-        # A forest that saw one class may know a single probability only.
-        agree = F.get(vector_to_array(F.col(f"__p_{attribute}")), F.lit(1))
-        probabilities.append(F.coalesce(agree, F.lit(0.0)).alias(f"{attribute}_prob"))
-    return df.select(*kept, *probabilities)
+def _node_rows(table: pa.Table) -> Iterator[tuple[str, int, int, Nodes]]:
+    """Rows of TREES, their arrays as views of the column's values."""
+    columns = {c: table.column(c).combine_chunks() for c in Nodes._fields}
+    for i in range(table.num_rows):
+        nodes = Nodes(*(columns[c][i].values.to_numpy(zero_copy_only=False) for c in Nodes._fields))
+        yield table.column("label")[i].as_py(), table.column("tree")[i].as_py(), table.column("part")[i].as_py(), nodes
+
+
+VOTES = "block long, label string, tree int, part int, rows binary, bins binary, votes binary"
+
+
+def _votes(blocks: DataFrame, forests: Forests, trees: int, chunks: int) -> DataFrame:
+    """What each tree says of each block: leaves as votes, and rows that go on in another part of the tree.
+
+    A group has the trees of one number, of all labels, and the blocks of one chunk.
+    """
+    n_inputs = len(forests.inputs)
+
+    def run(trees: pa.Table, some: pa.Table) -> pa.Table:
+        out = []
+        for label, tree, _, nodes in _node_rows(trees):
+            for block, packed in zip(some.column("block"), some.column("bins"), strict=True):
+                bins = np.frombuffer(packed.as_py(), np.uint16).reshape(-1, n_inputs)
+                out += _ends(block.as_py(), label, tree, nodes, np.arange(len(bins), dtype=np.int32), bins)
+        return _vote_table(out)
+
+    numbered = forests.trees.where("part = 0").withColumn("chunk", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))))
+    every = F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree")
+    dealt = blocks.select("block", "bins", F.pmod(F.xxhash64("block"), F.lit(chunks)).cast("int").alias("chunk"), every)
+    return numbered.groupBy("tree", "chunk").cogroup(dealt.groupBy("tree", "chunk")).applyInArrow(run, VOTES)
+
+
+def _ends(block: int, label: str, tree: int, nodes: Nodes, rows: np.ndarray, bins: np.ndarray) -> list[tuple]:
+    at = walk(nodes, bins)
+    link = nodes.feature[at] == LINK
+    out = []
+    if not link.all():
+        ended = ~link
+        out.append((block, label, tree, 0, rows[ended].tobytes(), None, nodes.agree[at[ended]].tobytes()))
+    for part in np.unique(nodes.left[at[link]]).tolist():
+        mine = link & (nodes.left[at] == part)
+        out.append((block, label, tree, part, rows[mine].tobytes(), bins[mine].tobytes(), None))
+    return out
+
+
+def _vote_table(rows: list[tuple]) -> pa.Table:
+    kinds = (pa.int64(), pa.string(), pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary())
+    columns = zip(*rows, strict=True) if rows else [()] * len(kinds)
+    return pa.table([pa.array(x, kind) for x, kind in zip(columns, kinds, strict=True)], names=["block", "label", "tree", "part", "rows", "bins", "votes"])
+
+
+def _votes_of_parts(going: DataFrame, forests: Forests) -> DataFrame:
+    """Votes of the finished parts, each next to the rows that reach it, a chunk of their blocks at a time."""
+    n_inputs = len(forests.inputs)
+    keys = ["label", "tree", "part"]
+
+    def run(trees: pa.Table, some: pa.Table) -> pa.Table:
+        out = []
+        for label, tree, _, nodes in _node_rows(trees):
+            for block, rows, packed in zip(*(some.column(c) for c in ("block", "rows", "bins")), strict=True):
+                bins = np.frombuffer(packed.as_py(), np.uint16).reshape(-1, n_inputs)
+                out += _ends(block.as_py(), label, tree, nodes, np.frombuffer(rows.as_py(), np.int32), bins)
+        return _vote_table(out)
+
+    sized = going.groupBy(*keys).agg(F.ceil(F.sum(F.octet_length("rows")) / F.lit(4 * NODE_CELLS)).cast("int").alias("chunks"))
+    parts = forests.trees.where("part > 0").join(sized, keys)
+    repeated = parts.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).drop("chunks")
+    dealt = going.join(sized, keys).withColumn("chunk", F.pmod(F.xxhash64("block"), F.col("chunks")).cast("int")).drop("chunks")
+    return repeated.groupBy(*keys, "chunk").cogroup(dealt.groupBy(*keys, "chunk")).applyInArrow(run, VOTES)
+
+
+def score(df: DataFrame, forests: Forests, workspace: Workspace) -> DataFrame:
+    """Append ``<attribute>_prob``, the mean share of agreeing rows in the leaves of the attribute's trees.
+
+    Missing inputs count as the largest values, and an attribute without trees has probability 0.
+    """
+    names = [f"{label.removesuffix('_label')}_prob" for label in forests.labels]
+    rows = workspace.stage(df.withColumn("__row", F.monotonically_increasing_id()), "rows")
+    blocks = workspace.stage(pack(rows, "__row", forests.inputs, forests.edges), "row-blocks")
+    total = blocks.agg(F.sum("n")).first()[0] or 0
+    sizes = forests.trees.where("part = 0").groupBy("label").agg(F.count(F.lit(1)).alias("n"), F.max("tree").alias("last")).collect()
+    trees = max((r["last"] for r in sizes), default=0) + 1
+    votes = workspace.stage(_votes(blocks, forests, trees, max(1, -(-total // NODE_CELLS))), "votes")
+    ended = votes.where("votes IS NOT NULL")
+    going = votes.where("votes IS NULL")
+    if not going.isEmpty():
+        ended = ended.unionByName(_votes_of_parts(going, forests))
+    per_label = {r["label"]: r["n"] for r in sizes}
+    number, place = [max(per_label.get(x, 0), 1) for x in forests.labels], {x: i for i, x in enumerate(forests.labels)}
+    schema = pa.schema([("__row", pa.int64())] + [(c, pa.float64()) for c in names])
+
+    def run(some: pa.Table, given: pa.Table) -> pa.Table:
+        cells = np.frombuffer(some.column("cells")[0].as_py(), np.int64)
+        sums = np.zeros((len(place), len(cells)))
+        for label, rows, votes in zip(*(given.sort_by([("label", "ascending"), ("tree", "ascending"), ("part", "ascending")]).column(c) for c in ("label", "rows", "votes")), strict=True):
+            sums[place[label.as_py()], np.frombuffer(rows.as_py(), np.int32)] += np.frombuffer(votes.as_py())
+        return pa.table([pa.array(cells), *(pa.array(x / n) for x, n in zip(sums, number, strict=True))], schema=schema)
+
+    kinds = ", ".join(["__row long", *(f"{c} double" for c in names)])
+    scored = blocks.select("block", "cells").groupBy("block").cogroup(ended.select("block", "label", "tree", "part", "rows", "votes").groupBy("block")).applyInArrow(run, kinds)
+    return rows.join(scored, "__row").select(*df.columns, *names)
 
 
 def predicted(probability: str) -> Column:
@@ -136,19 +452,59 @@ def predicted(probability: str) -> Column:
     return F.when(F.col(probability) > 0.5, 1).otherwise(0)
 
 
-def save_models(models: Models, uri: str, parallelism: int = 4) -> None:
-    def save(label: str) -> None:
-        models[label].write().overwrite().save(f"{uri.rstrip('/')}/{label}")
-
-    _side_by_side(SparkSession.active(), save, models, parallelism)
+def save_models(forests: Forests, uri: str) -> None:
+    """Write the trees, a folder per label, and the edges of the bins."""
+    forests.trees.write.mode("overwrite").partitionBy("label").parquet(f"{uri.rstrip('/')}/trees")
+    spark = forests.trees.sparkSession
+    rows = [(i, name, edges.tolist()) for i, (name, edges) in enumerate(zip(forests.inputs, forests.edges, strict=True))]
+    spark.createDataFrame(rows, "place int, input string, edges array<double>").coalesce(1).write.mode("overwrite").parquet(f"{uri.rstrip('/')}/inputs")
 
 
-def load_models(
-    uri: str, attributes: Sequence[str], parallelism: int = 4
-) -> dict[str, RandomForestClassificationModel]:
+def load_models(spark: SparkSession, uri: str, attributes: Sequence[str]) -> Forests:
     labels = [f"{a}_label" for a in attributes]
+    trees = spark.read.schema(TREES).parquet(f"{uri.rstrip('/')}/trees").where(F.col("label").isin(labels))
+    inputs = spark.read.parquet(f"{uri.rstrip('/')}/inputs").orderBy("place").collect()
+    return Forests(trees, [np.array(r["edges"], np.float64) for r in inputs], [r["input"] for r in inputs], labels)
+
 
-    def load(label: str) -> RandomForestClassificationModel:
-        return RandomForestClassificationModel.load(f"{uri.rstrip('/')}/{label}")
+def from_nodes(spark: SparkSession, trees: dict[str, list[list[tuple]]], inputs: Sequence[str]) -> Forests:
+    """Forests written out by hand: of each label the trees, of each tree its nodes, the root first.
 
-    return dict(zip(labels, _side_by_side(SparkSession.active(), load, labels, parallelism)))
+    A node is (input, threshold, left, right), where rows of at most the threshold go to the left one, or the leaf's
+    share of agreeing rows alone.
+    """
+    place = {name: i for i, name in enumerate(inputs)}
+    inner = [node for found in trees.values() for nodes in found for node in nodes if len(node) == 4]
+    edges = [np.array(sorted({t for name, t, _, _ in inner if name == x}), np.float64) for x in inputs]
+    rows = []
+    for label, found in trees.items():
+        for tree, nodes in enumerate(found):
+            split = [len(n) == 4 for n in nodes]
+            feature = [place[n[0]] if x else LEAF for n, x in zip(nodes, split, strict=True)]
+            cut = [int(np.searchsorted(edges[f], n[1])) if x else 0 for f, n, x in zip(feature, nodes, split, strict=True)]
+            left, right = ([n[k] if x else LEAF for n, x in zip(nodes, split, strict=True)] for k in (2, 3))
+            rows.append((label, tree, 0, feature, cut, left, right, [0.0 if x else float(n[0]) for n, x in zip(nodes, split, strict=True)]))
+    return Forests(spark.createDataFrame(rows, TREES), edges, list(inputs), list(trees))
+
+
+def from_spark(spark: SparkSession, uri: str, label: str, inputs: Sequence[str]) -> Forests:
+    """A binary forest that Spark ML has saved, as a table of nodes; its thresholds become the edges."""
+    nodes = spark.read.parquet(f"{uri.rstrip('/')}/data").select("treeID", "nodeData.*")
+    cut = F.col("split.leftCategoriesOrThreshold")[0]
+    inner = F.col("leftChild") >= 0
+    found = nodes.where(inner).groupBy(F.col("split.featureIndex").alias("f")).agg(F.sort_array(F.collect_set(cut)).alias("edges")).collect()
+    by_input = {r["f"]: np.array(r["edges"], np.float64) for r in found}
+    edges = [by_input.get(i, np.zeros(0)) for i in range(len(inputs))]
+    known = spark.createDataFrame([(f, e.tolist()) for f, e in by_input.items()], "f int, edges array<double>")
+    node = F.struct(
+        "id",
+        F.when(inner, F.col("f")).otherwise(LEAF).alias("feature"),
+        F.when(inner, F.array_position("edges", cut).cast("int") - 1).otherwise(0).alias("cut"),
+        F.col("leftChild").alias("left"),
+        F.col("rightChild").alias("right"),
+        (F.get("impurityStats", F.lit(1)) / F.aggregate("impurityStats", F.lit(0.0), lambda a, x: a + x)).alias("agree"),
+    )
+    joined = nodes.join(F.broadcast(known), nodes["split.featureIndex"] == known["f"], "left")
+    trees = joined.groupBy(F.col("treeID").alias("tree")).agg(F.array_sort(F.collect_list(node)).alias("nodes"))
+    arrays = [F.col(f"nodes.{c}").alias(c) for c in Nodes._fields]
+    return Forests(trees.select(F.lit(label).alias("label"), "tree", F.lit(0).alias("part"), *arrays), edges, list(inputs), [label])

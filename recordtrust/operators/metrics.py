@@ -35,7 +35,7 @@ def binary_metrics(df: DataFrame, label: str, prediction: str) -> DataFrame:
 
 
 def held_out_metrics(held_out: DataFrame, attributes: Sequence[str]) -> DataFrame:
-    """Accuracy and F1 per attribute over held-out bags with scores; label counts weigh the bags."""
+    """Accuracy and F1 per attribute over held-out cells with scores; label counts weigh the cells."""
     sums, cells = [], []
     for a in attributes:
         hit = predicted(f"{a}_prob")

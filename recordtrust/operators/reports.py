@@ -9,10 +9,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from recordtrust.operators.features import fill_zero, rows_with_cell
-from recordtrust.operators.forests import Models, score
+from recordtrust.operators.forests import Forests, score
 from recordtrust.operators.joins import attach
 from recordtrust.operators.vectors import SUBMITTER, submitter_records
 from recordtrust.registry import ATTRIBUTES, ENTITIES, GENERAL_ATTRIBUTES, Entity
+from recordtrust.sources.workspace import Workspace
 
 
 def mean_of(columns: Sequence[str]) -> Column:
@@ -40,12 +41,13 @@ def rank_submitters(scored: DataFrame, attributes: Sequence[str] = ATTRIBUTES) -
 def submitter_report(
     cells: DataFrame,
     inputs: Sequence[str],
-    models: Models,
+    models: Forests,
     names: DataFrame,
+    workspace: Workspace,
     attributes: Sequence[str] = ATTRIBUTES,
 ) -> DataFrame:
     """Reliability of every named submitter, scored on one vector each."""
-    return rank_submitters(score(submitter_records(cells, inputs, names), inputs, models), attributes)
+    return rank_submitters(score(submitter_records(cells, inputs, names), models, workspace), attributes)
 
 
 def version_rows(
@@ -74,8 +76,8 @@ def version_rows(
 
 
 def score_cells(
-    cells: DataFrame, inputs: Sequence[str], models: Models, entities: Sequence[Entity] = ENTITIES
+    cells: DataFrame, models: Forests, workspace: Workspace, entities: Sequence[Entity] = ENTITIES
 ) -> DataFrame:
     """Scores per cell: every row of a cell has the same inputs, so rows are never scored."""
     keys = [e.key for e in entities]
-    return score(cells, inputs, models).select(*keys, "n", *[f"{c.removesuffix('_label')}_prob" for c in models])
+    return score(cells, models, workspace).select(*keys, "n", *[f"{c.removesuffix('_label')}_prob" for c in models.labels])

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recordtrust.operators.features import cell_profiles, cell_rates
-from recordtrust.operators.forests import HELD_OUT, Models, bagged_tally, examples, save_models, train_all
+from recordtrust.operators.forests import HELD_OUT, Forests, examples, save_models, split_tally, train_all
 from recordtrust.operators.joins import spread_join
 from recordtrust.operators.metrics import held_out_metrics
 from recordtrust.operators.pairs import MIN_LINKS, linked_pairs
@@ -26,9 +26,9 @@ RELIABLE = "reliable"
 
 
 class Population(NamedTuple):
-    """A set of labelled rows boiled down to label counts per bag, and to cells with rates."""
+    """A set of labelled rows boiled down to label counts per cell and side of the split, and to cells with rates."""
 
-    bagged: DataFrame
+    tallied: DataFrame
     cells: DataFrame
 
 
@@ -42,7 +42,6 @@ def populations(
     workspace: Workspace,
     attributes: Sequence[str] = ATTRIBUTES,
     entities: Sequence[Entity] = ENTITIES,
-    bags: int = 16,
 ) -> tuple[Population, Population]:
     """The reliable rows and all rows, from one pass over the labels.
 
@@ -50,13 +49,13 @@ def populations(
     """
     keys = [e.key for e in entities]
     marked = labelled.withColumn(RELIABLE, F.col("master_links") > MIN_LINKS)
-    bagged = workspace.stage(bagged_tally(marked, [*keys, RELIABLE], attributes, bags=bags), "bagged")
+    tallied = workspace.stage(split_tally(marked, [*keys, RELIABLE], attributes), "tallied")
 
     def population(rows: DataFrame, name: str) -> Population:
         cells = cell_rates(cell_profiles(rows, entities), attributes, entities)
         return Population(rows, workspace.stage(cells, f"cells-{name}"))
 
-    return population(bagged.where(RELIABLE), "reliable"), population(bagged, "all")
+    return population(tallied.where(RELIABLE), "reliable"), population(tallied, "all")
 
 
 def fit(
@@ -65,15 +64,14 @@ def fit(
     attributes: Sequence[str] = ATTRIBUTES,
     entities: Sequence[Entity] = ENTITIES,
     trees: int = 100,
-    depth: int = 10,
-    parallelism: int = 4,
-) -> tuple[Models, DataFrame]:
+    depth: int | None = None,
+) -> tuple[Forests, DataFrame]:
     """Forests for all attributes, and their metrics on the held-out rows."""
     inputs, keys = rate_names(attributes, entities), [e.key for e in entities]
-    rows = workspace.stage(examples(known.bagged, known.cells, keys, inputs), "examples")
-    models = train_all(rows, attributes, len(inputs), trees, depth, parallelism=parallelism)
-    scored = score_cells(known.cells, inputs, models, entities).drop("n")
-    held_out = spread_join(known.bagged.where(HELD_OUT), scored, keys, null_safe=True)
+    rows = workspace.stage(examples(known.tallied, known.cells, keys, inputs), "examples")
+    models = train_all(rows, attributes, inputs, workspace, trees, depth)
+    scored = score_cells(known.cells, models, workspace, entities).drop("n")
+    held_out = spread_join(known.tallied.where(HELD_OUT), scored, keys, null_safe=True)
     return models, held_out_metrics(held_out, attributes)
 
 
@@ -83,34 +81,35 @@ def run(
     out: str,
     workspace: Workspace | None = None,
     trees: int = 100,
-    depth: int = 10,
-    parallelism: int = 4,
-    bags: int = 16,
+    depth: int | None = None,
     comparators: Mapping[str, Comparator] = COMPARATORS,
 ) -> dict[str, int]:
     """Train on versions of well-linked masters, report on submitters and on all versions.
 
-    ``trees``, ``depth`` and ``bags`` size the forests: a forest's bootstrap draws that many bags of
-    every cell. ``comparators`` names the attributes and how each is compared; an attribute is a column
+    ``trees`` and ``depth`` size the forests; without a depth their leaves are pure. ``comparators`` names the
+    attributes and how each is compared; an attribute is a column
     of the records. Writes ``models``, ``metrics``, ``submitter_reliability`` and ``version_reliability`` under
-    ``out`` and returns the row counts of both populations.
+    ``out`` and returns the row counts of both populations. Intermediate tables go to ``workspace``, or to one
+    of the job's own that it deletes at the end.
     """
-    workspace = workspace or Workspace(spark)
+    if workspace is None:
+        with Workspace(spark) as own:
+            return run(spark, tables, out, own, trees, depth, comparators)
     out = out.rstrip("/")
     attributes = list(comparators)
     inputs = rate_names(attributes, ENTITIES)
 
     every_row = label_pairs(tables, workspace, comparators)
-    known, everyone = populations(every_row, workspace, attributes, bags=bags)
-    models, metrics = fit(known, workspace, attributes, trees=trees, depth=depth, parallelism=parallelism)
+    known, everyone = populations(every_row, workspace, attributes)
+    models, metrics = fit(known, workspace, attributes, trees=trees, depth=depth)
     save_models(models, f"{out}/models")
     write_csv(metrics, f"{out}/metrics")
 
     names = submitter_names(tables["person"])
-    write_csv(submitter_report(known.cells, inputs, models, names, attributes), f"{out}/submitter_reliability")
-    scored = workspace.stage(score_cells(everyone.cells, inputs, models), "scored")
+    write_csv(submitter_report(known.cells, inputs, models, names, workspace, attributes), f"{out}/submitter_reliability")
+    scored = workspace.stage(score_cells(everyone.cells, models, workspace), "scored")
     write_csv(version_rows(every_row, scored, attributes), f"{out}/version_reliability", null_as_zero=True)
-    return {name: part.bagged.agg(F.sum("n")).first()[0] for name, part in (("reliable", known), ("all", everyone))}
+    return {name: part.tallied.agg(F.sum("n")).first()[0] for name, part in (("reliable", known), ("all", everyone))}
 
 
 def main() -> None:
@@ -118,11 +117,10 @@ def main() -> None:
     parser.add_argument("--tables", required=True, help="folder with one <name>.parquet per relation")
     parser.add_argument("--out", required=True, help="folder for models and reports")
     parser.add_argument("--trees", type=int, default=100)
-    parser.add_argument("--depth", type=int, default=10)
-    parser.add_argument("--bags", type=int, default=16, help="bags of rows that a forest draws from every cell")
+    parser.add_argument("--depth", type=int, help="levels of a tree, if not as many as it takes")
     args = parser.parse_args()
     spark = configured(SparkSession.builder.appName("recordtrust")).getOrCreate()
-    counts = run(spark, read_tables(spark, args.tables), args.out, trees=args.trees, depth=args.depth, bags=args.bags)
+    counts = run(spark, read_tables(spark, args.tables), args.out, trees=args.trees, depth=args.depth)
     print(counts)
 
 

@@ -11,7 +11,7 @@ class Trained(Exception):
 
 
 def test_model_queries_fit_the_whole_forests(spark, monkeypatch):
-    def train_all(rows, attributes, n_inputs, trees, depth, **_):
+    def train_all(rows, attributes, inputs, workspace, trees, depth, **_):
         raise Trained(trees, depth)
 
     monkeypatch.setattr(job, "train_all", train_all)
@@ -19,4 +19,4 @@ def test_model_queries_fit_the_whole_forests(spark, monkeypatch):
     for query in (catalog.model_metrics, catalog.end_to_end):
         with pytest.raises(Trained) as seen:
             query(spark, "/root/testdata/sf0.001")
-        assert seen.value.args == (100, 10)
+        assert seen.value.args == (100, None)

@@ -2,26 +2,32 @@ from __future__ import annotations
 
 import random
 
+import duckdb
+import pyarrow as pa
 import pytest
+from pyspark.ml.classification import RandomForestClassifier
+from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
 from recordtrust.operators.features import cell_profiles, cell_rates
+from recordtrust.operators import forests
 from recordtrust.operators.forests import (
-    BAG,
     HELD_OUT,
-    bagged_tally,
     examples,
+    from_spark,
     load_models,
     predicted,
     save_models,
     score,
     split,
+    split_tally,
     train_all,
 )
 from recordtrust.operators.labels import known_labels, label_distribution
 from recordtrust.operators.metrics import binary_metrics, held_out_metrics
 from recordtrust.operators.reports import mean_of, rank_submitters, score_cells, submitter_report, version_rows
 from recordtrust.registry import ATTRIBUTES, GENERAL_ATTRIBUTES, rate_names
+from recordtrust.sources.workspace import Workspace
 
 SUB, LOGO = "submitter_person_id", "logo"
 KEYS = [SUB, LOGO]
@@ -48,18 +54,24 @@ def labelled(spark):
 
 
 @pytest.fixture(scope="module")
-def bagged(labelled):
-    return bagged_tally(labelled, KEYS, ATTS).persist()
+def space(spark):
+    with Workspace(spark) as workspace:
+        yield workspace
 
 
 @pytest.fixture(scope="module")
-def cells(bagged):
-    return cell_rates(cell_profiles(bagged), ATTS).persist()
+def tallied(labelled, space):
+    return space.stage(split_tally(labelled, KEYS, ATTS), "tallied")
 
 
 @pytest.fixture(scope="module")
-def models(bagged, cells):
-    return train_all(examples(bagged, cells, KEYS, INPUTS).persist(), ATTS, len(INPUTS), trees=8, depth=4)
+def cells(tallied, space):
+    return space.stage(cell_rates(cell_profiles(tallied), ATTS), "cells")
+
+
+@pytest.fixture(scope="module")
+def models(tallied, cells, space):
+    return train_all(examples(tallied, cells, KEYS, INPUTS), ATTS, INPUTS, space, trees=8)
 
 
 def test_split_keeps_ids_together_and_takes_a_fifth(spark):
@@ -72,46 +84,47 @@ def test_split_keeps_ids_together_and_takes_a_fifth(spark):
     assert split(df, seed=11)[1].orderBy("id").collect() != test.orderBy("id").collect()
 
 
-def test_bags_hold_all_rows(labelled, bagged):
-    sums = bagged.agg(F.sum("n"), F.sum("honest_agree"), F.sum("honest_disagree"), F.countDistinct(BAG)).first()
+def test_tally_holds_all_rows(labelled, tallied):
+    sums = tallied.agg(F.sum("n"), F.sum("honest_agree"), F.sum("honest_disagree")).first()
     agree, disagree = (labelled.where(F.col("honest_label") == v).count() for v in (1, 0))
-    assert tuple(sums) == (3000, agree, disagree, 16)
+    assert tuple(sums) == (3000, agree, disagree)
 
 
-def test_examples_are_the_training_side(labelled, bagged, cells):
-    rows = examples(bagged, cells, KEYS, INPUTS)
+def test_examples_are_the_training_side(labelled, tallied, cells):
+    rows = examples(tallied, cells, KEYS, INPUTS)
     assert rows.agg(F.sum("n")).first()[0] == split(labelled)[0].count()
     assert rows.where(F.col(HELD_OUT)).count() == 0
 
 
-def test_scores_tell_submitters_apart(cells, models):
-    scored = score(cells, INPUTS, models)
+def test_scores_tell_submitters_apart(cells, models, space):
+    scored = score(cells, models, space)
+    assert scored.columns == [*cells.columns, "honest_prob", "always_prob", "never_prob"]
     for r in scored.collect():
         assert 0 <= r.honest_prob <= 1
         assert (r.honest_prob > 0.5) == (r[SUB] % 2 == 1)
 
 
-def test_one_class_gives_a_constant(cells, models):
-    scored = score(cells, INPUTS, models)
+def test_one_class_gives_a_constant(cells, models, space):
+    scored = score(cells, models, space)
     assert {(r.always_prob, r.never_prob) for r in scored.collect()} == {(1.0, 0.0)}
 
 
-def test_held_out_metrics(labelled, bagged, cells, models):
-    scored = score_cells(cells, INPUTS, models)
+def test_held_out_metrics(labelled, tallied, cells, models, space):
+    scored = score_cells(cells, models, space)
     rows = labelled.join(
         scored.withColumnsRenamed({SUB: "s", LOGO: "l"}), F.col(SUB).eqNullSafe(F.col("s")) & F.col(LOGO).eqNullSafe(F.col("l"))
     )
     _, test = split(known_labels(rows, "honest_label"))
     direct = binary_metrics(test.withColumn("p", predicted("honest_prob")), "honest_label", "p").first()
-    bags = bagged.where(HELD_OUT).drop("n").join(
+    test_cells = tallied.where(HELD_OUT).drop("n").join(
         scored.drop("n").withColumnsRenamed({SUB: "s", LOGO: "l"}),
         F.col(SUB).eqNullSafe(F.col("s")) & F.col(LOGO).eqNullSafe(F.col("l")),
     )
-    by_bag = {r.attribute: r for r in held_out_metrics(bags, ATTS).collect()}
-    assert (by_bag["honest"].n, by_bag["honest"].accuracy, by_bag["honest"].f1) == tuple(direct)
+    by_cell = {r.attribute: r for r in held_out_metrics(test_cells, ATTS).collect()}
+    assert (by_cell["honest"].n, by_cell["honest"].accuracy, by_cell["honest"].f1) == tuple(direct)
     assert direct.accuracy > 0.85
-    assert (by_bag["always"].accuracy, by_bag["always"].f1) == (1.0, 1.0)
-    assert (by_bag["never"].accuracy, by_bag["never"].f1) == (1.0, 0.0)  # no positive at all
+    assert (by_cell["always"].accuracy, by_cell["always"].f1) == (1.0, 1.0)
+    assert (by_cell["never"].accuracy, by_cell["never"].f1) == (1.0, 0.0)  # no positive at all
 
 
 def test_binary_metrics_by_hand(spark):
@@ -120,11 +133,105 @@ def test_binary_metrics_by_hand(spark):
     assert tuple(binary_metrics(df.where("y > 5"), "y", "p").first()) == (0, 0.0, 0.0)
 
 
-def test_saved_models_score_alike(cells, models, tmp_path):
+def test_saved_models_score_alike(spark, cells, models, space, tmp_path):
     save_models(models, str(tmp_path))
-    again = load_models(str(tmp_path), ATTS)
+    again = load_models(spark, str(tmp_path), ATTS)
     order = [SUB, LOGO]
-    assert score_cells(cells, INPUTS, again).orderBy(order).collect() == score_cells(cells, INPUTS, models).orderBy(order).collect()
+    assert score_cells(cells, again, space).orderBy(order).collect() == score_cells(cells, models, space).orderBy(order).collect()
+
+
+def numbers(spark, n, seed=3):
+    """Cells with three inputs and the counts of two targets."""
+    rng = random.Random(seed)
+    rows = [(i, rng.randrange(40) / 40, rng.random(), float(rng.randrange(3)), *[rng.choice([0, 0, 1, 5, 90]) for _ in range(4)]) for i in range(n)]
+    return spark.createDataFrame(rows, "cell long, a double, b double, c double, x_disagree long, x_agree long, y_disagree long, y_agree long")
+
+
+def nodes(found):
+    return {(r.label, r.tree, r.part): tuple(r)[3:] for r in found.trees.collect()}
+
+
+@pytest.mark.parametrize("depth", [None, 4])
+def test_trees_do_not_depend_on_partitions_or_on_who_splits(spark, space, monkeypatch, depth):
+    """Whole trees in a task, and trees whose upper nodes all tasks split, are the same trees."""
+    rows = numbers(spark, 700)
+    one = train_all(rows.coalesce(1), ["x", "y"], ["a", "b", "c"], space, trees=3, depth=depth)
+    assert nodes(train_all(rows.repartition(5), ["x", "y"], ["a", "b", "c"], space, trees=3, depth=depth)) == nodes(one)
+    alone = score(rows, one, space).orderBy("cell").collect()
+    monkeypatch.setattr(forests, "NODE_CELLS", 60)
+    monkeypatch.setattr(forests, "BLOCK", 50)
+    monkeypatch.setattr(forests, "TOP_NODES", 30)
+    split_up = train_all(rows.repartition(3), ["x", "y"], ["a", "b", "c"], space, trees=3, depth=depth)
+    assert split_up.trees.where("part > 0").count() > 10
+    assert score(rows, split_up, space).orderBy("cell").collect() == alone
+    assert score(rows, one, space).orderBy("cell").collect() == alone
+
+
+def test_target_that_needs_more_than_thirty_levels(spark, space):
+    """Cells in a row with alternating classes: each cut of one input takes a few off an end."""
+    rows = spark.createDataFrame([(i, 2.0**-i, 10**6 * (i % 2), 10**6 * (1 - i % 2)) for i in range(64)], "cell long, a double, x_disagree long, x_agree long")
+    found = train_all(rows, ["x"], ["a"], space, trees=5)
+    assert all(r.x_prob == 1 - r.cell % 2 for r in score(rows, found, space).collect())
+    # Weights that halve from cell to cell: the best cut takes the heaviest cell off its end.
+    weight = [2 ** (40 - i) for i in range(38)]
+    chain = [(i, float(i), w * (i % 2), w * (1 - i % 2)) for i, w in enumerate(weight)]
+    heavy = spark.createDataFrame(chain, "cell long, a double, x_disagree long, x_agree long")
+    found = train_all(heavy, ["x"], ["a"], space, trees=2)
+    assert min(_depth(r) for r in found.trees.collect()) > 30
+    assert all(r.x_prob == 1 - r.cell % 2 for r in score(heavy, found, space).collect())
+
+
+def _depth(tree, node=0):
+    return 0 if tree.feature[node] < 0 else 1 + max(_depth(tree, tree.left[node]), _depth(tree, tree.right[node]))
+
+
+def test_odd_training_sets(spark, space):
+    rows = numbers(spark, 20)
+    none = train_all(rows.limit(0), ["x", "y"], ["a", "b", "c"], space, trees=2)
+    assert {(r.x_prob, r.y_prob) for r in score(rows, none, space).collect()} == {(0.0, 0.0)}
+    zero = train_all(rows.withColumns({"x_agree": F.lit(0), "x_disagree": F.lit(0)}), ["x", "y"], ["a", "b", "c"], space, trees=2)
+    assert {r.x_prob for r in score(rows, zero, space).collect()} == {0.0}
+    assert score(rows.limit(0), zero, space).count() == 0
+    missing = rows.withColumn("a", F.when(F.col("cell") > 9, F.col("a")))
+    assert score(missing, train_all(missing, ["x", "y"], ["a", "b", "c"], space, trees=2), space).where("x_prob between 0 and 1").count() == 20
+
+
+def test_spark_forest_as_a_table(spark, space, tmp_path):
+    """The walk gives Spark's own probabilities, bit for bit but for the order of sums."""
+    rows = numbers(spark, 400).selectExpr("*", "double(x_agree > x_disagree) AS label")
+    vectors = VectorAssembler(inputCols=["a", "b", "c"], outputCol="features").transform(rows)
+    model = RandomForestClassifier(numTrees=7, maxDepth=6, seed=5).fit(vectors)
+    model.write().overwrite().save(f"{tmp_path}/rf")
+    found = from_spark(spark, f"{tmp_path}/rf", "x_label", ["a", "b", "c"])
+    mine = {r.cell: r.x_prob for r in score(rows, found, space).collect()}
+    for r in model.transform(vectors).collect():
+        assert mine[r.cell] == pytest.approx(r.probability[1], abs=1e-12)
+
+
+WALK = """
+WITH RECURSIVE vote AS (
+    SELECT cell, tree, 0 AS node FROM rows, trees WHERE part = 0
+    UNION ALL
+    SELECT v.cell, v.tree, CASE WHEN list_count(list_filter(e.edges, lambda x: x < list_extract(r.v, t.feature[v.node + 1] + 1))) <= t.cut[v.node + 1]
+                                THEN t.left[v.node + 1] ELSE t.right[v.node + 1] END
+    FROM vote v JOIN trees t ON t.tree = v.tree JOIN (SELECT cell, [a, b, c] AS v FROM rows) r ON r.cell = v.cell
+        JOIN edges e ON e.place = t.feature[v.node + 1]
+    WHERE t.feature[v.node + 1] >= 0
+)
+SELECT cell, avg(t.agree[node + 1]) AS p FROM vote JOIN trees t USING (tree) WHERE t.feature[node + 1] < 0 GROUP BY cell
+"""
+
+
+def test_scores_by_sql(spark, space):
+    """A small forest walked by recursive SQL over its node arrays, value by value."""
+    rows = numbers(spark, 150)
+    found = train_all(rows, ["x"], ["a", "b", "c"], space, trees=4)
+    scored = {r.cell: r.x_prob for r in score(rows, found, space).collect()}
+    with duckdb.connect() as db:
+        db.register("rows", rows.toArrow())
+        db.register("trees", found.trees.toArrow())
+        db.register("edges", pa.table({"place": range(3), "edges": [e.tolist() for e in found.edges]}))
+        assert {c: pytest.approx(p, abs=1e-12) for c, p in db.execute(WALK).fetchall()} == scored
 
 
 def test_label_distribution(labelled):
@@ -135,10 +242,11 @@ def test_label_distribution(labelled):
     assert got == expected
 
 
-def test_submitter_report(spark, cells, models):
+def test_submitter_report(spark, cells, models, space):
     names = spark.createDataFrame([(i, f"N{i}") for i in range(1, 8)], "id bigint, submitter_name string")
-    stand_in = {f"{a}_label": models["honest_label"] for a in ATTRIBUTES}
-    report = submitter_report(cells, INPUTS, stand_in, names)
+    labels = [f"{a}_label" for a in ATTRIBUTES]
+    honest = models.trees.where("label = 'honest_label'").withColumn("label", F.explode(F.array(*map(F.lit, labels))))
+    report = submitter_report(cells, INPUTS, models._replace(trees=space.stage(honest, "honest"), labels=labels), names, space)
     assert report.columns == [
         "submitter_name", SUB, "n_support", *[f"{a}_reliability" for a in ATTRIBUTES], "general_reliability",
     ]
@@ -159,9 +267,9 @@ def test_submitter_order_and_mean(spark):
 
 
 @pytest.mark.parametrize("limits", [{}, {"taskRows": "20", "broadcastBytes": "0"}])
-def test_version_rows(labelled, cells, models, settings, limits):
+def test_version_rows(labelled, cells, models, space, settings, limits):
     settings(**limits)
-    scored = score_cells(cells, INPUTS, models)
+    scored = score_cells(cells, models, space)
     rows = version_rows(labelled, scored, ATTS)
     assert rows.columns[:6] == ["comp_data_id_version", "comp_data_id_master", "honest_version", "honest_prob", "always_version", "always_prob"]
     got = rows.collect()

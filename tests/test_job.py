@@ -17,7 +17,8 @@ def test_job_writes_models_metrics_and_reports(spark, tmp_path):
     out = str(tmp_path / "out")
     assert run(spark, tables, out, workspace, trees=3, depth=3) == {"reliable": 5945, "all": 5959}
 
-    assert len(load_models(f"{out}/models", ATTRIBUTES)) == 14
+    found = load_models(spark, f"{out}/models", ATTRIBUTES)
+    assert len(found.labels) == 14 and found.trees.groupBy("label").count().where("count = 3").count() == 14
     metrics = spark.read.csv(f"{out}/metrics", header=True, inferSchema=True)
     assert metrics.count() == 14 and metrics.where("accuracy < 0 OR accuracy > 1").count() == 0
 
@@ -36,7 +37,7 @@ def test_job_takes_own_comparators(spark, tmp_path):
     out = str(tmp_path / "out")
     own = {a: COMPARATORS[a] for a in ("tenant_name", "lease_type_id")}
     own["lease_term"] = lambda version, master: F.when(version.isNull() | master.isNull(), -1).otherwise(1)
-    run(spark, tables, out, workspace, trees=2, depth=2, bags=4, comparators=own)
+    run(spark, tables, out, workspace, trees=2, comparators=own)
 
     metrics = {r.attribute: r for r in spark.read.csv(f"{out}/metrics", header=True, inferSchema=True).collect()}
     assert set(metrics) == set(own) and metrics["lease_term"].accuracy == 1
