@@ -218,19 +218,29 @@ def _metrics(attribute: str, rate: str, where: str, extra: str = "") -> str:
     return METRICS.format(extra=extra, parts=F1_PARTS.format(rows=rows))
 
 
+# How dates are written, and what part of the time such a text keeps.
+DATE_TEXTS = (
+    ("%Y-%m-%d %H:%M:%S", "second", 0), ("%Y-%m-%d", "day", 0), ("%m/%d/%Y", "day", 0), ("%b %-d, %Y", "day", 0),
+    ("%-m/%-d/%Y %-I:%M %p", "minute", 0), ("%B %-d, %Y", "day", 0), ("%Y/%m/%d %H:%M", "minute", 0), ("%Y%m%d", "day", 0),
+    ("%Y%m%dT%H%M%S", "second", 0), ("%Y-%m-%dT%H:%M:%S+02:00", "second", 2), ("%A, %-d %B %Y", "day", 0),
+    ("%-d-%b-%y %H:%M:%S GMT", "second", 0), ("%Y-%m-%dT%H:%M:%SZ", "second", 0),
+)
+
+
 def _parse_dates() -> str:
-    return statement("""
+    shape = f"id % {len(DATE_TEXTS) + 1}"
+    texts = " ".join(f"WHEN {shape} = {i} THEN strftime(execution_date_version, '{f}')" for i, (f, _, _) in enumerate(DATE_TEXTS))
+    parsed = " ".join(
+        f"WHEN {shape} = {i} THEN date_trunc('{part}', execution_date_version) - INTERVAL {east} HOUR" for i, (_, part, east) in enumerate(DATE_TEXTS)
+    )
+    return statement(
+        f"""
         SELECT id, logo, txt AS execution_text, parsed AS execution_parsed,
           CAST(CASE WHEN parsed IS NULL OR execution_date_master IS NULL THEN -1
                WHEN parsed BETWEEN execution_date_master - INTERVAL 90 DAY AND execution_date_master + INTERVAL 90 DAY
                THEN 1 ELSE 0 END AS INTEGER) AS execution_label
-        FROM (SELECT *, CASE WHEN id % 5 = 4 THEN NULL ELSE execution_date_version END AS parsed,
-            CASE id % 5 WHEN 0 THEN strftime(execution_date_version, '%Y-%m-%d %H:%M:%S')
-              WHEN 1 THEN strftime(execution_date_version, '%Y-%m-%d')
-              WHEN 2 THEN strftime(execution_date_version, '%m/%d/%Y')
-              WHEN 3 THEN strftime(execution_date_version, '%b %-d, %Y')
-              ELSE 'unread ' || id END AS txt
-          FROM pairs)""")
+        FROM (SELECT *, CASE {parsed} END AS parsed, CASE {texts} ELSE 'unread ' || id END AS txt FROM pairs)"""
+    )
 
 
 def _submitter_order() -> str:

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from catalog.oracle import DATES, FIXED_TREES, LABEL_COLUMNS, NUMERIC, PAIR_COLUMNS, STRICT
 from catalog.sample import derive_sources, with_numeric_logo
-from recordtrust.functions.comparators import parse_date, within_days
+from recordtrust.functions.comparators import within_days
+from recordtrust.functions.dates import parse_date
 from recordtrust.operators import features, forests, joins, labels, metrics, pairs, profile, reports, vectors
 from recordtrust.plans import job
 from recordtrust.registry import ATTRIBUTES, COMPARATORS, ENTITIES, GENERAL_ATTRIBUTES, model_columns, rate_names
@@ -149,16 +150,19 @@ def _label_query(attributes: list[str]) -> Query:
     return query
 
 
+# How dates are written: ISO with time and zone, with slashes, compact, with names of months and weekdays.
+DATE_SHAPES = (
+    "yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd", "MM/dd/yyyy", "MMM d, yyyy", "M/d/yyyy h:mm a", "MMMM d, yyyy", "yyyy/MM/dd HH:mm", "yyyyMMdd",
+    "yyyyMMdd'T'HHmmss", "yyyy-MM-dd'T'HH:mm:ss'+02:00'", "EEEE, d MMMM yyyy", "d-MMM-yy HH:mm:ss 'GMT'", "yyyy-MM-dd'T'HH:mm:ss'Z'",
+)
+
+
 def parse_date_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = pairs.build_pairs(inputs(spark, sf_dir).tables, ["execution_date"])
-    date, shape = F.col("execution_date_version"), F.pmod(F.col("id"), F.lit(5))
-    text = (
-        F.when(shape == 0, F.date_format(date, "yyyy-MM-dd HH:mm:ss"))
-        .when(shape == 1, F.date_format(date, "yyyy-MM-dd"))
-        .when(shape == 2, F.date_format(date, "MM/dd/yyyy"))
-        .when(shape == 3, F.date_format(date, "MMM d, yyyy"))
-        .otherwise(F.concat(F.lit("unread "), F.col("id").cast("string")))
-    )
+    date, shape = F.col("execution_date_version"), F.pmod(F.col("id"), F.lit(len(DATE_SHAPES) + 1))
+    text = F.concat(F.lit("unread "), F.col("id").cast("string"))
+    for i, pattern in enumerate(DATE_SHAPES):
+        text = F.when(shape == i, F.date_format(date, pattern)).otherwise(text)
     parsed = rows.withColumn("execution_text", text).withColumn("execution_parsed", parse_date(F.col("execution_text")))
     label = within_days(F.col("execution_parsed"), F.col("execution_date_master"), 90)
     return parsed.select("id", "logo", "execution_text", "execution_parsed", label.alias("execution_label"))

@@ -10,8 +10,6 @@ from pyspark.sql import types as T
 
 AGREE, DISAGREE, UNKNOWN = 1, 0, -1
 
-DATE_FORMATS = ("M/d/yyyy", "MMM d, yyyy", "d MMM yyyy")
-
 
 def tri_state(subject: Column, target: Column, agrees: Column) -> Column:
     """-1 when either side is null, else 1 or 0."""
@@ -48,15 +46,6 @@ def filled_flag(value: Column) -> Column:
     return F.when(value.isNotNull(), F.lit(1)).otherwise(F.lit(0))
 
 
-def parse_date(text: Column, formats: Sequence[str] = DATE_FORMATS) -> Column:
-    """Date or date-time text as a timestamp without zone; null (an unknown label) when unreadable.
-
-    ISO text keeps its time of day; the other formats are dates.
-    """
-    dates = [F.try_to_date(text, f).cast("timestamp_ntz") for f in formats]
-    return F.coalesce(text.try_cast("timestamp_ntz"), *dates)
-
-
 def full_name(first: Column, last: Column) -> Column:
     """Null when either part is null."""
     return F.concat(first, F.lit(" "), last)

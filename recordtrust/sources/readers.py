@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from recordtrust.functions.comparators import full_name, parse_date
+from recordtrust.functions.comparators import full_name
+from recordtrust.functions.dates import parse_date
 from recordtrust.sources.schemas import SCHEMAS
 
 Tables = Mapping[str, DataFrame]

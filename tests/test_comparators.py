@@ -12,7 +12,6 @@ from recordtrust.functions.comparators import (
     full_name,
     hash_bucket,
     known,
-    parse_date,
     ratio,
     strict,
     within_days,
@@ -65,31 +64,6 @@ def test_filled_counts_nan_as_missing(spark):
     assert [r[0] for r in df.select(filled_flag(known(df, "x"))).collect()] == [1, 0, 0]
 
 
-def test_parse_date(spark):
-    texts = ["2020-02-29 12:30:00", "2020-02-29T12:30:00.5", "2020-02-29", "02/29/2020", "Feb 29, 2020", "soon", None]
-    df = spark.createDataFrame([(t,) for t in texts], "t string")
-    day = datetime(2020, 2, 29)
-    assert [r[0] for r in df.select(parse_date(F.col("t"))).collect()] == [
-        T0,
-        T0.replace(microsecond=500000),
-        day,
-        day,
-        day,
-        None,
-        None,
-    ]
-
-
-def test_parse_date_does_not_depend_on_the_zone(spark):
-    zone = spark.conf.get("spark.sql.session.timeZone")
-    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
-    try:
-        df = spark.createDataFrame([("2021-03-14 02:30:00",)], "t string")
-        assert df.select(parse_date(F.col("t")).cast("string")).first()[0] == "2021-03-14 02:30:00"
-    finally:
-        spark.conf.set("spark.sql.session.timeZone", zone)
-
-
 def test_full_name_is_null_when_a_part_is(spark):
     df = spark.createDataFrame([("Ann", "Lee"), ("Ann", None), (None, "Lee")], "a string, b string")
     assert [r[0] for r in df.select(full_name(F.col("a"), F.col("b"))).collect()] == ["Ann Lee", None, None]
