@@ -138,16 +138,15 @@ def build_features(
 
     Profiles always come from the rows as given, before any row is dropped for a missing key. The
     join carries the plain counts; the statistics are named after it. Pass staged rows: they are read
-    twice, and a hot cell's rows are dealt by their number.
+    twice. Where cells are hot, rows are written with a number to deal them by.
     """
     workspace = workspace or Workspace(labelled.sparkSession)
     keys = [e.key for e in entities]
     tallied = workspace.stage(tally(labelled, keys, attributes, fill_count), "tally")
     cells = workspace.stage(cell_profiles(tallied, entities).drop("first_id"), "cells")
     needed = [c for c in cells.columns if "_disagree_of_" not in c]
-    position = F.monotonically_increasing_id()
     found = rows_with_cell(labelled, entities)
-    rows = attach(found, cells.select(needed), keys, "inner", "n", null_safe=True, row=position)
+    rows = attach(found, cells.select(needed), keys, "inner", "n", null_safe=True, workspace=workspace)
     combined = rows.selectExpr(*labelled.columns, *_all_statistics(attributes, entities, fill_count))
     histories = [column for e in entities for column in history(e.key, attributes)]
     return add_rates(fill_zero(combined.selectExpr("*", *histories)), attributes, entities)

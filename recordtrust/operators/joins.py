@@ -62,6 +62,21 @@ def hot_keys(df: DataFrame, keys: Sequence[str], weight: str | None = None) -> H
     return HotKeys(found, keys, salts, byte_size(found) <= setting(spark, BROADCAST_BYTES))
 
 
+def numbered(df: DataFrame, name: str, *hot: HotKeys | None) -> DataFrame:
+    """Rows with an id that depends on their content alone: a hash of the row and of its place among equal rows.
+
+    Equal rows are counted and dealt out again, so a task that is run again gives the same rows the same ids,
+    whatever the source. A count forms before the shuffle. Ids deal the rows of hot keys; if all of ``hot`` are
+    None there is nothing to deal, and all ids are 0.
+    """
+    if hot and all(x is None for x in hot):
+        return df.withColumn(name, F.lit(0).cast("long"))
+    counted = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("__equal"))
+    places = counted.withColumn("__place", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__equal"))))
+    marks = [x for c in df.columns for x in (F.col(c).isNull(), F.col(c))]
+    return places.select(*df.columns, F.xxhash64(*marks, F.col("__place")).alias(name))
+
+
 def _same(pairs: Sequence[tuple[str, str]], null_safe: bool) -> Column:
     tests = [F.col(a).eqNullSafe(F.col(b)) if null_safe else F.col(a) == F.col(b) for a, b in pairs]
     return reduce(Column.__and__, tests)
@@ -122,7 +137,7 @@ def spread_join(
 ) -> DataFrame:
     """Inner or left join on equally named keys; hot keys of either side are dealt over tasks.
 
-    ``left_row`` / ``right_row`` number the rows for dealing, in a way that a retried task repeats.
+    ``left_row`` / ``right_row`` number the rows for dealing, in a way that a retried task repeats: ``numbered`` does.
     The default hashes the whole row; pass a row id where identical copies may be frequent.
     ``scatter_nulls`` spreads the left rows with a null key, which meet nothing, over all tasks; it
     needs a join that is not ``null_safe``.
@@ -172,17 +187,23 @@ def attach(
     how: str,
     weight: str,
     null_safe: bool = False,
-    row: Column | None = None,
+    workspace: Workspace | None = None,
 ) -> DataFrame:
     """Join a per-key table to the rows it was made from; ``weight`` counts the rows per key.
 
     The table is measured, so pass one that is cheap to read (a staged one). A small one is
     broadcast; a larger one is joined by shuffle, its own counts telling which keys are hot. Rows
-    that a left join keeps for their null keys are not in those counts and are scattered.
+    that a left join keeps for their null keys are not in those counts and are scattered. Rows are dealt by
+    a hash of their content; with a workspace they are dealt by a number that is written with them,
+    so that equal rows spread too and a task run again finds the same numbers.
     """
     if byte_size(per_key) <= setting(rows.sparkSession, BROADCAST_BYTES):
         return spread_join(rows, F.broadcast(per_key), keys, how, null_safe=null_safe)
     hot, scatter = hot_keys(per_key, keys, weight), how == "left" and not null_safe
-    return spread_join(
-        rows, per_key, keys, how, left_hot=hot, left_row=row, null_safe=null_safe, scatter_nulls=scatter
+    if hot is None or workspace is None:
+        return spread_join(rows, per_key, keys, how, left_hot=hot, null_safe=null_safe, scatter_nulls=scatter)
+    written = workspace.stage(rows.withColumn("__number", F.monotonically_increasing_id()), "numbered")
+    joined = spread_join(
+        written, per_key, keys, how, left_hot=hot, left_row=F.col("__number"), null_safe=null_safe, scatter_nulls=scatter
     )
+    return joined.drop("__number")

@@ -1,8 +1,7 @@
 """Version/master pairs: every version's attributes next to those of its master.
 
-Rows of hot keys are dealt by a row id, or by a row number where a table has no id. Row numbers are
-taken on table scans only, as a retried scan numbers its rows the same way: pass tables as read, or
-staged ones.
+Rows of hot keys are dealt by a row id, or where a table has none by a hash of the row and its place among equal
+rows. Both depend on content alone, so a task that is run again deals alike on any source.
 """
 
 from __future__ import annotations
@@ -12,7 +11,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from recordtrust.operators.joins import hot_keys, spread_join
+from recordtrust.operators.joins import hot_keys, numbered, spread_join
 from recordtrust.operators.labels import add_labels
 from recordtrust.registry import ATTRIBUTES, Comparator
 from recordtrust.sources.readers import Tables
@@ -57,15 +56,19 @@ def version_logos(tables: Tables) -> DataFrame:
     A proposal without a task, and a task whose submission or logo is missing, give a null logo.
     ``proposal`` numbers the proposals.
     """
-    tasks = tables["lease_tasks"].withColumn("task", F.monotonically_increasing_id())
-    proposals = tables["comp_proposal"].withColumn("proposal", F.monotonically_increasing_id())
+    proposals, tasks = tables["comp_proposal"], tables["lease_tasks"]
+    often_submitted = hot_keys(tasks.select("submission_id"), ["submission_id"])
+    often_proposed = hot_keys(proposals.select("comp_batch_id"), ["comp_batch_id"])
+    often_batched = hot_keys(tasks.select(F.col("batch_id").alias("comp_batch_id")), ["comp_batch_id"])
+    proposals = numbered(proposals, "proposal", often_proposed, hot_keys(proposals.select("comp_version_id"), ["comp_version_id"]))
+    tasks = numbered(tasks, "task", often_submitted, often_batched)
     logos = tables["submissions"].join(tables["logo_detection_submission"], "id", "left")
     task_logos = spread_join(
         tasks,
         logos.withColumnRenamed("id", "submission_id"),
         ["submission_id"],
         "left",
-        left_hot=hot_keys(tasks.select("submission_id"), ["submission_id"]),
+        left_hot=often_submitted,
         left_row=F.col("task"),
     ).select(F.col("batch_id").alias("comp_batch_id"), "logo", "task")
     return spread_join(
@@ -73,8 +76,8 @@ def version_logos(tables: Tables) -> DataFrame:
         task_logos,
         ["comp_batch_id"],
         "left",
-        left_hot=hot_keys(proposals.select("comp_batch_id"), ["comp_batch_id"]),
-        right_hot=hot_keys(tasks.select(F.col("batch_id").alias("comp_batch_id")), ["comp_batch_id"]),
+        left_hot=often_proposed,
+        right_hot=often_batched,
         left_row=F.col("proposal"),
         right_row=F.col("task"),
     ).select(F.col("comp_version_id").alias("id"), "logo", "proposal")
@@ -93,22 +96,23 @@ def linked_pairs(
     fan-out by logo happens after every shuffle of wide rows.
     """
     attributes = list(attributes)
-    links = tables["comp_master_versions"].select(
-        "comp_master_id", F.col("comp_version_id").alias("id"), F.monotonically_increasing_id().alias("link")
-    )
+    links = tables["comp_master_versions"].select("comp_master_id", F.col("comp_version_id").alias("id"))
+    often_linked, large_masters = hot_keys(links.select("id"), ["id"]), hot_keys(links.select("comp_master_id"), ["comp_master_id"])
+    counted = links_per_master(links)
+    links = numbered(links, "link", often_linked, large_masters)
     described = records(tables, attributes)
 
     masters = (
         tables["comp_master"]
         .withColumnsRenamed({"id": "comp_master_id"})
         .join(described, "comp_data_id")
-        .join(links_per_master(links).withColumnRenamed("links", "master_links"), "comp_master_id")
+        .join(counted.withColumnRenamed("links", "master_links"), "comp_master_id")
     )
     linked = spread_join(
         links,
         _suffixed(masters, attributes, "master"),
         ["comp_master_id"],
-        left_hot=hot_keys(links.select("comp_master_id"), ["comp_master_id"]),
+        left_hot=large_masters,
         left_row=F.col("link"),
     )
     versions = _suffixed(
@@ -123,7 +127,6 @@ def linked_pairs(
         "version",
     )
     proposals = tables["comp_proposal"].select(F.col("comp_version_id").alias("id"))
-    often_linked = hot_keys(links.select("id"), ["id"])
     compared = spread_join(linked, versions, ["id"], left_hot=often_linked, left_row=F.col("link"))
     if comparators:
         compared = add_labels(compared, comparators)

@@ -7,7 +7,8 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from recordtrust.operators.joins import attach, byte_size, hot_keys, spread_join
+from recordtrust.operators.joins import attach, byte_size, hot_keys, numbered, spread_join
+from recordtrust.sources.workspace import Workspace
 
 HOT = {"taskRows": "50", "broadcastBytes": "0"}
 
@@ -87,9 +88,42 @@ def test_two_keys(spark, settings):
     assert got.count() == 900
 
 
+def test_ids_do_not_depend_on_how_rows_are_dealt(spark, settings):
+    """A task that is run again, on rows in another order and other partitions, gives equal rows the same ids."""
+    settings(**HOT)
+    rows = spark.range(900).selectExpr("if(id % 3 = 0, id, 5) AS k", "if(id % 2 = 0, null, 'x') AS t")
+    one, two = (rows_of(numbered(x, "row")) for x in (rows.coalesce(1), rows.orderBy(F.rand(3)).repartition(7)))
+    assert one == two and len({r[1] for r in one}) == 900
+    right = spark.range(300).selectExpr("id AS k", "id AS payload")
+    joined = [
+        spread_join(numbered(x, "row"), right, ["k"], "left", left_hot=hot_keys(x, ["k"]), left_row=F.col("row"))
+        for x in (rows.coalesce(1), rows.repartition(7, "t"))
+    ]
+    assert rows_of(joined[0]) == rows_of(joined[1])
+    assert rows_of(joined[0].drop("row")) == rows_of(plain(rows, right, ["k"], "left"))
+
+
+def test_numbers_only_where_there_are_hot_keys(spark, settings):
+    rows = spark.range(9).selectExpr("id % 2 AS k")
+    assert {r.row for r in numbered(rows, "row", None, None).collect()} == {0}
+    settings(**HOT)
+    assert len({r.row for r in numbered(spark.range(900).selectExpr("1 AS k"), "row", None, hot_keys(spark.range(900).selectExpr("1 AS k"), ["k"])).collect()}) == 900
+
+
+def test_attach_deals_equal_rows(spark, settings, sixteen):
+    """With a workspace equal rows of a hot key spread over tasks."""
+    settings(**HOT)
+    rows = spark.range(3000).selectExpr("if(id % 3 = 0, id, 5) AS k", "'same' AS t")
+    stats = rows.groupBy("k").agg(F.count(F.lit(1)).alias("n"))
+    with Workspace(spark) as space:
+        got = attach(rows, stats, ["k"], "inner", "n", workspace=space)
+        assert rows_of(got) == rows_of(plain(rows, stats, ["k"], "inner"))
+        assert largest_partition(got) < 1000
+
+
 def test_copies_are_dealt_by_row_number(spark, settings):
     settings(**HOT)
-    copies = spark.range(600).selectExpr("if(id % 3 = 0, id, 5) AS k").withColumn("row", F.monotonically_increasing_id())
+    copies = numbered(spark.range(600).selectExpr("if(id % 3 = 0, id, 5) AS k"), "row")
     right = spark.range(300).selectExpr("id AS k", "id AS payload")
     got = spread_join(copies, right, ["k"], "left", left_hot=hot_keys(copies, ["k"]), left_row=F.col("row"))
     assert rows_of(got) == rows_of(plain(copies, right, ["k"], "left"))
