@@ -12,6 +12,41 @@ PREFIX = 4
 BOOST = 0.1
 
 
+CLASSES, LONGEST = 16, 255
+
+
+def _class_counts(text: Column) -> list[Column]:
+    """How many characters have each remainder of their code point, packed a byte per remainder into two numbers."""
+
+    def packed(part: int) -> Column:
+        def add(total: Column, letter: Column) -> Column:
+            place = F.pmod(F.ascii(letter), F.lit(CLASSES)) - 8 * part
+            one = F.call_function("shiftleft", F.lit(1).cast("long"), 8 * place)
+            return total + F.when(place.between(0, 7), one).otherwise(F.lit(0).cast("long"))
+
+        return F.aggregate(F.split(text, ""), F.lit(0).cast("long"), add)
+
+    return [packed(0), packed(1)]
+
+
+def _shared(subject: Column, target: Column) -> Column:
+    """At least as many characters as the two texts share: in every class the lesser count."""
+    total = F.lit(0).cast("long")
+    for one, two in zip(_class_counts(subject), _class_counts(target), strict=True):
+        for lane in range(8):
+            total += F.least(*[F.shiftrightunsigned(x, 8 * lane).bitwiseAND(F.lit(255).cast("long")) for x in (one, two)])
+    return total
+
+
+def _shares_enough(subject: Column, target: Column, threshold: float) -> Column:
+    """False only where too few characters are shared: with m of them Jaro is at most (m/a + m/b + 1) / 3."""
+    size_s, size_t = F.length(subject), F.length(target)
+    m = _shared(subject, target)
+    jaro = F.least((m / F.greatest(size_s, F.lit(1)) + m / F.greatest(size_t, F.lit(1)) + 1) / 3, F.lit(1.0))
+    most = jaro + F.lit(BOOST * PREFIX) * (1 - jaro)
+    return (F.greatest(size_s, size_t) > LONGEST) | (most > F.lit(threshold - 1e-9))
+
+
 def _may_exceed(subject: Column, target: Column, threshold: float) -> Column:
     """False only where Jaro-Winkler cannot exceed the threshold.
 
@@ -28,6 +63,12 @@ def _may_exceed(subject: Column, target: Column, threshold: float) -> Column:
     return (F.least(size_s, size_t) > 0) & (jaro + F.lit(BOOST) * prefix * (1 - jaro) > F.lit(threshold - 1e-9))
 
 
+def undecided(subject: Column, target: Column, threshold: float = 0.9) -> Column:
+    """Whether a pair is unequal and no bound rules out that it is similar."""
+    near = F.when(_may_exceed(subject, target, threshold), _shares_enough(subject, target, threshold)).otherwise(False)
+    return (subject != target) & near
+
+
 def similar_udf(threshold: float):
     """Arrow UDF: is Jaro-Winkler above the threshold? Null inputs are skipped.
 
@@ -85,9 +126,9 @@ def similar_udf(threshold: float):
 def names_agree(subject: Column, target: Column, threshold: float = 0.9) -> Column:
     """Equal, or Jaro-Winkler strictly above the threshold; case counts.
 
-    Only pairs that are unequal and pass the length bound reach Python: the others are sent as
+    Only pairs that are unequal and pass the bounds on length and characters reach Python: the others are sent as
     nulls, since Spark evaluates a Python UDF for every row whatever branch it sits in.
     """
-    open_pair = (subject != target) & _may_exceed(subject, target, threshold)
+    open_pair = undecided(subject, target, threshold)
     similar = similar_udf(threshold)(F.when(open_pair, subject), F.when(open_pair, target))
     return tri_state(subject, target, (subject == target) | similar)

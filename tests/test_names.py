@@ -9,7 +9,7 @@ from hypothesis import settings as hypothesis_settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from recordtrust.functions.names import _may_exceed, names_agree, similar_udf
+from recordtrust.functions.names import _may_exceed, _shares_enough, names_agree, similar_udf, undecided
 
 WORD = st.text(alphabet="abcd ", max_size=14)
 PAIRS = [
@@ -87,3 +87,21 @@ def test_whole_long_text_is_compared():
     text = "lorem ipsum " * 2000
     far = text[:4] + "q" * (len(text) - 4)
     assert list(similar(pd.Series([text, text]), pd.Series([text[:-1] + "z", far]))) == [True, False]
+
+
+def test_character_bound_never_rules_out_a_similar_pair(spark):
+    rng = random.Random(11)
+    pairs = near_copies(3000) + [("".join(rng.choice("abcdefghijklmnopqrstuvwxyz é漢") for _ in range(rng.randrange(16))), "".join(rng.choice("abcdefghijklmnopqrstuvwxyz é漢") for _ in range(rng.randrange(16)))) for _ in range(3000)]
+    pairs += [("a" * 300, "a" * 299 + "b"), ("a" * 255, "a" * 254 + "b"), ("", "a"), ("ab", "ba")]
+    df = spark.createDataFrame(pairs, "a string, b string")
+    a, b = F.col("a"), F.col("b")
+    found = df.select("a", "b", undecided(a, b).alias("open"), _shares_enough(a, b, 0.9).alias("enough"), _may_exceed(a, b, 0.9).alias("long")).collect()
+    similar = {(x, y): _jaro_winkler(x, y) > 0.9 for x, y in pairs}
+    assert all(r.open for r in found if r.a != r.b and similar[r.a, r.b])
+    unequal = [r for r in found if r.a != r.b]
+    by_length, by_both = sum(r.long for r in unequal), sum(r.open for r in unequal)
+    assert by_both < 0.75 * by_length
+
+
+def _jaro_winkler(x, y):
+    return duckdb.execute("SELECT jaro_winkler_similarity(?, ?)", [x, y]).fetchone()[0]
