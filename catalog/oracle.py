@@ -347,6 +347,15 @@ def oracle() -> dict[str, str]:
             _per_attribute("'@' AS attribute, held_out, count(*) AS n", held_out_rows + " GROUP BY held_out"),
             only_reliable=True,
         ),
+        "exact_test_share": statement(
+            "SELECT attribute, held_out, n FROM ("
+            + _per_attribute(
+                "'@' AS attribute, unnest([true, false]) AS held_out, unnest([(count(*) + 4) // 5, count(*) - (count(*) + 4) // 5]) AS n",
+                "labelled WHERE @_label <> -1",
+            )
+            + ") WHERE n > 0",
+            only_reliable=True,
+        ),
         "split_counts": statement(
             f"SELECT CASE WHEN {HELD_OUT} THEN 'test' ELSE 'train' END AS side, count(*) AS n, min(id) AS lowest, "
             "max(id) AS highest FROM labelled GROUP BY 1",

@@ -191,6 +191,14 @@ def train_rows_per_target(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def exact_test_share(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Known rows per attribute and side, where every attribute holds out exactly a fifth of its known rows."""
+    given = inputs(spark, sf_dir)
+    tallied = forests.exact_split_tally(given.reliable_rows(), KEYS, ATTRIBUTES, given.workspace)
+    sums = [F.sum(F.col(f"{a}_agree") + F.col(f"{a}_disagree")).alias(a) for a in ATTRIBUTES]
+    return tallied.groupBy(forests.HELD_OUT).agg(*sums).unpivot(forests.HELD_OUT, list(ATTRIBUTES), "attribute", "n").where("n > 0")
+
+
 def split_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, test = forests.split(inputs(spark, sf_dir).reliable_rows())
     both = train.select(F.lit("train").alias("side"), "id").unionAll(test.select(F.lit("test"), "id"))
@@ -386,6 +394,7 @@ def queries() -> dict[str, Query]:
         label_distribution,
         known_label_rows,
         train_rows_per_target,
+        exact_test_share,
         split_counts,
         tally_cells,
         profile_submitter,

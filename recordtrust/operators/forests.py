@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recordtrust.functions.comparators import hash_bucket
+from recordtrust.functions.comparators import UNKNOWN, hash_bucket
 from recordtrust.operators.joins import spread_join
 from recordtrust.operators.profile import tally
 from recordtrust.operators.trees import LEAF, LINK, Nodes, child_paths, draw, feature_order, gini, grow, root_path, walk
@@ -65,6 +65,67 @@ def split_tally(
     return tally(labelled.withColumn(HELD_OUT, held_out("id", fraction, seed)), [*keys, HELD_OUT], attributes)
 
 
+def exact_split_tally(
+    labelled: DataFrame,
+    keys: Sequence[str],
+    attributes: Sequence[str],
+    workspace: Workspace,
+    fraction: float = 0.2,
+    seed: int = 10,
+) -> DataFrame:
+    """As ``split_tally``, but every target holds out exactly the ceiling of its share of its known rows.
+
+    Rows are split, not ids, and each target by itself: a row may train one target and test another. ``n`` is counted
+    on the training side alone.
+    """
+    rows = workspace.stage(labelled.withColumn("__row", F.monotonically_increasing_id()), "numbered")
+    last, held = last_held_out(rows, attributes, fraction, seed), F.col(HELD_OUT)
+    both = rows.withColumn(HELD_OUT, F.explode(F.array(F.lit(False), F.lit(True))))
+    sides = {f"{a}_label": F.when(_is_held(last[a], seed) == held, F.col(f"{a}_label")).otherwise(UNKNOWN) for a in attributes}
+    counted = tally(both.withColumns(sides), [*keys, HELD_OUT], attributes)
+    return counted.withColumn("n", F.when(held, F.lit(0).cast("long")).otherwise(F.col("n")))
+
+
+def _row_order(seed: int) -> Column:
+    """Puts numbered rows in a seeded order. This hash maps numbers one to one, so no two rows share a place."""
+    return F.xxhash64(F.col("__row"), F.lit(seed).cast("long"))
+
+
+def _is_held(last: int | None, seed: int) -> Column:
+    return F.lit(False) if last is None else _row_order(seed) <= F.lit(last)
+
+
+def last_held_out(rows: DataFrame, attributes: Sequence[str], fraction: float = 0.2, seed: int = 10) -> dict[str, int | None]:
+    """Of every attribute the place of its last held-out row: the k-th of its known rows, k being the ceiling of the share.
+
+    Selection by counting: a pass counts the known rows in 1024 slices of the order, and the slice that holds the k-th
+    is cut again, until it ends with the k-th. The driver gets 1024 counts per attribute and pass, 7 passes at most.
+    """
+    order, known = _row_order(seed), {a: F.col(f"{a}_label") != UNKNOWN for a in attributes}
+    sizes = rows.agg(*[F.count_if(known[a]).alias(a) for a in attributes]).first()
+    share = round(fraction * 10**6)
+    left = {a: -(-sizes[a] * share // 10**6) for a in attributes}
+    left = {a: k for a, k in left.items() if k}
+    found, low, bits = dict.fromkeys(attributes), dict.fromkeys(left, -(2**63)), 64
+    while left:
+        step = max(bits - 10, 0)
+        inside = {a: known[a] & order.between(low[a], low[a] + 2**bits - 1) for a in left}
+        slices = [F.when(inside[a], F.struct(F.lit(a).alias("a"), F.shiftright(order, step).alias("slice"), order.alias("place"))) for a in left]
+        met = rows.select(F.explode(F.array_compact(F.array(*slices))).alias("x"))
+        counted = met.groupBy("x.a", "x.slice").agg(F.count(F.lit(1)).alias("n"), F.max("x.place").alias("last")).collect()
+        for a in list(left):
+            for r in sorted((r for r in counted if r["a"] == a), key=lambda r: r["slice"]):
+                if left[a] <= r["n"]:
+                    break
+                left[a] -= r["n"]
+            low[a] = r["slice"] << step
+            if left[a] == r["n"]:
+                found[a] = r["last"]
+                del left[a]
+        bits = step
+    return found
+
+
 def cell_key(keys: Sequence[str]) -> Column:
     """A number per key combination, nulls told apart from everything else."""
     return F.xxhash64(*[x for k in keys for x in (F.col(k).isNull(), F.col(k))])

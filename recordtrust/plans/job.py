@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recordtrust.operators.features import cell_profiles, cell_rates
-from recordtrust.operators.forests import HELD_OUT, Forests, examples, save_models, split_tally, train_all
+from recordtrust.operators.forests import HELD_OUT, Forests, exact_split_tally, examples, save_models, split_tally, train_all
 from recordtrust.operators.joins import spread_join
 from recordtrust.operators.metrics import held_out_metrics
 from recordtrust.operators.pairs import MIN_LINKS, linked_pairs
@@ -42,14 +42,20 @@ def populations(
     workspace: Workspace,
     attributes: Sequence[str] = ATTRIBUTES,
     entities: Sequence[Entity] = ENTITIES,
+    exact: bool = False,
 ) -> tuple[Population, Population]:
     """The reliable rows and all rows, from one pass over the labels.
 
-    Each population is profiled from its own rows: their counts are kept apart in the pass.
+    Each population is profiled from its own rows: their counts are kept apart in the pass. Ids are held out as a
+    whole; with ``exact`` every target holds out exactly a fifth of the known reliable rows instead.
     """
     keys = [e.key for e in entities]
     marked = labelled.withColumn(RELIABLE, F.col("master_links") > MIN_LINKS)
-    tallied = workspace.stage(split_tally(marked, [*keys, RELIABLE], attributes), "tallied")
+    if exact:
+        parts = [exact_split_tally(marked.where(side), [*keys, RELIABLE], attributes, workspace) for side in (F.col(RELIABLE), ~F.col(RELIABLE))]
+        tallied = workspace.stage(parts[0].unionByName(parts[1]), "tallied")
+    else:
+        tallied = workspace.stage(split_tally(marked, [*keys, RELIABLE], attributes), "tallied")
 
     def population(rows: DataFrame, name: str) -> Population:
         cells = cell_rates(cell_profiles(rows, entities), attributes, entities)
@@ -83,24 +89,25 @@ def run(
     trees: int = 100,
     depth: int | None = None,
     comparators: Mapping[str, Comparator] = COMPARATORS,
+    exact: bool = False,
 ) -> dict[str, int]:
     """Train on versions of well-linked masters, report on submitters and on all versions.
 
     ``trees`` and ``depth`` size the forests; without a depth their leaves are pure. ``comparators`` names the
     attributes and how each is compared; an attribute is a column
-    of the records. Writes ``models``, ``metrics``, ``submitter_reliability`` and ``version_reliability`` under
+    of the records. ``exact`` holds out an exact share of each target's known rows instead of a share of the ids. Writes ``models``, ``metrics``, ``submitter_reliability`` and ``version_reliability`` under
     ``out`` and returns the row counts of both populations. Intermediate tables go to ``workspace``, or to one
     of the job's own that it deletes at the end.
     """
     if workspace is None:
         with Workspace(spark) as own:
-            return run(spark, tables, out, own, trees, depth, comparators)
+            return run(spark, tables, out, own, trees, depth, comparators, exact)
     out = out.rstrip("/")
     attributes = list(comparators)
     inputs = rate_names(attributes, ENTITIES)
 
     every_row = label_pairs(tables, workspace, comparators)
-    known, everyone = populations(every_row, workspace, attributes)
+    known, everyone = populations(every_row, workspace, attributes, exact=exact)
     models, metrics = fit(known, workspace, attributes, trees=trees, depth=depth)
     save_models(models, f"{out}/models")
     write_csv(metrics, f"{out}/metrics")
@@ -118,9 +125,10 @@ def main() -> None:
     parser.add_argument("--out", required=True, help="folder for models and reports")
     parser.add_argument("--trees", type=int, default=100)
     parser.add_argument("--depth", type=int, help="levels of a tree, if not as many as it takes")
+    parser.add_argument("--exact", action="store_true", help="hold out exactly a fifth of each target's known rows")
     args = parser.parse_args()
     spark = configured(SparkSession.builder.appName("recordtrust")).getOrCreate()
-    counts = run(spark, read_tables(spark, args.tables), args.out, trees=args.trees, depth=args.depth)
+    counts = run(spark, read_tables(spark, args.tables), args.out, trees=args.trees, depth=args.depth, exact=args.exact)
     print(counts)
 
 

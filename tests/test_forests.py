@@ -90,6 +90,26 @@ def test_tally_holds_all_rows(labelled, tallied):
     assert tuple(sums) == (3000, agree, disagree)
 
 
+@pytest.mark.parametrize("fraction", [0.2, 0.0, 1.0, 0.003])
+def test_exact_share_per_target(spark, labelled, space, fraction):
+    """Each target holds out the ceiling of its share of known rows, however the rows are dealt; nothing is lost."""
+    counted = space.stage(forests.exact_split_tally(labelled, KEYS, ATTS, space, fraction), "exact")
+    for a in ATTS:
+        known = labelled.where(F.col(f"{a}_label") != -1).count()
+        test = counted.where(HELD_OUT).agg(F.sum(F.col(f"{a}_agree") + F.col(f"{a}_disagree"))).first()[0] or 0
+        every = counted.agg(F.sum(F.col(f"{a}_agree") + F.col(f"{a}_disagree"))).first()[0]
+        assert (test, every) == (-(-known * round(1000 * fraction) // 1000), known)
+    plain = cell_profiles(split_tally(labelled, KEYS, ATTS))
+    found = cell_profiles(counted).select(plain.columns)
+    assert sorted(map(tuple, found.collect()), key=str) == sorted(map(tuple, plain.collect()), key=str)
+
+
+def test_exact_share_of_equal_rows(spark, space):
+    rows = spark.createDataFrame([(1, 1)] * 997 + [(1, -1)] * 50, "id long, x_label int").selectExpr("*", "1 AS k")
+    counted = forests.exact_split_tally(rows, ["k"], ["x"], space).collect()
+    assert {r.held_out: (r.n, r.x_agree) for r in counted} == {False: (1047, 797), True: (0, 200)}
+
+
 def test_examples_are_the_training_side(labelled, tallied, cells):
     rows = examples(tallied, cells, KEYS, INPUTS)
     assert rows.agg(F.sum("n")).first()[0] == split(labelled)[0].count()

@@ -15,7 +15,7 @@ def test_job_writes_models_metrics_and_reports(spark, tmp_path):
     workspace = Workspace(spark, str(tmp_path / "work"))
     tables = derive_sources(spark, SF_DIR, workspace)
     out = str(tmp_path / "out")
-    assert run(spark, tables, out, workspace, trees=3, depth=3) == {"reliable": 5945, "all": 5959}
+    assert run(spark, tables, out, workspace, trees=3, depth=3, exact=True) == {"reliable": 5945, "all": 5959}
 
     found = load_models(spark, f"{out}/models", ATTRIBUTES)
     assert len(found.labels) == 14 and found.trees.groupBy("label").count().where("count = 3").count() == 14
