@@ -7,7 +7,9 @@ its keys back. So a key that a third of all documents hold arrives once per bloc
 than a bucket or a block, and nothing passes through the driver but two sums.
 
 Blocks and buckets grow in number with the corpus, not in size. The bucket of a key comes from a
-second hash of its content, so keys are told apart by 64 bits and the bucket's.
+second hash of its content, so keys are told apart by 64 bits and the bucket's, or from the key's upper bits, so
+that a bucket's sorted keys lie close together and go as differences of some 6 bytes. A block's work follows its keys, however
+many buckets there are. Once there are more buckets than a block has keys (some terabytes), a row carries few keys.
 """
 
 from __future__ import annotations
@@ -57,27 +59,32 @@ def in_order(table: pa.Table) -> pa.Table:
 
 
 class Keys(NamedTuple):
-    """Key of every place of a block, a second hash that picks the bucket, and optional counts per place."""
+    """Key of every place of a block, and a second hash that picks the bucket; without it the key's upper bits do."""
 
     key: np.ndarray
-    second: np.ndarray
+    second: np.ndarray | None
 
 
 class Packed(NamedTuple):
-    """Distinct keys of a block in bucket order, and where each place's key is among them."""
+    """Distinct keys of a block in bucket order, where each place's key is among them, its buckets and where they begin."""
 
     key: np.ndarray
     place: np.ndarray
+    bucket: np.ndarray
     cut: np.ndarray
 
 
 def pack(keys: Keys, buckets: int) -> Packed:
     distinct, where, back = np.unique(keys.key, return_index=True, return_inverse=True)
-    bucket = ((keys.second[where] >> U64(20)) % U64(buckets)).astype(np.int64)
+    if keys.second is None:
+        bucket = ((distinct >> U64(32)) * U64(buckets) >> U64(32)).astype(np.int64)
+    else:
+        bucket = ((keys.second[where] >> U64(20)) % U64(buckets)).astype(np.int64)
     order = np.argsort(bucket, kind="stable")
     rank = np.empty(len(order), np.int64)
     rank[order] = np.arange(len(order))
-    return Packed(distinct[order], rank[back], np.searchsorted(bucket[order], np.arange(buckets + 1)))
+    met, first = np.unique(bucket[order], return_index=True)
+    return Packed(distinct[order], rank[back], met, np.append(first, len(order)))
 
 
 Emit = Callable[[pa.Table, Texts], tuple[Keys, np.ndarray]]
@@ -85,22 +92,35 @@ Emit = Callable[[pa.Table, Texts], tuple[Keys, np.ndarray]]
 SENT = "block long, bucket long, keys binary, counts binary"
 
 
-def _bytes(keys: np.ndarray, size: int) -> bytes:
-    return keys.tobytes() if size == 8 else np.ascontiguousarray(keys.view(np.uint8).reshape(-1, 8)[:, :size]).tobytes()
+def _bytes(keys: np.ndarray, close: bool) -> bytes:
+    """Rising keys, whole, or as differences of as many bytes as suit them best, the larger ones listed behind."""
+    if not close:
+        return keys.tobytes()
+    steps = np.diff(keys, prepend=U64(0))
+    widths = {w: w * len(steps) + 16 * int(np.count_nonzero(steps >> U64(8 * w))) for w in range(3, 8)} | {8: 8 * len(steps)}
+    width = min(widths, key=widths.get)
+    large = np.flatnonzero(steps >> U64(8 * width)) if width < 8 else np.zeros(0, np.int64)
+    low = np.ascontiguousarray(steps.view(np.uint8).reshape(-1, 8)[:, :width]).tobytes()
+    return (len(keys) << 4 | width).to_bytes(8, "little") + low + large.astype(U64).tobytes() + (steps[large] >> U64(8 * width % 64)).tobytes()
 
 
-def _keys(packed: bytes, size: int) -> np.ndarray:
-    if size == 8:
+def _keys(packed: bytes, close: bool) -> np.ndarray:
+    if not close:
         return np.frombuffer(packed, U64)
-    wide = np.zeros((len(packed) // size, 8), np.uint8)
-    wide[:, :size] = np.frombuffer(packed, np.uint8).reshape(-1, size)
-    return wide.view(U64).ravel()
+    n, width = divmod(int.from_bytes(packed[:8], "little"), 16)
+    wide = np.zeros((n, 8), np.uint8)
+    wide[:, :width] = np.frombuffer(packed, np.uint8, width * n, 8).reshape(-1, width)
+    steps = wide.view(U64).ravel()
+    rest = np.frombuffer(packed[8 + width * n :], U64)
+    half = len(rest) // 2
+    steps[rest[:half].astype(np.int64)] += rest[half:] << U64(8 * width % 64)
+    return np.cumsum(steps, dtype=U64)
 
 
-def send(emit: Emit, buckets: int, width: int, size: int = 8):
+def send(emit: Emit, buckets: int, width: int, close: bool = False):
     """Count a block's keys: ``emit`` gives the keys of all places and their (places, width) increments.
 
-    Keys travel in ``size`` bytes; with less than 8, the others must be 0.
+    Keys travel whole, or with ``close`` as differences, which are short where buckets follow the keys.
     """
 
     def run(table: pa.Table) -> pa.Table:
@@ -108,12 +128,12 @@ def send(emit: Emit, buckets: int, width: int, size: int = 8):
         packed = pack(keys, buckets)
         counts = np.column_stack([np.bincount(packed.place, steps[:, i], len(packed.key)) for i in range(width)]).astype(np.uint32)
         block = table.column("block")[0].as_py()
-        spans = [(b, packed.cut[b], packed.cut[b + 1]) for b in range(buckets) if packed.cut[b] < packed.cut[b + 1]]
+        spans = list(zip(packed.bucket.tolist(), packed.cut[:-1].tolist(), packed.cut[1:].tolist(), strict=True))
         return pa.table(
             {
                 "block": pa.array([block] * len(spans), pa.int64()),
                 "bucket": pa.array([b for b, _, _ in spans], pa.int64()),
-                "keys": pa.array([_bytes(packed.key[x:y], size) for _, x, y in spans], pa.binary()),
+                "keys": pa.array([_bytes(packed.key[x:y], close) for _, x, y in spans], pa.binary()),
                 "counts": pa.array([_small(counts[x:y]) for _, x, y in spans], pa.binary()),
             }
         )
@@ -137,14 +157,14 @@ def _counts(packed: bytes, n: int) -> np.ndarray:
     return out
 
 
-def add(width: int, summary: Callable[[np.ndarray, np.ndarray], np.ndarray] | None = None, size: int = 8):
+def add(width: int, summary: Callable[[np.ndarray, np.ndarray], np.ndarray] | None = None, close: bool = False):
     """Totals of equal keys of all blocks, sent back to each block in the order of its keys.
 
     ``summary`` of a bucket's distinct keys and totals goes with the first of its rows.
     """
 
     def run(table: pa.Table) -> pa.Table:
-        keys = [_keys(x.as_py(), size) for x in table.column("keys")]
+        keys = [_keys(x.as_py(), close) for x in table.column("keys")]
         cut = np.concatenate([[0], np.cumsum([len(x) for x in keys])]).tolist()
         distinct, back = np.unique(np.concatenate(keys), return_inverse=True)
         del keys
@@ -202,8 +222,9 @@ def count_keys(blocks: Blocks, emit: Emit, width: int = 1) -> DataFrame:
 def totals_of(replies: pa.Table, packed: Packed, width: int = 1) -> np.ndarray:
     """Totals (distinct keys, width) of a block, in the order of its packed keys."""
     out = np.zeros((len(packed.key), width), np.int64)
-    for bucket, totals in zip(replies.column("bucket").to_pylist(), replies.column("totals"), strict=True):
-        a, b = packed.cut[bucket], packed.cut[bucket + 1]
+    at = np.searchsorted(packed.bucket, replies.column("bucket").to_numpy())
+    for k, totals in zip(at.tolist(), replies.column("totals"), strict=True):
+        a, b = packed.cut[k], packed.cut[k + 1]
         out[a:b] = _counts(totals.as_py(), int(b - a) * width).reshape(-1, width)
     return out
 

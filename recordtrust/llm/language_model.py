@@ -9,8 +9,8 @@ Tokens are words in lower case and an end mark, the context of the first word is
 p(w|v) = (c(vw) + MU * p(w)) / (c(v) + MU), p(w) = (c(w) + 1) / (N + V + 1).
 
 No n-gram is pruned or capped and no table of them is broadcast: blocks send the counts of their
-n-grams to buckets by ``exchange`` and get corpus-wide counts back. N-grams go by 48 bits of a hash
-and their bucket's; two of a bucket's 1.5 million would share them once in some 250 buckets.
+n-grams to buckets by ``exchange`` and get corpus-wide counts back. N-grams go by 64 bits of a hash, one of
+which tells words from pairs; nothing is cut from it on the way, as sorted keys of a bucket travel as differences.
 
 Defined cases: a text without words (null, empty, blank) has no tokens, losses and score 0; repeated
 rows are documents of their own; a label of a document counts if any of its rows says good; null ids are
@@ -29,8 +29,6 @@ from recordtrust.llm.text import U64, Texts, Words, mix, texts_of, words_of
 from recordtrust.sources.workspace import Workspace
 
 MU = 10.0
-KEY_BYTES = 6
-KEY_MASK = U64(2 ** (8 * KEY_BYTES) - 1)
 BEGIN, END = U64(0x5BD1E9955BD1E995), U64(0xC2B2AE3D27D4EB4F)
 OUTPUT = "doc_id long, n_tokens long, target_loss double, background_loss double, score double"
 
@@ -55,8 +53,7 @@ class Grams:
         self.pair = mix(left * U64(0x9E3779B97F4A7C15) ^ word) | U64(1)
 
     def keys(self) -> exchange.Keys:
-        key = np.concatenate([self.word, self.pair]) & KEY_MASK
-        return exchange.Keys(key, mix(key + U64(77)))
+        return exchange.Keys(np.concatenate([self.word, self.pair]), None)
 
 
 def targets_of(labels: DataFrame, blocks: int) -> DataFrame:
@@ -91,7 +88,7 @@ def score(documents: DataFrame, labels: DataFrame, workspace: Workspace) -> Data
 
         if not table.num_rows:
             return pa.schema([("block", pa.int64()), ("bucket", pa.int64()), ("keys", pa.binary()), ("counts", pa.binary())]).empty_table()
-        return exchange.send(emit, buckets, 2, KEY_BYTES)(table)
+        return exchange.send(emit, buckets, 2, close=True)(table)
 
     def vocabulary(distinct: np.ndarray, totals: np.ndarray) -> np.ndarray:
         words = (distinct & U64(1)) == 0
@@ -99,7 +96,7 @@ def score(documents: DataFrame, labels: DataFrame, workspace: Workspace) -> Data
 
     sent = blocks.rows.groupBy("block").cogroup(targets.groupBy("block")).applyInArrow(send, exchange.SENT)
     schema = f"{exchange.TOTALS}, summary array<long>"
-    replies = workspace.stage(sent.groupBy("bucket").applyInArrow(exchange.add(2, vocabulary, KEY_BYTES), schema), "counts")
+    replies = workspace.stage(sent.groupBy("bucket").applyInArrow(exchange.add(2, vocabulary, close=True), schema), "counts")
     sums = [F.coalesce(F.sum(F.get("summary", F.lit(i))), F.lit(0)) for i in range(3)]
     size, n_all, n_target = (int(x) for x in replies.agg(*sums).first())
 
