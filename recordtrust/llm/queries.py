@@ -35,7 +35,7 @@ def op3_repeated_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), Workspace(spark))
 
 
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from recordtrust.llm.sample import SAMPLE_ROWS, held_out, labelled_sample
 from recordtrust.llm.text import U64, Texts, byte_values, chunks, mix, span_hash
+from recordtrust.sources.workspace import Workspace
 
 PREFIXES = (3, 4, 5, 6, 7, 8)
 FOLD, REST, THRESHOLD = 3, 1, 0.7
@@ -192,9 +193,9 @@ def fit_noisy_or(label: np.ndarray, n: np.ndarray, document: np.ndarray, sentenc
     return weights, float(bias)
 
 
-def fit(documents: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, n_features: int = 4096) -> Model:
-    sample = labelled_sample(documents, labels, "toxic", FOLD, REST, sample_rows)
-    # One pass for the share, one for the features, one for the instances: each reads sampled texts only.
+def fit(documents: DataFrame, labels: DataFrame, workspace: Workspace, sample_rows: int = SAMPLE_ROWS, n_features: int = 4096) -> Model:
+    # Written once: the passes for the share, the features and the instances read sampled texts only.
+    sample = workspace.stage(labelled_sample(documents, labels, "toxic", FOLD, REST, sample_rows), "sample")
     total, toxic = sample.agg(F.count(F.lit(1)), F.sum("label")).first()
     nothing = Model(np.zeros(1, U64), np.zeros(1), float("-inf"))
     if not total or not toxic or toxic == total:
@@ -255,8 +256,8 @@ def toxic_sentences(documents: DataFrame, model: Model, threshold: float = 0.5)
     return documents.select("doc_id", "text").mapInArrow(run, "doc_id long, sentence string, score double")
 
 
-def classify(documents: DataFrame, labels: DataFrame) -> DataFrame:
-    scored = score_documents(documents, fit(documents, labels))
+def classify(documents: DataFrame, labels: DataFrame, workspace: Workspace) -> DataFrame:
+    scored = score_documents(documents, fit(documents, labels, workspace))
     return scored.select(
         "doc_id", held_out(FOLD, REST).alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted")
     )

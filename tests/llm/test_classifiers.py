@@ -28,9 +28,9 @@ def rates(scored, labels, label):
     return n.get((1, 1), 0) / max(1, n.get((1, 1), 0) + n.get((1, 0), 0)), n.get((1, 1), 0) / max(1, n.get((1, 1), 0) + n.get((0, 1), 0))
 
 
-def test_toxicity_held_out(tables):
+def test_toxicity_held_out(spark, tables):
     documents, labels = tables
-    scored = toxicity.classify(documents, labels).cache()
+    scored = toxicity.classify(documents, labels, Workspace(spark)).cache()
     assert scored.count() == documents.count() and scored.where("score < 0 OR score > 1 OR score IS NULL").count() == 0
     recall, precision = rates(scored, labels, "toxic")
     assert recall > 0.75 and precision > 0.9
@@ -42,16 +42,16 @@ def test_toxic_sentences_are_found(spark):
     rows = [(i, t + (" What a foul vexword you are!" if i % 4 == 0 else "") + " The end.") for i, t in enumerate(calm)]
     docs = spark.createDataFrame([(*r, "s", "x") for r in rows], TABLE)
     labels = spark.createDataFrame([(i, 1, int(i % 4 == 0)) for i, _ in rows], "doc_id long, quality int, toxic int")
-    model = toxicity.fit(docs, labels)
+    model = toxicity.fit(docs, labels, Workspace(spark))
     found = toxicity.toxic_sentences(docs, model).collect()
     assert {r.doc_id for r in found} == {i for i, _ in rows if i % 4 == 0}
     assert all("vexword" in r.sentence for r in found)
     odd = spark.createDataFrame([(1, None, "", ""), (1, None, "", ""), (2, "", "", ""), (3, "What a foul vexword you are! " * 5_000, "", ""), (None, ".\n!", "", "")], TABLE)
     got = {r.doc_id: r for r in toxicity.score_documents(odd, model).collect()}
     assert got[3].score > 0.7 > max(got[1].score, got[2].score, got[None].score)
-    none = toxicity.classify(odd, labels.limit(0)).collect()
+    none = toxicity.classify(odd, labels.limit(0), Workspace(spark)).collect()
     assert {r.score for r in none} == {0.0} and len(none) == 5
-    assert toxicity.classify(odd.limit(0), labels).count() == 0
+    assert toxicity.classify(odd.limit(0), labels, Workspace(spark)).count() == 0
 
 
 def test_quality_held_out(spark, tables):

@@ -4,6 +4,7 @@ import random
 
 import pytest
 
+from recordtrust.sources.workspace import Workspace
 from recordtrust.llm import toxicity
 
 
@@ -19,7 +20,7 @@ def test_any_share_of_toxic_documents(spark, share):
             rng.choice(said)[rng.randrange(8)] = rng.choice(foul)
         rows.append((i, ". ".join(" ".join(s) for s in said) + ".", int(toxic)))
     docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
-    scored = toxicity.classify(docs, docs.select("doc_id", "toxic")).where("held_out").collect()
+    scored = toxicity.classify(docs, docs.select("doc_id", "toxic"), Workspace(spark)).where("held_out").collect()
     truth = {i: t for i, _, t in rows}
     right = sum(r.predicted == truth[r.doc_id] for r in scored)
     print("SHARE", share, "RIGHT", right, "OF", len(scored), "PREDICTED TOXIC", sum(r.predicted for r in scored))
