@@ -125,9 +125,11 @@ def gini(left: np.ndarray, right: np.ndarray) -> np.ndarray:
 def grow(bins: np.ndarray, weight: np.ndarray, path: int, tries: int, span: int, depth: int | None = None) -> Nodes:
     """Grow a node to the end: until its leaves hold one class or equal vectors, or to ``depth`` levels below it.
 
-    A node tries ``tries`` features, and more one by one as long as none of them tells its cells apart.
+    A node tries ``tries`` features, and more one by one as long as none of them tells its cells apart. Features that
+    are the same for all cells are tried without being looked at, and a node of one cell tries none.
     """
     rows = np.flatnonzero(weight.sum(axis=1) > 0)
+    varied = np.ptp(bins, axis=0) > 0 if len(bins) else np.zeros(bins.shape[1], bool)
     node = np.zeros(len(rows), np.int64)
     paths, first, level = np.array([path], U64), 0, 0
     feature, cut, left, right, agree = ([] for _ in range(5))
@@ -136,7 +138,7 @@ def grow(bins: np.ndarray, weight: np.ndarray, path: int, tries: int, span: int,
         total = np.column_stack([np.bincount(node, weight[rows, k], n) for k in (0, 1)])
         known = total.sum(axis=1)
         agree.append(np.divide(total[:, 1], known, out=np.zeros(n), where=known > 0))
-        open_ = (total > 0).all(axis=1) & (depth is None or level < depth)
+        open_ = (total > 0).all(axis=1) & (np.bincount(node, minlength=n) > 1) & (depth is None or level < depth)
         inside = open_[node]
         rows, node = rows[inside], node[inside]
         best, where, what = np.full(n, -1.0), np.zeros(n, np.int64), np.full(n, LEAF)
@@ -148,7 +150,9 @@ def grow(bins: np.ndarray, weight: np.ndarray, path: int, tries: int, span: int,
                     pending &= best < 0
                     if not pending.any():
                         break
-                mine = pending[node] if k >= tries else slice(None)
+                mine = np.flatnonzero(pending[node] & varied[order[node, k]])
+                if not len(mine):
+                    continue
                 who = node[mine]
                 score, at = _best_cuts(who, bins[rows[mine], order[who, k]], weight[rows[mine]], n, span)
                 better = score > best
