@@ -28,6 +28,7 @@ from recordtrust.functions.comparators import UNKNOWN, hash_bucket
 from recordtrust.operators.joins import spread_join
 from recordtrust.operators.profile import tally
 from recordtrust.operators.trees import LEAF, LINK, Nodes, child_paths, draw, feature_order, gini, grow, root_path, walk
+from recordtrust.registry import name_groups
 from recordtrust.sources.workspace import Workspace
 
 HELD_OUT = "held_out"
@@ -396,7 +397,7 @@ def train_all(
 
     A node tries as many inputs as the square root of their number. ``depth`` None sets no limit.
     """
-    edges, labels = bin_edges(rows, inputs, bins), [f"{a}_label" for a in attributes]
+    edges, labels = bin_edges(rows, inputs, bins), name_groups(attributes).label
     counts = [f"{a}_{kind}" for a in attributes for kind in ("disagree", "agree")]
     blocks = workspace.stage(pack(rows, "cell", inputs, edges, counts), "blocks")
     cells = blocks.agg(F.sum("n")).first()[0] or 0
@@ -522,7 +523,7 @@ def save_models(forests: Forests, uri: str) -> None:
 
 
 def load_models(spark: SparkSession, uri: str, attributes: Sequence[str]) -> Forests:
-    labels = [f"{a}_label" for a in attributes]
+    labels = name_groups(attributes).label
     trees = spark.read.schema(TREES).parquet(f"{uri.rstrip('/')}/trees").where(F.col("label").isin(labels))
     inputs = spark.read.parquet(f"{uri.rstrip('/')}/inputs").orderBy("place").collect()
     return Forests(trees, [np.array(r["edges"], np.float64) for r in inputs], [r["input"] for r in inputs], labels)

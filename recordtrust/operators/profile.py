@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from recordtrust.functions.comparators import AGREE, DISAGREE, known
-from recordtrust.registry import ATTRIBUTES
+from recordtrust.registry import ATTRIBUTES, name_groups
+
 
 def tally(
     labelled: DataFrame, keys: Sequence[str], attributes: Sequence[str] = ATTRIBUTES, fill_count: str = "rows"
@@ -45,11 +46,11 @@ def statistics(key: str, attributes: Sequence[str], fill_count: str = "rows", co
     By default the filled count is the row count, as the pipeline defines it; ``observed`` counts
     the values that were present.
     """
-    columns = {}
-    for a in attributes:
-        columns[f"{a}_correct_{key}"] = f"{a}_agree{counts}"
+    columns, names = {}, name_groups(attributes)
+    for a, correct, filled in zip(attributes, names.correct, names.filled, strict=True):
+        columns[f"{correct}_{key}"] = f"{a}_agree{counts}"
         columns[f"{a}_total_{key}"] = f"n{counts}"
-        columns[f"{a}_filled_{key}"] = f"n{counts}" if fill_count == "rows" else f"{a}_seen{counts}"
+        columns[f"{filled}_{key}"] = f"n{counts}" if fill_count == "rows" else f"{a}_seen{counts}"
     return [f"{columns[c]} AS {c}" for c in sorted(columns)]
 
 

@@ -77,6 +77,19 @@ def rate_names(attributes: Iterable[str], entities: Iterable[Entity] = ENTITIES)
     return [f"{a}_{e.short}_{kind}_rate" for a in attributes for e in entities for kind in ("correct", "fill")]
 
 
+class NameGroups(NamedTuple):
+    """Column names of the attributes by what they hold, each group in the order of the attributes."""
+
+    correct: list[str]
+    filled: list[str]
+    label: list[str]
+
+
+def name_groups(attributes: Iterable[str]) -> NameGroups:
+    attributes = list(attributes)
+    return NameGroups(*([f"{a}_{kind}" for a in attributes] for kind in NameGroups._fields))
+
+
 def model_columns(columns: Iterable[str]) -> tuple[list[str], list[str]]:
     """Split column names into model inputs (``...count``/``...rate``) and targets (``...label``)."""
     columns = list(columns)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from recordtrust.operators.features import add_rates, build_features, cell_profiles, cell_rates, combine
 from recordtrust.operators.profile import profile, roll_up, tally
 from recordtrust.operators.vectors import first_vector, submitter_records, submitter_support, submitter_vectors
-from recordtrust.registry import ENTITIES, model_columns, rate_names
+from recordtrust.registry import ENTITIES, model_columns, rate_names, name_groups
 from recordtrust.sources.workspace import Workspace
 
 ATTS = ["size", "term"]
@@ -195,3 +195,8 @@ def test_features_are_staged_in_the_checkpoint_folder(spark, tmp_path):
     workspace = Workspace(spark, str(tmp_path))
     build_features(frame(spark, "string"), ATTS, workspace=workspace)
     assert workspace.root.startswith(str(tmp_path)) and list(tmp_path.iterdir())
+
+
+def test_name_groups():
+    assert name_groups(["b", "a"]) == (["b_correct", "a_correct"], ["b_filled", "a_filled"], ["b_label", "a_label"])
+    assert name_groups([]) == ([], [], [])
