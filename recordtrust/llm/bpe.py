@@ -5,6 +5,11 @@ pieces are encoded once: the symbols of all new pieces lie in one flat array, an
 lowest-ranked pair of each piece, found by binary search over sorted pair keys, is merged wherever it
 occurs in that piece. Every text is decoded again from its ids.
 
+The same round merges every pair that nothing can come before. Until its turn, a pair (a, b) with x on its
+left can only be broken by x itself or by a token that ends in x and takes a, and for that x has to be taken from its
+own left first; likewise on the right. The least ranks of such merges are tabled by (x, a) and (b, y); a pair that
+ranks below all of them is merged at once. So the rounds of a long piece hardly grow with its length.
+
 Pieces are told apart by a 64-bit hash. Were two different ones to share it, the decoded bytes would
 differ from the text; such a chunk is encoded anew with the pieces' bytes as keys.
 
@@ -18,6 +23,7 @@ import hashlib
 import json
 from collections.abc import Iterator
 from functools import cache
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -29,6 +35,7 @@ from recordtrust.llm.text import U64, Texts, byte_values, chunks, span_hash
 LETTER, NUMBER, SPACE, OTHER = 0, 1, 2, 3
 SHIFT = 20  # ids are below 2**20
 NO_RANK = np.int64(1) << 40
+LOOK = 8  # symbols on either side that show whether a pair can be merged before its turn
 KNOWN_LIMIT = 400_000  # pieces that a worker remembers; beyond it starts anew
 
 OUTPUT = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
@@ -89,6 +96,42 @@ def piece_starts(points: np.ndarray, texts: np.ndarray) -> np.ndarray:
     return np.flatnonzero(start)
 
 
+class LeastRanks(NamedTuple):
+    """Least rank by pair of tokens, as sorted pair keys."""
+
+    keys: np.ndarray
+    ranks: np.ndarray
+
+
+def least_ranks(left: np.ndarray, right: np.ndarray, merged: np.ndarray, grown_left: bool) -> LeastRanks:
+    """Least rank at which a token that ends in x takes a, by (x, a); else that at which b takes one beginning with y, by (b, y)."""
+    order = np.argsort(merged, kind="stable")
+    made, part = merged[order], (right if grown_left else left)[order]
+    grown, fixed, rank = (left, right, np.arange(len(left))) if grown_left else (right, left, np.arange(len(left)))
+    keys, ranks = [], []
+    while len(grown):
+        keys.append((grown << SHIFT) | fixed if grown_left else (fixed << SHIFT) | grown)
+        ranks.append(rank)
+        # Go on to the outer parts of those tokens, by all merges that make them.
+        low, high = np.searchsorted(made, grown), np.searchsorted(made, grown, "right")
+        times = high - low
+        total = np.cumsum(times)
+        which = np.repeat(low - (total - times), times) + np.arange(int(total[-1]))
+        grown, fixed, rank = part[which], np.repeat(fixed, times), np.repeat(rank, times)
+    key, rank = np.concatenate(keys or [left]), np.concatenate(ranks or [left])
+    order = np.lexsort((rank, key))
+    distinct, first = np.unique(key[order], return_index=True)
+    return LeastRanks(distinct, rank[order][first])
+
+
+def ranks_of(table: LeastRanks, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    key = (left << SHIFT) | right
+    if not len(table.keys):
+        return np.full(len(key), NO_RANK)
+    at = np.minimum(np.searchsorted(table.keys, key), len(table.keys) - 1)
+    return np.where(table.keys[at] == key, table.ranks[at], NO_RANK)
+
+
 class Vocabulary:
     """Merge table of a tokenizer file as sorted pair keys, and the bytes of every id."""
 
@@ -113,6 +156,8 @@ class Vocabulary:
         keys = (left << SHIFT) | right
         order = np.argsort(keys)
         self.keys, self.ranks, self.merged = keys[order], order.astype(np.int64), merged[order]
+        self.taken_left = least_ranks(left, right, merged, grown_left=True)
+        self.taken_right = least_ranks(left, right, merged, grown_left=False)
         self.added = {t["content"]: t["id"] for t in spec.get("added_tokens", [])}
         self.bytes |= {i: token.encode() for token, i in self.added.items()}
         self.decimal = [str(i) for i in range(max(self.bytes) + 1)]
@@ -124,6 +169,29 @@ class Vocabulary:
         at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
         return np.where(self.keys[at] == key, self.ranks[at], NO_RANK), self.merged[at]
 
+    def safe(self, symbols: np.ndarray, inner: np.ndarray, rank: np.ndarray) -> np.ndarray:
+        """Which pairs rank below all merges that could take one of their parts before them.
+
+        ``inner`` tells which symbols have a next one in their piece, ``rank`` is that of the pair with it.
+        ``low[j]`` is a bound from below on the rank at which symbol j can be taken from its left: by its
+        neighbour as it is, or by what the neighbour grows to, which first has to be taken from its own left.
+        ``high`` is the same from the right. Each step looks one symbol further.
+        """
+        at = np.flatnonzero(inner)
+        by_left, by_right = np.full(len(symbols), NO_RANK), np.full(len(symbols), NO_RANK)
+        by_left[at + 1] = ranks_of(self.taken_left, symbols[at], symbols[at + 1])
+        by_right[at] = ranks_of(self.taken_right, symbols[at], symbols[at + 1])
+        from_left = np.full(len(symbols), NO_RANK)
+        from_left[1:] = rank[:-1]
+        low, high = np.minimum(from_left, by_left), np.minimum(rank, by_right)
+        for _ in range(LOOK):
+            low[1:] = np.minimum(from_left[1:], np.maximum(by_left[1:], low[:-1]))
+            high[:-1] = np.minimum(rank[:-1], np.maximum(by_right[:-1], high[1:]))
+        out = np.zeros(len(symbols), bool)
+        # Of equal ranks the left one goes first.
+        out[:-1] = (rank[:-1] < NO_RANK) & (rank[:-1] < low[:-1]) & (rank[:-1] <= high[1:])
+        return out
+
     def encode_pieces(self, data: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of many pieces whose bytes lie one after another, and the number of ids of each."""
         symbols, owner = self.byte_id[data], np.repeat(np.arange(len(size)), size)
@@ -141,7 +209,7 @@ class Vocabulary:
             still = best_here < NO_RANK
             done_ids.append(symbols[~still])
             done_owner.append(owner[~still])
-            hit = (rank == best_here) & still
+            hit = ((rank == best_here) | self.safe(symbols, np.append(inner, False), rank)) & still
             # Of overlapping places of one pair, every second is merged, from the left.
             again = np.zeros(len(hit), bool)
             again[1:] = hit[1:] & hit[:-1] & inner

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import hashlib
+import time
 
 import numpy as np
 import public_tokenizers
@@ -53,6 +54,28 @@ def test_every_code_point():
     assert not wrong
 
 
+@settings(max_examples=60, deadline=None)
+@given(st.randoms(use_true_random=False), st.sampled_from(["aeinrst", "etaoin", "abcdefghijklmnopqrstuvwxyz", "aab", "éèà", "日本語"]))
+def test_long_pieces(rng, letters):
+    """Runs of letters and of vocabulary entries without a space, where pairs are merged ahead of their turn."""
+    entries = [x.decode() for x in OWN.vocabulary.bytes.values() if x.isalpha() and x.isascii()]
+    loose = "".join(rng.choice(letters) for _ in range(rng.randrange(1500)))
+    joined = "".join(rng.choice(entries) for _ in range(rng.randrange(200)))
+    texts = [loose, joined, loose[:50] + joined, letters[0] * rng.randrange(300) + loose[:9]]
+    assert own(texts) == expected(texts)
+
+
+def test_a_megabyte_without_a_space():
+    rng = np.random.default_rng(4)
+    for alphabet in (b"abcdefghijklmnopqrstuvwxyz", b"etaoin", b"a"):
+        text = bytes(rng.choice(np.frombuffer(alphabet, np.uint8), 1_000_000)).decode()
+        OWN.forget()
+        begin = time.perf_counter()
+        found = own([text])
+        assert time.perf_counter() - begin < 15  # seconds; alone it takes 1 to 4
+        assert found == expected([text])
+
+
 def test_pieces_keyed_by_bytes():
     texts = texts_of(pa.array(["it's the the", "", "the end"], pa.string()))
     assert [x.tolist() for x in OWN.encode(texts, exact=True)] == expected(["it's the the", "", "the end"])
