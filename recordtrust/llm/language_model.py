@@ -56,15 +56,20 @@ class Grams:
         return exchange.Keys(np.concatenate([self.word, self.pair]), None)
 
 
-def targets_of(labels: DataFrame, blocks: int) -> DataFrame:
-    """Ids labelled good, packed by block."""
+def targets_of(documents: DataFrame, labels: DataFrame, blocks: int) -> DataFrame:
+    """Ids labelled good, packed for every block that has rows of theirs.
+
+    The rows of one id lie in as many blocks as it has texts, so a block and id are one row before they meet the labels.
+    """
     good = labels.where("quality = 1 AND doc_id IS NOT NULL").select("doc_id").distinct()
+    block = exchange.block_of(blocks, "doc_id", "text").alias("block")
+    placed = documents.where("doc_id IS NOT NULL").select(block, "doc_id").distinct()
 
     def run(table: pa.Table) -> pa.Table:
         ids = table.column("doc_id").to_numpy().astype(np.int64)
         return pa.table({"block": table.column("block").slice(0, 1), "bucket": pa.array([-1], pa.int64()), "totals": pa.array([ids.tobytes()], pa.binary())})
 
-    return good.select(exchange.block_of(blocks, "doc_id").alias("block"), "doc_id").groupBy("block").applyInArrow(run, exchange.TOTALS)
+    return placed.join(good, "doc_id", "left_semi").groupBy("block").applyInArrow(run, exchange.TOTALS)
 
 
 def _flags(table: pa.Table, packed: pa.Table) -> np.ndarray:
@@ -76,9 +81,9 @@ def _flags(table: pa.Table, packed: pa.Table) -> np.ndarray:
 
 
 def score(documents: DataFrame, labels: DataFrame, workspace: Workspace) -> DataFrame:
-    blocks = exchange.deal(documents, by=("doc_id",))
+    blocks = exchange.deal(documents)
     buckets = max(1, 2 * blocks.buckets)
-    targets = targets_of(labels, blocks.n)
+    targets = workspace.stage(targets_of(documents, labels, blocks.n), "targets")
 
     def send(table: pa.Table, packed: pa.Table) -> pa.Table:
         def emit(table: pa.Table, texts: Texts) -> tuple[exchange.Keys, np.ndarray]:

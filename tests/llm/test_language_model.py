@@ -62,6 +62,16 @@ def test_cases(spark, monkeypatch):
         assert language_model.score(none, spark.createDataFrame([(1, 1)], "doc_id long, quality int"), space).count() == 0
 
 
+def test_rows_of_one_id_are_dealt_by_their_texts(spark, monkeypatch):
+    """A third of the rows have one labelled id, a third no id: neither group is one block."""
+    monkeypatch.setattr(exchange, "BLOCK_BYTES", 100)
+    rows = [(i, f"{x} w{n} w{n % 7} tail") for n in range(60) for i, x in ((7, "the"), (None, "no"), (100 + n, "own"))]
+    check(spark, rows, [(7, 1), (103, 1), (104, 0)])
+    dealt = exchange.deal(spark.createDataFrame(rows, "doc_id long, text string"))
+    most = dealt.rows.groupBy("block", "doc_id").count().agg({"count": "max"}).first()[0]
+    assert dealt.n > 20 and most < 15
+
+
 def test_whole_table(spark):
     rows = [tuple(r) for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text").collect()]
     check(spark, rows, [tuple(r) for r in spark.read.parquet("/root/testdata/sf0.001/labels.parquet").select("doc_id", "quality").collect()])
