@@ -262,7 +262,7 @@ def submitter_vectors_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def submitter_support(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return vectors.submitter_support(submitter_vectors_distinct(spark, sf_dir))
+    return vectors.submitter_support(inputs(spark, sf_dir).population(True).cells, INPUTS)
 
 
 def submitter_first_vector(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -150,11 +150,23 @@ def test_roll_up_equals_direct_tally(spark):
     assert sorted(map(repr, fine.select(sorted(fine.columns)).collect())) == sorted(map(repr, direct.select(sorted(fine.columns)).collect()))
 
 
+def test_support_equals_distinct_vectors_for_any_values(spark):
+    """Nulls, their place, zeros of both signs, NaN and repeated rows count as grouping counts them."""
+    odd = [None, 0.0, -0.0, 1.0, float("nan"), 0.5]
+    rows = [(s, a, b) for s in (1, 2, None) for a in odd[: 3 if s == 2 else 6] for b in odd] * 2
+    cells = spark.createDataFrame(rows, f"{SUB} long, a double, b double")
+    want = submitter_vectors(cells, ["a", "b"]).groupBy(SUB).count()
+    assert sorted(map(tuple, submitter_support(cells, ["a", "b"]).collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
+    plan = submitter_support(cells, ["a", "b"])._jdf.queryExecution().executedPlan().toString()
+    exchanged = [line for line in plan.splitlines() if "Exchange" in line]
+    assert exchanged and not any("a#" in line or "b#" in line for line in exchanged)
+
+
 def test_support_counts_distinct_vectors(spark):
     rows = make_rows("string")
     inputs = rate_names(ATTS)
     vectors = {(r[SUB], *[r[c] for c in inputs]) for r in expected_features(rows, "string")}
-    got = submitter_support(submitter_vectors(cells_of(spark, rows), inputs))
+    got = submitter_support(cells_of(spark, rows), inputs)
     expected = {s: sum(v[0] == s for v in vectors) for s in {v[0] for v in vectors}}
     assert {r[SUB]: r.n_support for r in got.collect()} == expected
 
@@ -164,7 +176,7 @@ def test_logos_with_equal_rates_are_one_vector(spark):
         return {"id": i, SUB: 1, LOGO: logo, **{f"{a}_{c}": v for a in ATTS for c, v in (("version", 1.0), ("filled", 1), ("label", 1))}}
 
     cells = cells_of(spark, [row(1, "A"), row(2, "B"), row(3, None)])
-    support = submitter_support(submitter_vectors(cells, rate_names(ATTS))).first()
+    support = submitter_support(cells, rate_names(ATTS)).first()
     assert cells.count() == 3 and support.n_support == 2  # A and B agree in every rate
 
 
