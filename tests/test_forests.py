@@ -299,3 +299,10 @@ def test_version_rows(labelled, cells, models, space, settings, limits):
     prob = {(r[SUB], r[LOGO]): r.honest_prob for r in scored.collect()}
     cell = {r.comp_data_id_version: (r[SUB], r[LOGO]) for r in labelled.collect()}
     assert all(r.honest_prob == prob[cell[r.comp_data_id_version]] for r in got)
+
+
+def test_each_tree_has_a_task(spark):
+    """No task waits for several trees while others have none."""
+    blocks = spark.range(30).withColumnRenamed("id", "block")
+    dealt = forests._by_tree(blocks, 40).groupBy(F.spark_partition_id().alias("task")).agg(F.collect_set("tree").alias("trees"), F.count("*").alias("n"))
+    assert [(len(r.trees), r.n) for r in dealt.collect()] == [(1, 30)] * 40

@@ -5,6 +5,7 @@ from __future__ import annotations
 import numpy as np
 import pytest
 
+from recordtrust.operators import trees
 from recordtrust.operators.trees import LEAF, draw, grow, poisson, root_path, walk
 
 
@@ -62,3 +63,24 @@ def test_leaves_are_pure_or_hold_equal_vectors():
         total = weight[mine].sum(axis=0)
         assert nodes.feature[leaf] == LEAF and nodes.agree[leaf] == total[1] / total.sum()
         assert (total == 0).any() or len(np.unique(bins[mine], axis=0)) == 1
+
+
+def test_counted_and_sorted_sums_grow_equal_trees(monkeypatch):
+    """Few places per cell are counted, others sorted as one number, or apart where that is too long: one tree."""
+    rng = np.random.default_rng(4)
+    bins = rng.integers(0, 300, (3000, 20)).astype(np.uint16)
+    weight = rng.integers(0, 3, (3000, 2)).astype(float)
+    found = []
+    for dense, span in ((4, 300), (0, 300), (10**9, 300), (0, 2**48)):
+        monkeypatch.setattr(trees, "DENSE", dense)
+        found.append(grow(bins, weight, 11, tries=3, span=span))
+    for other in found[1:]:
+        assert all((a == b).all() for a, b in zip(found[0], other, strict=True))
+
+
+def test_growth_sorts_no_pairs(monkeypatch):
+    """Sorting places by keys took most of a tree's time; keys and places go as one number."""
+    rng = np.random.default_rng(6)
+    bins, weight = rng.integers(0, 300, (500, 20)).astype(np.uint16), rng.integers(0, 3, (500, 2)).astype(float)
+    monkeypatch.setattr(np, "argsort", lambda *a, **b: pytest.fail("argsort"))
+    assert len(grow(bins, weight, 11, tries=3, span=300).feature) > 100
