@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from recordtrust.operators.pairs import (
     build_pairs,
+    labels_alone,
+    linked_labels,
     linked_pairs,
     links_per_master,
     records,
@@ -166,3 +168,33 @@ def test_names_are_compared_before_the_fan_out(tables):
     plan = linked_pairs(tables, ["tenant_name"], {"tenant_name": COMPARATORS["tenant_name"]})._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("ArrowEvalPython") == 1
     assert plan.index("ArrowEvalPython") > plan.index("Join LeftOuter, (id")
+
+
+def test_labels_travel_without_values(tables, skewed, settings):
+    """Values are neither written nor carried through the fan-out where labels alone are read; rows are the same."""
+    comparators = {a: COMPARATORS[a] for a in ("tenant_name", "transaction_size")}
+    for limits in ({}, {"taskRows": "100"}):
+        settings(**limits)
+        for given in (tables, skewed):
+            found = linked_labels(given, comparators)
+            assert not [c for c in found.columns if c.endswith(("_version", "_master"))]
+            wide = linked_pairs(given, list(comparators), comparators).select(*found.columns)
+            assert Counter(map(tuple, found.collect())) == Counter(map(tuple, wide.collect()))
+    assert labels_alone(found).columns == found.columns
+
+
+def test_queries_of_labels_stage_labels(spark, monkeypatch):
+    """Counts of labels stage no values; a wide table that is there already is read instead."""
+    from catalog import queries
+
+    given, staged = queries.Inputs(spark, "/root/testdata/sf0.001"), []
+    monkeypatch.setattr(queries, "inputs", lambda *_: given)
+    stage = given.workspace.stage
+    monkeypatch.setattr(given.workspace, "stage", lambda df, name: staged.append((name, df.columns)) or stage(df, name))
+    for query in (queries.profile_logo, queries.rates, queries.submitter_report_order, queries.held_out_metrics, queries.exact_test_share, queries.binary_metrics):
+        query(spark, "/root/testdata/sf0.001")
+    assert not [name for name, columns in staged if "tenant_name_version" in columns]
+    given.labelled()
+    again = len(staged)
+    assert set(given.marked().columns) < set(given.labelled().columns) and len(staged) == again
+    given.workspace.close()
