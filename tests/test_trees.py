@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tracemalloc
+
 import numpy as np
 import pytest
 
@@ -84,3 +86,26 @@ def test_growth_sorts_no_pairs(monkeypatch):
     bins, weight = rng.integers(0, 300, (500, 20)).astype(np.uint16), rng.integers(0, 3, (500, 2)).astype(float)
     monkeypatch.setattr(np, "argsort", lambda *a, **b: pytest.fail("argsort"))
     assert len(grow(bins, weight, 11, tries=3, span=300).feature) > 100
+
+
+def test_weights_in_one_number_or_apart_grow_equal_trees(monkeypatch):
+    """Both weights of a cell are added up in one number where they fit; equal trees come out if they do not."""
+    rng = np.random.default_rng(7)
+    bins, weight = rng.integers(0, 300, (2000, 20)).astype(np.uint16), rng.integers(0, 3, (2000, 2)).astype(float)
+    found = [grow(bins, weight, 11, tries=3, span=300)]
+    monkeypatch.setattr(trees, "ONE", 0.0)
+    found.append(grow(bins, weight, 11, tries=3, span=300))
+    found.append(grow(bins, weight * 2.0**40, 11, tries=3, span=300))
+    for other in found[1:]:
+        assert all((a == b).all() for a, b in zip(found[0], other, strict=True))
+
+
+def test_growth_copies_no_bins():
+    """Levels used to copy all bins of their cells twice; a node looks at those of the inputs it tries."""
+    rng = np.random.default_rng(8)
+    bins, weight = rng.integers(0, 300, (5000, 600)).astype(np.uint16), rng.integers(1, 3, (5000, 2)).astype(float)
+    tracemalloc.start()
+    grow(bins, weight, 11, tries=3, span=300, depth=3)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < bins.nbytes / 2
