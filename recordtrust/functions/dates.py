@@ -13,7 +13,7 @@ Zones: Z, UTC, GMT, +02:00, -0530, +2.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -39,6 +39,8 @@ CLOCK = r"(\d{1,2}):(\d{2})(?::(\d{2}(?:[.,]\d{1,9})?))?\s*(?:([ap])[.]?m[.]?)?"
 HOUR = r"(\d{1,2})\s*([ap])[.]?m[.]?"
 ZONE = r"(z|utc|gmt|(?:utc|gmt)?[+-]\d{1,2}(?::?\d{2})?)"
 TIME = rf"(?i)(?:t|[,\s]\s*)(?:{CLOCK}|{HOUR})\s*{ZONE}?$"
+#: Stands between the parts of a text; a text with it is no date.
+MARK = "\u0001"
 #: A compact date with its time, and how separators are put into it.
 COMPACT = (
     (rf"(?i)^(\d{{8}})[t\s]?(\d{{2}})(\d{{2}})(\d{{2}})\s*{ZONE}?$", "$1T$2:$3:$4$5"),
@@ -92,22 +94,38 @@ def parse_date(text: Column, formats: Sequence[str] = ()) -> Column:
     plain = F.regexp_replace(F.trim(F.regexp_replace(text, r"\s+", " ")), WEEKDAY, "")
     for pattern, spread in COMPACT:
         plain = F.regexp_replace(plain, pattern, spread)
+    read = _once(F.when(~text.contains(MARK), plain), lambda whole: _once(_parts(whole), _read))
+    return F.coalesce(read, *[F.try_to_date(text, f).cast("timestamp_ntz") for f in formats])
+
+
+def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """What ``use`` makes of a value that is computed once for a row, however often it is used."""
+    return F.transform(F.array(value), lambda x: use(x))[0]
+
+
+def _parts(plain: Column) -> Column:
+    """What stands before the time, the groups of the time, and what is behind it; a text without a time alone."""
+    groups = MARK + MARK.join(f"${g}" for g in range(1, 8)) + MARK
+    return F.when(plain.rlike(TIME), F.split(F.regexp_replace(plain, TIME, groups), MARK)).otherwise(F.array(plain))
 
+
+def _read(parts: Column) -> Column:
+    written = F.concat(parts[0], F.coalesce(F.get(parts, F.lit(8)), F.lit("")))
+    ordered = _once(written, lambda x: F.coalesce(*[F.when(x.rlike(p), F.regexp_replace(x, p, to)) for p, to in DATES]))
+    return _once(F.split(ordered, " "), lambda date: _at(parts, date))
+
+
+def _at(parts: Column, date: Column) -> Column:
     def of_time(*groups: int) -> Column:
-        found = [F.nullif(F.regexp_extract(plain, TIME, g), F.lit("")) for g in groups]
-        return F.coalesce(*found)
+        return F.coalesce(*[F.nullif(F.get(parts, F.lit(g)), F.lit("")) for g in groups])
 
-    timed = plain.rlike(TIME)
+    timed = F.size(parts) > 1
     half, hour = F.lower(of_time(4, 6)), _number(of_time(1, 5))
     day_hour = F.when(half.isNull(), hour).when(hour.between(1, 12), hour % 12 + F.when(half == "p", 12).otherwise(0))
     second = F.replace(F.coalesce(of_time(3), F.lit("0")), F.lit(","), F.lit(".")).try_cast("decimal(16,6)")
-    written = F.when(timed, F.regexp_replace(plain, TIME, "")).otherwise(plain)
-
-    ordered = F.coalesce(*[F.when(written.rlike(p), F.regexp_replace(written, p, to)) for p, to in DATES])
-    year, month, day = (F.get(F.split(ordered, " "), F.lit(i)) for i in range(3))
+    year, month, day = (F.get(date, F.lit(i)) for i in range(3))
     whole_hour = F.when(timed, day_hour).otherwise(0)
     minute = F.when(timed, F.coalesce(_number(of_time(2)), F.lit(0))).otherwise(0)
     at = F.try_make_timestamp_ntz(_year(year), _month(month), _number(day), whole_hour, minute, F.when(timed, second).otherwise(F.lit(0).cast("decimal(16,6)")))
     east = F.when(timed, _zone_seconds(F.coalesce(of_time(7), F.lit("")))).otherwise(0)
-    read = at - F.make_dt_interval(secs=east)
-    return F.coalesce(read, *[F.try_to_date(text, f).cast("timestamp_ntz") for f in formats])
+    return at - F.make_dt_interval(secs=east)

@@ -66,3 +66,16 @@ def test_wall_time_in_a_gap_of_the_zone(spark):
         assert df.select(parse_date(F.col("t")).cast("string")).first()[0] == "2021-03-14 02:30:00"
     finally:
         spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_shared_steps_are_planned_once(spark):
+    """The text without its weekday, the time's groups and the date's parts were worked out again for every use."""
+    df = spark.createDataFrame([("2020",)], "t string").select(parse_date(F.col("t")))
+    plan = df._jdf.queryExecution().optimizedPlan().toString().lower()
+    assert plan.count("regexp_replace(") < 100 and plan.count("rlike") < 50
+
+
+def test_control_characters_are_no_dates(spark):
+    texts = ["2020-02-29\u00019:05", "2020-02-29 9:05\u0001", "\u00012020", "2020-02-29 9:05 $1", "2020\\1"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    assert df.where(parse_date(F.col("t")).isNotNull()).count() == 0
