@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from recordtrust.functions.comparators import known
-from recordtrust.operators.joins import attach, hot_keys, spread_join
+from recordtrust.operators.joins import BROADCAST_BYTES, attach, byte_size, hot_keys, setting, spread_join
 from recordtrust.operators.profile import roll_up, statistics, tally
 from recordtrust.registry import ATTRIBUTES, ENTITIES, Entity
 from recordtrust.sources.workspace import Workspace
@@ -82,6 +82,13 @@ def _counts_of(key: str) -> str:
     return f"_of_{key}"
 
 
+def entity_counts(tallied: DataFrame, entity: Entity) -> DataFrame:
+    """An entity's label counts from those of finer keys; its key is renamed, the columns are marked as its own."""
+    counts = roll_up(tallied.where(known(tallied, entity.key).isNotNull()), [entity.key]).drop("first_id")
+    renamed = [f"{c} AS {c}{_counts_of(entity.key)}" for c in counts.columns if c != entity.key]
+    return counts.selectExpr(f"{entity.key} AS __{entity.key}", *renamed)
+
+
 def cell_profiles(tallied: DataFrame, entities: Sequence[Entity] = ENTITIES) -> DataFrame:
     """One row per cell (combination of entity keys) with the label counts of all its entities.
 
@@ -94,10 +101,19 @@ def cell_profiles(tallied: DataFrame, entities: Sequence[Entity] = ENTITIES) ->
         own = f"__{e.key}"
         if position:  # the first combine has filled the frame by now
             joined = fill_zero(joined, [own])
-        counts = roll_up(tallied.where(known(tallied, e.key).isNotNull()), [e.key]).drop("first_id")
-        renamed = [f"{c} AS {c}{_counts_of(e.key)}" for c in counts.columns if c != e.key]
-        counts = counts.selectExpr(f"{e.key} AS {own}", *renamed)
-        joined = spread_join(joined, counts, [own], e.how, left_hot=hot_keys(joined.select(own), [own]))
+        joined = spread_join(joined, entity_counts(tallied, e), [own], e.how, left_hot=hot_keys(joined.select(own), [own]))
+    return joined.drop(*[f"__{k}" for k in keys])
+
+
+def look_up(df: DataFrame, counts: Sequence[DataFrame], entities: Sequence[Entity]) -> DataFrame:
+    """Rows with the counts of their entities, each table broadcast: what ``cell_profiles`` would tell them, without a shuffle."""
+    keys = [e.key for e in entities]
+    joined = df.selectExpr("*", *[f"{k} AS __{k}" for k in keys])
+    for position, (e, table) in enumerate(zip(entities, counts, strict=True)):
+        own = f"__{e.key}"
+        if position:
+            joined = fill_zero(joined, [own])
+        joined = spread_join(joined, F.broadcast(table), [own], e.how)
     return joined.drop(*[f"__{k}" for k in keys])
 
 
@@ -127,6 +143,10 @@ def rows_with_cell(df: DataFrame, entities: Sequence[Entity] = ENTITIES) -> Data
     return df.where(known(df, first.key).isNotNull()) if first.how == "inner" else df
 
 
+def _without_disagree(counts: DataFrame) -> DataFrame:
+    return counts.select([c for c in counts.columns if "_disagree_of_" not in c])
+
+
 def build_features(
     labelled: DataFrame,
     attributes: Sequence[str] = ATTRIBUTES,
@@ -134,19 +154,24 @@ def build_features(
     fill_count: str = "rows",
     workspace: Workspace | None = None,
 ) -> DataFrame:
-    """Profile every entity, join all profiles to the rows at once, add histories and rates.
+    """Profile every entity, join the profiles to the rows, add histories and rates.
 
     Profiles always come from the rows as given, before any row is dropped for a missing key. The
-    join carries the plain counts; the statistics are named after it. Pass staged rows: they are read
-    twice. Where cells are hot, rows are written with a number to deal them by.
+    join carries the plain counts; the statistics are named after it. An entity has far fewer keys than there are
+    cells, so profiles that are small together are looked up one by one and the rows stay where they are. Larger ones meet on
+    cells first, and the rows meet those at once. Pass staged rows: they are read twice. Where cells are hot, rows are
+    written with a number to deal them by.
     """
     workspace = workspace or Workspace(labelled.sparkSession)
     keys = [e.key for e in entities]
     tallied = workspace.stage(tally(labelled, keys, attributes, fill_count), "tally")
-    cells = workspace.stage(cell_profiles(tallied, entities).drop("first_id"), "cells")
-    needed = [c for c in cells.columns if "_disagree_of_" not in c]
     found = rows_with_cell(labelled, entities)
-    rows = attach(found, cells.select(needed), keys, "inner", "n", null_safe=True, workspace=workspace)
+    counts = [workspace.stage(_without_disagree(entity_counts(tallied, e)), f"counts-{e.key}") for e in entities]
+    if sum(map(byte_size, counts)) <= setting(labelled.sparkSession, BROADCAST_BYTES):
+        rows = look_up(found, counts, entities)
+    else:
+        cells = workspace.stage(_without_disagree(cell_profiles(tallied, entities).drop("first_id")), "cells")
+        rows = attach(found, cells, keys, "inner", "n", null_safe=True, workspace=workspace)
     combined = rows.selectExpr(*labelled.columns, *_all_statistics(attributes, entities, fill_count))
     histories = [column for e in entities for column in history(e.key, attributes)]
     return add_rates(fill_zero(combined.selectExpr("*", *histories)), attributes, entities)

@@ -97,6 +97,19 @@ def test_features(spark, settings, kind, limits, build):
     assert as_set(got) == as_set(expected_features(make_rows(kind), kind))
 
 
+@pytest.mark.parametrize("kind", ["string", "int"])
+def test_rows_are_not_shuffled_where_profiles_are_small(spark, settings, kind):
+    """Cells take over 1,000 bytes here, both profiles together under 300."""
+    settings(broadcastBytes="300")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = build_features(frame(spark, kind), ATTS)
+        assert "Exchange hashpartitioning" not in df._jdf.queryExecution().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert as_set([r.asDict() for r in df.collect()]) == as_set(expected_features(make_rows(kind), kind))
+
+
 @pytest.mark.parametrize("observed", [False, True])
 @pytest.mark.parametrize("key,kind", [(SUB, "string"), (LOGO, "string"), (LOGO, "double")])
 def test_profile(spark, key, kind, observed):
