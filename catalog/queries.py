@@ -79,8 +79,7 @@ class Inputs:
 
     def combined(self, numeric_logo: bool = False, values: bool = True) -> DataFrame:
         rows = self.all_rows(numeric_logo) if values else self.marked_rows(numeric_logo)
-        rows = features.combine(rows, self.profile(SUB, numeric_logo), SUB, "inner")
-        return features.combine(rows, self.profile(LOGO, numeric_logo), LOGO, "left")
+        return features.combine_all(rows, [self.profile(key, numeric_logo) for key in KEYS], ENTITIES)
 
     @cache
     def fitted(self) -> tuple[forests.Forests, DataFrame]:

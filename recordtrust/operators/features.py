@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -24,8 +24,8 @@ def fill_zero(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     return df.na.fill(False, subset=flags) if flags else df
 
 
-def _only_key_shared(df: DataFrame, stats: DataFrame, key: str) -> None:
-    shared = set(df.columns) & set(stats.columns)
+def _only_key_shared(columns: Iterable[str], stats: DataFrame, key: str) -> None:
+    shared = set(columns) & set(stats.columns)
     if shared != {key}:
         raise ValueError(f"only {key} may be shared, found {sorted(shared)}")
 
@@ -42,6 +42,16 @@ def history(key: str, attributes: Sequence[str]) -> list[str]:
     return columns
 
 
+def _repeats(stats: DataFrame, weight: str) -> list[str]:
+    """Whole-number columns of a per-key table that equal its ``weight`` in every row."""
+    kinds = {f.name: f.dataType for f in stats.schema}
+    others = [c for c, kind in kinds.items() if c != weight and kind == kinds[weight] and isinstance(kind, T.IntegralType)]
+    if not others:
+        return []
+    equal = stats.agg(*[F.every(F.col(c).eqNullSafe(F.col(weight))).alias(c) for c in others]).first()
+    return [c for c in others if equal[c]]
+
+
 def combine(
     df: DataFrame, stats: DataFrame, key: str, how: str = "inner", attributes: Sequence[str] = ATTRIBUTES
 ) -> DataFrame:
@@ -50,11 +60,41 @@ def combine(
     The fill covers the whole frame, so a numeric key left null here is 0 in the next combine and
     meets the profile of 0 there, while a null text key meets nothing.
     """
-    _only_key_shared(df, stats, key)
+    _only_key_shared(df.columns, stats, key)
     weight = f"{attributes[0]}_total_{key}"
     return fill_zero(attach(df, stats, [key], how, weight).selectExpr("*", *history(key, attributes)))
 
 
+def combine_all(
+    df: DataFrame, profiles: Sequence[DataFrame], entities: Sequence[Entity], attributes: Sequence[str] = ATTRIBUTES
+) -> DataFrame:
+    """What a ``combine`` per entity gives, one after the other; all joins come before the rows get wide.
+
+    Most statistics of a profile repeat its row count (totals, and filled counts unless present values are counted).
+    Those are looked for in the profile, left out of the join and named again behind it. Pass staged profiles: they
+    are read more than once.
+    """
+    seen, joined = list(df.columns), df.selectExpr("*", *[f"{e.key} AS __{e.key}" for e in entities])
+    named, carried = [], []  # by entity: what follows the join, and what goes through it
+    for position, (e, stats) in enumerate(zip(entities, profiles, strict=True)):
+        _only_key_shared(seen, stats, e.key)
+        own, weight = f"__{e.key}", f"{attributes[0]}_total_{e.key}"
+        if position:  # the combine before has filled the frame by now
+            joined = fill_zero(joined, [own])
+        statistic, repeats = [c for c in stats.columns if c != e.key], _repeats(stats.drop(e.key), weight)
+        joined = attach(joined, stats.drop(*repeats).withColumnRenamed(e.key, own), [own], e.how, weight)
+        named.append([*[f"{weight} AS {c}" if c in repeats else c for c in statistic], *history(e.key, attributes)])
+        carried.append([c for c in statistic if c not in repeats])
+        seen += statistic
+    known_by_now = df.columns
+    for position, columns in enumerate(named):
+        later = [c for x in carried[position + 1 :] for c in x]
+        wide = joined.selectExpr(*known_by_now, *columns, *later)
+        known_by_now = wide.columns[: len(wide.columns) - len(later)]
+        joined = fill_zero(wide, known_by_now)
+    return joined
+
+
 def _ratio(part: str, whole: str) -> str:
     return f"if({whole} > 0, {part} / {whole}, 0D)"
 

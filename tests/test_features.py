@@ -7,7 +7,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from recordtrust.operators.features import add_rates, build_features, cell_profiles, cell_rates, combine
+from recordtrust.operators.features import add_rates, build_features, cell_profiles, cell_rates, combine, combine_all
 from recordtrust.operators.profile import profile, roll_up, tally
 from recordtrust.operators.vectors import first_vector, submitter_records, submitter_support, submitter_vectors
 from recordtrust.registry import ENTITIES, model_columns, rate_names, name_groups
@@ -88,9 +88,13 @@ def chained(df):
     return add_rates(combine(once, profile(df, LOGO, ATTS), LOGO, "left", ATTS), ATTS)
 
 
+def at_once(df):
+    return add_rates(combine_all(df, [profile(df, e.key, ATTS) for e in ENTITIES], ENTITIES, ATTS), ATTS)
+
+
 @pytest.mark.parametrize("kind", ["string", "int", "boolean", "double"])
 @pytest.mark.parametrize("limits", [{}, {"taskRows": "10", "broadcastBytes": "0"}])
-@pytest.mark.parametrize("build", [chained, lambda df: build_features(df, ATTS)], ids=["chained", "by_cell"])
+@pytest.mark.parametrize("build", [chained, lambda df: build_features(df, ATTS), at_once], ids=["chained", "by_cell", "at_once"])
 def test_features(spark, settings, kind, limits, build):
     settings(**limits)
     got = [r.asDict() for r in build(frame(spark, kind)).collect()]
@@ -110,6 +114,34 @@ def test_rows_are_not_shuffled_where_profiles_are_small(spark, settings, kind):
     assert as_set([r.asDict() for r in df.collect()]) == as_set(expected_features(make_rows(kind), kind))
 
 
+@pytest.mark.parametrize("kind", ["string", "int"])
+def test_combined_rows_are_not_shuffled_where_distinct_statistics_are_small(spark, settings, kind):
+    """Four submitters of 7 columns take 224 bytes, of 4 columns 128: totals and filled counts are one column."""
+    settings(broadcastBytes="160")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df, space = frame(spark, kind), Workspace(spark)
+        stats = [space.stage(profile(df, e.key, ATTS), "stats") for e in ENTITIES]
+        both = combine_all(df, stats, ENTITIES, ATTS)
+        assert "Exchange hashpartitioning" not in both._jdf.queryExecution().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    twice = combine(combine(df, stats[0], SUB, "inner", ATTS), stats[1], LOGO, "left", ATTS)
+    assert both.columns == twice.columns and as_set(r.asDict() for r in both.collect()) == as_set(r.asDict() for r in twice.collect())
+
+
+def test_statistics_that_differ_from_the_row_count_are_kept(spark):
+    """Present values are counted, a label is null, one profile is empty."""
+    df = frame(spark, "int").withColumn("term_label", F.expr("if(id % 7 = 0, null, term_label)"))
+    stats = [profile(df, SUB, ATTS, "observed"), profile(df, LOGO, ATTS, "observed")]
+    for logos in (stats[1], stats[1].where("false")):
+        both = combine_all(df, [stats[0], logos], ENTITIES, ATTS)
+        once = combine(df, stats[0], SUB, "inner", ATTS)
+        twice = combine(once, logos, LOGO, "left", ATTS)
+        assert as_set(r.asDict() for r in both.collect()) == as_set(r.asDict() for r in twice.collect())
+    assert any(r[f"size_filled_{SUB}"] != r[f"size_total_{SUB}"] for r in both.collect())
+
+
 @pytest.mark.parametrize("observed", [False, True])
 @pytest.mark.parametrize("key,kind", [(SUB, "string"), (LOGO, "string"), (LOGO, "double")])
 def test_profile(spark, key, kind, observed):
