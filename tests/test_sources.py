@@ -9,7 +9,7 @@ from pyspark.sql import SparkSession
 from recordtrust.sources.readers import conform, jdbc_options, lower_names, read_query, read_tables, submitter_names
 from recordtrust.sources.schemas import SCHEMAS
 from recordtrust.sources.sinks import write_csv, write_parquet
-from recordtrust.sources.workspace import CHECKPOINT, Workspace
+from recordtrust.sources.workspace import CHECKPOINT, CLEANUP, Workspace
 
 
 def test_conform_lowers_names_and_casts(spark):
@@ -136,3 +136,16 @@ def test_csv_comes_back_from_compressed_files(spark, tmp_path):
         assert sorted(map(tuple, read_csv(spark, str(tmp_path / kind), df.schema).collect())) == sorted(map(tuple, df.collect()))
     plain, packed = (sum(f.stat().st_size for f in (tmp_path / kind).glob("part*")) for kind in ("none", "gzip"))
     assert packed * 3 < plain
+
+
+def test_staged_tables_leave_no_shuffle_files(spark):
+    def shuffled():
+        files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {files.apply(i).getName() for i in range(files.size()) if files.apply(i).getName().startswith("shuffle_")}
+
+    before, setting = shuffled(), spark.conf.get(CLEANUP, None)
+    with Workspace(spark) as space:
+        df = space.stage(spark.range(1000).repartition(5, "id"), "dealt")
+        assert not shuffled() - before
+        assert df.inputFiles()[0].endswith(".zstd.parquet") and df.count() == 1000
+    assert spark.conf.get(CLEANUP, None) == setting
