@@ -306,3 +306,36 @@ def test_each_tree_has_a_task(spark):
     blocks = spark.range(30).withColumnRenamed("id", "block")
     dealt = forests._by_tree(blocks, 40).groupBy(F.spark_partition_id().alias("task")).agg(F.collect_set("tree").alias("trees"), F.count("*").alias("n"))
     assert [(len(r.trees), r.n) for r in dealt.collect()] == [(1, 30)] * 40
+
+
+def test_neither_blocks_nor_trees_are_shuffled(spark, space, monkeypatch):
+    """A hundred trees used to get a copy of all blocks each, and every chunk of cells a copy of all trees."""
+    shuffles = []
+    stage = Workspace.stage
+    monkeypatch.setattr(Workspace, "stage", lambda self, df, name: shuffles.append((name, df._jdf.queryExecution().executedPlan().toString().count("Exchange "))) or stage(self, df, name))
+    rows = space.stage(numbers(spark, 300).coalesce(1), "numbers")
+    found = train_all(rows, ["x", "y"], ["a", "b", "c"], space, trees=3)
+    votes = forests._votes(space.stage(forests.pack(rows, "cell", found.inputs, found.edges), "packed"), found, 3, 2)
+    stage(space, votes, "votes")
+    assert dict(shuffles)["forests"] == 0 and "Exchange" not in votes._jdf.queryExecution().executedPlan().toString()
+
+
+def test_chunks_and_groups_of_trees_score_alike(spark, space, monkeypatch):
+    rows = numbers(spark, 300).repartition(3)
+    found = train_all(rows, ["x", "y"], ["a", "b", "c"], space, trees=7)
+    whole = {r.cell: (r.x_prob, r.y_prob) for r in score(rows, found, space).collect()}
+    monkeypatch.setattr(forests, "BLOCK", 20)
+    monkeypatch.setattr(forests, "SCORED_CELLS", 60)
+    assert {r.cell: (r.x_prob, r.y_prob) for r in score(rows, found, space).collect()} == whole
+    monkeypatch.setattr(forests, "SCORED_TREES", 2)
+    for r in score(rows, found, space).collect():
+        assert (r.x_prob, r.y_prob) == pytest.approx(whole[r.cell], abs=1e-12)
+
+
+def test_models_saved_as_arrays_are_read(spark, space, tmp_path):
+    rows = numbers(spark, 100)
+    found = train_all(rows, ["x"], ["a", "b", "c"], space, trees=2)
+    save_models(found, str(tmp_path))
+    found.trees.drop("nodes").write.mode("overwrite").partitionBy("label").parquet(f"{tmp_path}/trees")
+    again = load_models(spark, str(tmp_path), ["x"])
+    assert score(rows, again, space).orderBy("cell").collect() == score(rows, found, space).orderBy("cell").collect()

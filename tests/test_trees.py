@@ -109,3 +109,38 @@ def test_growth_copies_no_bins():
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert peak < bins.nbytes / 2
+
+
+def test_growth_looks_at_one_input_at_a_time():
+    """The places of all tried inputs' bins at once took more than all else that a level needs."""
+    rng = np.random.default_rng(9)
+    bins, weight = rng.integers(0, 300, (100_000, 20)).astype(np.uint16), rng.integers(1, 3, (100_000, 2)).astype(float)
+    tracemalloc.start()
+    grow(bins, weight, 11, tries=7, span=300, depth=3)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 160 * len(bins)
+
+
+def test_encoded_trees():
+    """Trees come back with their children numbered level by level and score alike, links and odd shares included."""
+    rng = np.random.default_rng(10)
+    bins, weight = rng.integers(0, 300, (2000, 20)).astype(np.uint16), rng.integers(0, 4, (2000, 2)).astype(float)
+    grown = grow(bins, weight, 11, tries=3, span=300)
+    packed = trees.encode(grown)
+    assert len(packed) < sum(x.astype(np.int32).nbytes for x in grown[:4]) / 2
+    found = trees.decode(packed)
+    assert all((a == b).all() for a, b in zip(grown[:4], found[:4], strict=True))
+    at = walk(grown, bins)
+    assert (trees.ends(found, bins) == at).all() and (found.agree[at] == grown.agree[at]).all()
+    order = rng.permutation(np.arange(1, len(grown.feature)))  # numbered at will, but for the root
+    new = np.append(0, order)
+    place = np.argsort(new)
+    mixed = trees.Nodes(*(x[new] for x in grown))
+    inner = mixed.feature >= 0
+    mixed.left[inner], mixed.right[inner] = place[mixed.left[inner]], place[mixed.right[inner]]
+    assert all((a == b).all() for a, b in zip(found, trees.decode(trees.encode(mixed)), strict=True))
+    linked = trees.Nodes(*map(np.array, ([300, LEAF, trees.LINK], [70_000 // 2, 0, 0], [1, LEAF, 7], [2, LEAF, LEAF], [0.0, 1 / 3, 0.0])))
+    assert [x.tolist() for x in trees.decode(trees.encode(linked))] == [x.tolist() for x in linked]
+    alone = trees.Nodes(*map(np.array, ([LEAF], [0], [LEAF], [LEAF], [0.25])))
+    assert trees.ends(trees.decode(trees.encode(alone)), bins[:3]).tolist() == [0, 0, 0]
